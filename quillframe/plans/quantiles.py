@@ -18,7 +18,8 @@ def quantiles(
 ) -> DataFrame:
     """One row per key with a column per entry of ``ps``.
 
-    ``cont`` interpolates linearly between ranks; ``disc`` is the first value x with F(x) >= p.
+    ``cont`` interpolates linearly between ranks; ``disc`` is the first value x with F(x) >= p;
+    ``row`` is the value at 0-based position int(n * p) of the sorted rows.
     Rows with a null key are left out.
     """
     if keys:
@@ -40,6 +41,11 @@ def quantiles(
             picks.append(at(rank).alias(out))
             outs.append(F.col(out))
             continue
+        if kind == "row":
+            rank = F.least(F.floor(F.lit(float(p)) * F.col("_total")), F.col("_total") - 1)
+            picks.append(at(rank).alias(out))
+            outs.append(F.col(out))
+            continue
         h = F.lit(float(p)) * (F.col("_total") - 1)
         picks += [at(F.floor(h)).alias(f"_lo_{out}"), at(F.ceil(h)).alias(f"_hi_{out}"),
                   F.max(h - F.floor(h)).alias(f"_f_{out}")]
