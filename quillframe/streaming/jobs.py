@@ -66,8 +66,10 @@ def running_counts(df: DataFrame, *keys: str) -> DataFrame:
 
 def sliding_counts(df: DataFrame, key: str, length: str, slide: str, late: str) -> DataFrame:
     """Counts per key in overlapping event-time windows; state older than ``late`` is dropped."""
-    return (df.withWatermark("ts", late).groupBy(F.window("ts", length, slide), key).agg(F.count(F.lit(1)).alias("n"))
-            .select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), key, "n"))
+    timed = df.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+    counts = timed.groupBy(F.window("ts", length, slide), key).agg(F.count(F.lit(1)).alias("n"))
+    start, end = (F.col(f"window.{edge}").cast("timestamp_ntz").alias(edge) for edge in ("start", "end"))
+    return counts.select(start, end, key, "n")
 
 
 def latest(updates: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
