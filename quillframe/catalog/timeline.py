@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quillframe.catalog.joins import DAILY, daily
+from quillframe.flagship import daily_activity
 from quillframe.operators import aggregate as agg
 from quillframe.operators import timeseries as ts
 from quillframe.registry import query
@@ -22,6 +23,16 @@ def days(t):
     return ts.spine(ts.extent(t.orders, "o_orderdate"), "interval 1 day")
 
 
+@query("flagship_daily_activity", """
+WITH c AS (SELECT CAST(ts AS DATE) AS day, user_id, event_type, count(*) AS n FROM events GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY n DESC, user_id, event_type) AS rank FROM c),
+d AS (SELECT day, CAST(sum(n) AS BIGINT) AS day_total FROM c GROUP BY 1),
+m AS (SELECT *, CASE WHEN count(*) OVER w = 7 THEN round(avg(day_total) OVER w, 6) END AS week_mean FROM d WINDOW w AS (ORDER BY day ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING))
+SELECT day, CAST(rank AS INTEGER) AS rank, user_id, event_type, n, day_total, week_mean FROM r JOIN m USING (day) WHERE rank <= 5""")
+def _(t):
+    return daily_activity(t.events)
+
+
 @query("T01_date_spine", f"SELECT day, CAST(coalesce(n, 0) AS BIGINT) AS n FROM {SPINE} LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) USING (day)")
 def _(t):
     n = t.orders.filter("o_orderstatus = 'P'").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, PolynomialExpansion
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -101,11 +102,23 @@ def restore(df: DataFrame, model, mean, out: str = "restored") -> DataFrame:
     return df.withColumn(out, F.array(*cells))
 
 
+def single_gaussian(df: DataFrame, dim: int, features: str = "features") -> float:
+    """Log-likelihood of one Gaussian at its best fit, from the covariances alone."""
+    arr = vector_to_array(features)
+    cols = df.select(*[arr[i].alias(f"x{i}") for i in range(dim)])
+    pairs = [(i, j) for i in range(dim) for j in range(i, dim)]
+    r = cols.agg(F.count(F.lit(1)), *[F.covar_pop(f"x{i}", f"x{j}") for i, j in pairs]).first()
+    cov = np.zeros((dim, dim))
+    for (i, j), v in zip(pairs, r[1:]):
+        cov[i, j] = cov[j, i] = v
+    return float(-r[0] / 2 * (dim * math.log(2 * math.pi) + np.linalg.slogdet(cov)[1] + dim))
+
+
 def mixture_sweep(df: DataFrame, sizes: list[int], dim: int, features: str = "features", seed: int = 0) -> list[tuple[int, float, float, float]]:
     """(components, log-likelihood, BIC, AIC)."""
     n, out = df.count(), []
     for k in sizes:
-        ll = GaussianMixture(k=k, seed=seed, featuresCol=features, maxIter=50).fit(df).summary.logLikelihood
+        ll = single_gaussian(df, dim, features) if k == 1 else GaussianMixture(k=k, seed=seed, featuresCol=features, maxIter=50).fit(df).summary.logLikelihood
         free = k * (dim + dim * (dim + 1) / 2) + k - 1
         out.append((k, ll, free * math.log(n) - 2 * ll, 2 * free - 2 * ll))
     return out
