@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from quillframe.functions import arrays, dates, numeric, text
 from quillframe.operators.aggregate import grouped_values
 from quillframe.registry import query
+from quillframe.session import balanced
 
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
 KEYS = ", ".join(LINE)
@@ -15,8 +16,12 @@ def r(c, n, name):
     return F.round(c, n).alias(name)
 
 
+def docs(t):
+    return balanced(t.documents.select("doc_id", "text"), "doc_id")
+
+
 def tokens(t):
-    return t.documents.select("doc_id", text.words(F.col("text")).alias("w"))
+    return docs(t).select("doc_id", text.words(F.col("text")).alias("w"))
 
 
 @query("F01_arithmetic", f"""
@@ -165,7 +170,7 @@ SELECT doc_id, regexp_matches(text, '\A(?:[A-Z][a-z]+ )') AS starts, regexp_extr
  length(regexp_replace(text, '[aeiou]+', '#', 'g')) AS squeezed FROM documents""")
 def _(t):
     c = F.col("text")
-    return t.documents.select("doc_id", text.match(c, "[A-Z][a-z]+ ").alias("starts"), F.regexp_extract(c, "([A-Za-z]+)tion", 1).alias("first_stem"),
+    return docs(t).select("doc_id", text.match(c, "[A-Z][a-z]+ ").alias("starts"), F.regexp_extract(c, "([A-Za-z]+)tion", 1).alias("first_stem"),
                               F.regexp_extract_all(c, F.lit("([A-Za-z]+)tion"), F.lit(1)).alias("stems"), F.regexp_count(c, F.lit("th")).alias("n"),
                               F.length(F.regexp_replace(c, "[aeiou]+", "#")).cast("bigint").alias("squeezed"))
 
@@ -181,7 +186,7 @@ def _(t):
 
 @query("F16_wrap")
 def _(t):
-    return t.documents.select("doc_id", text.wrap(F.col("text"), 60).alias("wrapped"))
+    return docs(t).select("doc_id", text.wrap(F.col("text"), 60).alias("wrapped"))
 
 
 @query("F17_clean_names", r"""
@@ -201,7 +206,7 @@ SQL_CLEAN = f"lower(trim({_SQL_CLEAN}))"
 
 @query("F18_clean_sentence", f"SELECT doc_id, {SQL_CLEAN} AS clean FROM documents")
 def _(t):
-    return t.documents.select("doc_id", text.clean_sentence(F.col("text")).alias("clean"))
+    return docs(t).select("doc_id", text.clean_sentence(F.col("text")).alias("clean"))
 
 
 @query("F19_parse_dates", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders")

@@ -8,6 +8,7 @@ from quillframe.corpus import tokens as tok
 from quillframe.corpus import weights
 from quillframe.operators import neighbours
 from quillframe.registry import query
+from quillframe.session import balanced
 
 ARR = rf"list_filter(regexp_split_to_array({SQL_CLEAN}, '\s+'), lambda w: w <> '')"
 TOKENS = f"(SELECT doc_id, CAST(generate_subscripts(t, 1) - 1 AS INTEGER) AS pos, unnest(t) AS token FROM (SELECT doc_id, {ARR} AS t FROM documents))"
@@ -15,8 +16,12 @@ VOCAB = f"(SELECT token, row_number() OVER (ORDER BY n DESC, token) AS id, n FRO
 SIZE = 500
 
 
+def docs(t):
+    return balanced(t.documents.select("doc_id", "text"), "doc_id")
+
+
 def tokens(t):
-    return tok.tokenize(t.documents, "doc_id", "text")
+    return tok.tokenize(docs(t), "doc_id", "text")
 
 
 @query("C01_tokenize", f"SELECT doc_id, pos, token FROM {TOKENS}")
@@ -42,7 +47,7 @@ def _(t):
 SELECT doc_id, md5(array_to_string(a, ',')) AS ids, regexp_replace(lower(text), '[^a-z]', ' ', 'g') AS back FROM (SELECT doc_id, text,
  [CASE WHEN regexp_full_match(c, '[a-z]') THEN ascii(c) - 96 ELSE 0 END for c in string_split(lower(text), '')] AS a FROM documents)""")
 def _(t):
-    d = t.documents.select("doc_id", tok.char_ids(F.lower("text")).alias("a"))
+    d = docs(t).select("doc_id", tok.char_ids(F.lower("text")).alias("a"))
     return d.select("doc_id", F.md5(F.array_join(F.col("a").cast("array<string>"), ",")).alias("ids"), tok.char_text(F.col("a")).alias("back"))
 
 
@@ -50,12 +55,12 @@ def _(t):
 WITH t AS MATERIALIZED {TOKENS} SELECT a.token AS center, b.token AS context, count(*) AS n FROM t a JOIN t b
  ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos - 2 AND a.pos + 2 AND a.pos <> b.pos GROUP BY ALL""")
 def _(t):
-    return tok.skip_grams(t.documents, "doc_id", "text", 2).groupBy("center", "context").agg(F.count("*").alias("n"))
+    return tok.skip_grams(docs(t), "doc_id", "text", 2).groupBy("center", "context").agg(F.count("*").alias("n"))
 
 
 @query("C05_word_vectors")
 def _(t):
-    vectors = weights.word_vectors(t.documents, "text", size=16, window=5, min_count=5, seed=1)
+    vectors = weights.word_vectors(docs(t), "text", size=16, window=5, min_count=5, seed=1)
     wanted = tokens(t).select(F.col("token").alias("word")).distinct()
     out = weights.with_unknown_vectors(wanted, vectors, 16, seed=1)
     return out.select("word", F.size("vector").alias("dim"), F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)).alias("norm"))
@@ -76,7 +81,7 @@ def _(t):
 WITH t AS (SELECT doc_id, {ARR} AS t FROM documents)
 SELECT doc_id, len(t) AS words, md5(array_to_string(t || [ '<PAD/>' for i in range((SELECT max(len(t)) FROM t) - len(t))], ' ')) AS padded FROM t""")
 def _(t):
-    d = t.documents.select("doc_id", tok.token_array(F.col("text")).alias("t"))
+    d = docs(t).select("doc_id", tok.token_array(F.col("text")).alias("t"))
     d = d.withColumn("words", F.size("t").cast("bigint"))
     return tok.pad_to_longest(d, "t").select("doc_id", "words", F.md5(F.array_join("t", " ")).alias("padded"))
 
@@ -88,14 +93,14 @@ HASHED = r"""[CAST('0x' || substr(md5(w), 1, 13) AS BIGINT) % 29999 + 1 for w in
 @query("C07_pad_front", f"""
 SELECT doc_id, CASE WHEN len(h) >= 100 THEN h[len(h) - 99:] ELSE [0::BIGINT for i in range(100 - len(h))] || h END AS ids FROM (SELECT doc_id, {HASHED} AS h FROM documents)""")
 def _(t):
-    return t.documents.select("doc_id", tok.pad_front(tok.hashed_index(F.col("text"), 30000), 100).alias("ids"))
+    return docs(t).select("doc_id", tok.pad_front(tok.hashed_index(F.col("text"), 30000), 100).alias("ids"))
 
 
 @query("C08_char_windows", """
 SELECT next, count(*) AS n, count(DISTINCT w) AS distinct_windows FROM (
  SELECT substr(text, i + 1, 20) AS w, substr(text, i + 21, 1) AS next FROM (SELECT text, unnest(range(length(text) - 20)) AS i FROM documents WHERE length(text) > 20)) GROUP BY 1""")
 def _(t):
-    w = tok.char_windows(t.documents, "doc_id", "text", 20, 1)
+    w = tok.char_windows(docs(t), "doc_id", "text", 20, 1)
     # Counted per window first, so that a frequent window is combined map-side.
     return w.groupBy("next", "window").agg(F.count("*").alias("n")).groupBy("next").agg(
         F.sum("n").alias("n"), F.count("*").alias("distinct_windows"))
@@ -107,13 +112,13 @@ idf AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*)))
 w AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN idf USING (term))
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 9) AS weight FROM w""")
 def _(t):
-    return rnd(weights.tf_idf(t.documents, "doc_id", "text", min_df=5), weight=9)
+    return rnd(weights.tf_idf(docs(t), "doc_id", "text", min_df=5), weight=9)
 
 
 @query("C10_hashed_index", f"""
 SELECT doc_id, len(h) AS words, md5(array_to_string(h, ',')) AS ids FROM (SELECT doc_id, {HASHED} AS h FROM documents WHERE length(text) > 0)""")
 def _(t):
-    h = t.documents.filter(F.length("text") > 0).select("doc_id", tok.hashed_index(F.col("text"), 30000).alias("h"))
+    h = docs(t).filter(F.length("text") > 0).select("doc_id", tok.hashed_index(F.col("text"), 30000).alias("h"))
     return h.select("doc_id", F.size("h").cast("bigint").alias("words"), F.md5(F.array_join(F.col("h").cast("array<string>"), ",")).alias("ids"))
 
 

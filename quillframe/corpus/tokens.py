@@ -88,11 +88,16 @@ def pad_front(ids: Column, length: int) -> Column:
 
 
 def char_windows(df: DataFrame, doc: str, text: str, length: int = 20, step: int = 1) -> DataFrame:
-    """(doc, start, window, next): overlapping character windows and the character that follows each."""
-    last = F.length(text) - length - 1
-    starts = df.filter(last >= 0).select(doc, text, F.explode(F.sequence(F.lit(0), last, F.lit(step))).alias("start"))
-    return starts.select(doc, "start", F.substr(text, F.col("start") + 1, F.lit(length)).alias("window"),
-                         F.substr(text, F.col("start") + length + 1, F.lit(1)).alias("next"))
+    """(doc, start, window, next): overlapping character windows and the character that follows each.
+
+    The text is split into characters once; cutting windows from the string itself would walk it from
+    the start every time.
+    """
+    c = F.col("_c")
+    windows = F.transform(F.sequence(F.lit(0), F.size(c) - length - 1, F.lit(step)), lambda i: F.struct(
+        i.alias("start"), F.array_join(F.slice(c, i + 1, length), "").alias("window"), F.get(c, i + length).alias("next")))
+    split = df.select(doc, F.split(text, "").alias("_c")).filter(F.size("_c") > length)
+    return split.select(doc, F.explode(windows).alias("w")).select(doc, "w.start", "w.window", "w.next")
 
 
 def hashed_index(text: Column, n: int) -> Column:

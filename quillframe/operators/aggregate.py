@@ -13,20 +13,17 @@ from quillframe.plans.ordered import scan, with_group_stats
 from quillframe.plans.quantiles import quantile_edges, quantiles
 
 
-def _join_groups(frames: list[DataFrame], keys: list[str]) -> DataFrame:
-    if keys:
-        return reduce(lambda a, b: a.join(b, keys), frames)
-    one = [f.withColumn("_one", F.lit(1)) for f in frames]
-    return reduce(lambda a, b: a.join(b, "_one"), one).drop("_one")
-
-
 def describe(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     """count, mean, std (n - 1), min, exact quartiles, max; per group when keys are given."""
     rows = df.dropna(subset=keys) if keys else df
     plain = rows.groupBy(*keys).agg(
         F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
         F.min(col).alias("min"), F.max(col).alias("max"))
-    return _join_groups([plain, quantiles(df, keys, col, {"q25": 0.25, "q50": 0.5, "q75": 0.75})], keys)
+    quartiles = quantiles(df, keys, col, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    if keys:
+        return plain.join(quartiles, keys)
+    names = ["q25", "q50", "q75"]
+    return plain.withColumn("_q", quartiles.select(F.struct(*names)).scalar()).select(*plain.columns, *[F.col("_q")[n].alias(n) for n in names])
 
 
 def mean_absolute_deviation(df: DataFrame, col: str) -> DataFrame:

@@ -57,3 +57,14 @@ def reliable(df: DataFrame) -> DataFrame:
 
 def partitions_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def balanced(scan: DataFrame, *keys: str) -> DataFrame:
+    """A table scan spread over the cluster when it has fewer splits than there are task slots.
+
+    For heavy per-row work on an input of few row groups; a large table has splits enough and stays as it is.
+    """
+    want = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= want:
+        return scan
+    return scan.repartition(want, *keys)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +29,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | StructType | None = N
     return nan_to_null(r.csv(path))
 
 
-def convert(df: DataFrame, converters: dict[str, "callable"]) -> DataFrame:
+def convert(df: DataFrame, converters: dict[str, Callable[[Column], Column]]) -> DataFrame:
     """Per-column converters given as column -> expression functions."""
     return df.withColumns({c: f(F.col(c)) for c, f in converters.items()})
 
@@ -72,8 +73,7 @@ def labelled_folders(spark: SparkSession, root: str, classes: list[str], min_row
                      max_rows: int | None = None) -> DataFrame:
     """(class, label, line): one folder per class, label = position of the class in sorted order.
 
-    Unreadable files are skipped. The row count of each class is checked against the bounds while
-    the data is read: the check is part of the plan, not a second job.
+    Unreadable files are skipped. With bounds given, the row count of every class is checked first.
     """
     frames = []
     for label, name in enumerate(sorted(classes)):

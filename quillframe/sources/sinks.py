@@ -31,7 +31,16 @@ def compact(df: DataFrame, path: str, key: str, rows_per_file: int, compression:
      .write.partitionBy(key).option("compression", compression).parquet(path))
 
 
-def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int, sort: list[str] | None = None) -> None:
-    """Table co-located on ``key`` and sorted inside buckets, so joins on the key need no shuffle."""
-    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(*(sort or [key]))
-     .option("path", path).mode("overwrite").saveAsTable(table))
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int, sort: list[str] | None = None,
+                   rows_per_file: int = 10_000_000) -> None:
+    """Table co-located on ``key`` and sorted inside its files, so joins on the key need no shuffle.
+
+    A bucket with more rows than fit one file is written by as many tasks as it needs files.
+    """
+    bucket = F.pmod(F.hash(key), F.lit(buckets))  # the rule bucketed tables use
+    tagged = df.withColumn("_bucket", bucket)
+    sizes = tagged.groupBy("_bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_files"))
+    salted = (tagged.join(F.broadcast(sizes), "_bucket")  # one row per bucket
+              .withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.col("_files"))))
+    (salted.repartition(buckets, "_bucket", "_salt").select(*df.columns).write.bucketBy(buckets, key)
+     .sortBy(*(sort or [key])).option("path", path).mode("overwrite").saveAsTable(table))
