@@ -96,9 +96,11 @@ def _(t):
     return docs(t).select("doc_id", tok.pad_front(tok.hashed_index(F.col("text"), 30000), 100).alias("ids"))
 
 
-@query("C08_char_windows", """
-SELECT next, count(*) AS n, count(DISTINCT w) AS distinct_windows FROM (
- SELECT substr(text, i + 1, 20) AS w, substr(text, i + 21, 1) AS next FROM (SELECT text, unnest(range(length(text) - 20)) AS i FROM documents WHERE length(text) > 20)) GROUP BY 1""")
+@query("C08_char_windows", f"""
+SELECT next, CAST(sum(n) AS BIGINT) AS n, count(*) AS distinct_windows FROM (SELECT w, next, count(*) AS n FROM (
+ SELECT {' || '.join(f'lag(c, {k}) OVER o' for k in range(20, 0, -1))} AS w, c AS next
+ FROM (SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS c FROM (SELECT doc_id, string_split(text, '') AS l FROM documents))
+ WINDOW o AS (PARTITION BY doc_id ORDER BY i)) WHERE w IS NOT NULL GROUP BY ALL) GROUP BY 1""")
 def _(t):
     w = tok.char_windows(docs(t), "doc_id", "text", 20, 1)
     # Counted per window first, so that a frequent window is combined map-side.

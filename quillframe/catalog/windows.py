@@ -110,8 +110,7 @@ FROM lineitem WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_shipdate, {IDS} ROW
 def _(t):
     df = lines(t, "l_quantity", (1 - F.col("l_discount") / 3).alias("rate"))
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
-    out = windows.running(df, ["l_suppkey"], order, "rate", "_s", "running_product")
-    out = windows.running(out, ["l_suppkey"], order, "l_quantity", "running_sum")
+    out = windows.running(df, ["l_suppkey"], order, {"running_sum": "l_quantity"}, {"running_product": "rate"})
     return out.select(*ID, F.round("running_sum", 2).alias("running_sum"), F.round("running_product", 8).alias("running_product"))
 
 
@@ -154,5 +153,4 @@ def _(t):
 SELECT DISTINCT l_extendedprice AS x, round(cume_dist() OVER (ORDER BY l_extendedprice), 12) AS p FROM lineitem""")
 def _(t):
     cum = cumulative_counts(t.lineitem.select("l_extendedprice"), [], "l_extendedprice")
-    total = t.lineitem.agg(F.count("l_extendedprice")).scalar()
-    return cum.select(F.col("l_extendedprice").alias("x"), F.round(F.col("cum") / total, 12).alias("p"))
+    return cum.select(F.col("l_extendedprice").alias("x"), F.round(F.col("cum") / F.col("total"), 12).alias("p"))

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 
 def capitalize(c: Column) -> Column:
@@ -122,7 +123,7 @@ def match(c: Column, pattern: str) -> Column:
     return c.rlike(rf"\A(?:{pattern})")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _normalize(c: pd.Series, form: pd.Series) -> pd.Series:
     return pd.Series([None if s is None else unicodedata.normalize(f, s) for s, f in zip(c, form)])
 
@@ -131,7 +132,7 @@ def normalize(c: Column, form: str = "NFC") -> Column:
     return _normalize(c, F.lit(form))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _wrap(c: pd.Series, width: pd.Series) -> pd.Series:
     return pd.Series([None if s is None else "\n".join(textwrap.wrap(s, int(w))) for s, w in zip(c, width)])
 

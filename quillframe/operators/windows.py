@@ -20,9 +20,7 @@ def ranks(df: DataFrame, col: str, keys: list[str] = (), method: str = "average"
     keys = list(keys)
     cum = cumulative_counts(df.select(*keys, col), keys, col)
     if not ascending:
-        total = cum.groupBy(*keys).agg(F.max("cum").alias("_t"))
-        cum = cum.join(total, keys) if keys else cum.withColumn("_t", total.scalar())
-        cum = cum.withColumn("cum", F.col("_t") - F.col("cum") + F.col("n"))
+        cum = cum.withColumn("cum", F.col("total") - F.col("cum") + F.col("n"))
     if method == "dense":
         order = [col]
         if not ascending:
@@ -85,19 +83,24 @@ def shift(series: DataFrame, order: str, col: str, steps: int, out: str) -> Data
     return series.withColumn(out, F.lag(col, steps).over(Window.orderBy(order)))
 
 
-def running(df: DataFrame, keys: list[str], order: list[str], col: str, out_sum: str, out_product: str | None = None) -> DataFrame:
-    """Running sum, and product as sign * exp(sum of logs); a zero makes every later product zero."""
-    adds = {out_sum: ("sum", F.col(col))}
-    if out_product:
-        x = F.col(col)
-        adds |= {"_log": ("sum", F.when(x != 0, F.ln(F.abs(x)))), "_neg": ("sum", F.when(x < 0, 1).otherwise(0)),
-                 "_zero": ("sum", F.when(x == 0, 1).otherwise(0))}
-    out = scan(df, keys, order, adds)
-    if out_product:
-        sign = F.when(F.col("_neg") % 2 == 0, 1.0).otherwise(-1.0)
-        out = out.withColumn(out_product, F.when(F.col("_zero") > 0, 0.0).otherwise(
-            sign * F.exp(F.coalesce("_log", F.lit(0.0))))).drop("_log", "_neg", "_zero")
-    return out
+def running(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, str], products: dict[str, str] | None = None) -> DataFrame:
+    """Running sums and products (output name -> column) in one scan.
+
+    A product is sign * exp(sum of logs); a zero makes every later product zero.
+    """
+    products = products or {}
+    adds: dict[str, tuple] = {out: ("sum", F.col(c)) for out, c in sums.items()}
+    for out, c in products.items():
+        x = F.col(c)
+        adds |= {f"_log_{out}": ("sum", F.when(x != 0, F.ln(F.abs(x)))), f"_neg_{out}": ("sum", F.when(x < 0, 1).otherwise(0)),
+                 f"_zero_{out}": ("sum", F.when(x == 0, 1).otherwise(0))}
+    rows = scan(df, keys, order, adds)
+    for out in products:
+        sign = F.when(F.col(f"_neg_{out}") % 2 == 0, 1.0).otherwise(-1.0)
+        size = F.exp(F.coalesce(f"_log_{out}", F.lit(0.0)))
+        rows = rows.withColumn(out, F.when(F.col(f"_zero_{out}") > 0, 0.0).otherwise(sign * size)).drop(
+            f"_log_{out}", f"_neg_{out}", f"_zero_{out}")
+    return rows
 
 
 def enumerate_rows(df: DataFrame, order: list[str], out: str = "i") -> DataFrame:

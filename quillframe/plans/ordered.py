@@ -35,7 +35,7 @@ def scan(
     """Add running columns per ``keys`` in ascending ``order`` (both lists of column names).
 
     ``adds`` maps an output name to one of ``("row_number",)``, ``("sum", col)``, ``("max", col)``,
-    ``("last", col)`` and ``("next", col)`` (nearest non-null value at or before / after the row),
+    ``("total", col)`` (sum over the whole key), ``("last", col)`` and ``("next", col)`` (nearest non-null value at or before / after the row),
     ``("lag", col)`` and ``("lead", col)``. Null keys form a group of their own.
     """
     split = range_split(df, [*keys, *order], parts)
@@ -64,6 +64,11 @@ def scan(
             summary.append(F.sum(x).alias(s))
             carry[out] = F.sum(s).over(before)
             final[out] = F.coalesce(v + c, v, c)
+        elif kind == "total":
+            local[out] = F.sum(x).over(Window.partitionBy(*keys, PART))
+            summary.append(F.sum(x).alias(s))
+            carry[out] = F.sum(s).over(Window.partitionBy(*keys))
+            final[out] = F.coalesce(c, v)
         elif kind == "max":
             local[out] = F.max(x).over(upto)
             summary.append(F.max(x).alias(s))
@@ -117,9 +122,9 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def cumulative_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """(keys, value, n, cum): rows per distinct value and rows at or below it; nulls left out."""
+    """(keys, value, n, cum, total): rows per distinct value, rows at or below it, rows of the key; nulls left out."""
     present = df.filter(F.col(value).isNotNull())
-    return scan(value_counts(present, keys, value), keys, [value], {"cum": ("sum", "n")})
+    return scan(value_counts(present, keys, value), keys, [value], {"cum": ("sum", "n"), "total": ("total", "n")})
 
 
 def with_group_stats(df: DataFrame, keys: list[str], aggs: dict[str, Column]) -> DataFrame:

@@ -24,11 +24,7 @@ def quantiles(
     """
     if keys:
         df = df.dropna(subset=keys)
-    cum = cumulative_counts(df.select(*keys, value), keys, value)
-    if keys:
-        ranked = cum.join(cum.groupBy(*keys).agg(F.max("cum").alias("_total")), keys)
-    else:
-        ranked = cum.withColumn("_total", cum.agg(F.max("cum").alias("m")).scalar())
+    ranked = cumulative_counts(df.select(*keys, value), keys, value)
     first, last = F.col("cum") - F.col("n"), F.col("cum") - 1
 
     def at(rank: Column) -> Column:
@@ -37,16 +33,16 @@ def quantiles(
     picks, outs = [], []
     for out, p in ps.items():
         if kind == "disc":
-            rank = F.greatest(F.ceil(F.lit(float(p)) * F.col("_total")) - 1, F.lit(0))
+            rank = F.greatest(F.ceil(F.lit(float(p)) * F.col("total")) - 1, F.lit(0))
             picks.append(at(rank).alias(out))
             outs.append(F.col(out))
             continue
         if kind == "row":
-            rank = F.least(F.floor(F.lit(float(p)) * F.col("_total")), F.col("_total") - 1)
+            rank = F.least(F.floor(F.lit(float(p)) * F.col("total")), F.col("total") - 1)
             picks.append(at(rank).alias(out))
             outs.append(F.col(out))
             continue
-        h = F.lit(float(p)) * (F.col("_total") - 1)
+        h = F.lit(float(p)) * (F.col("total") - 1)
         picks += [at(F.floor(h)).alias(f"_lo_{out}"), at(F.ceil(h)).alias(f"_hi_{out}"),
                   F.max(h - F.floor(h)).alias(f"_f_{out}")]
         lo, hi, f = F.col(f"_lo_{out}"), F.col(f"_hi_{out}"), F.col(f"_f_{out}")

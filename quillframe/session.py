@@ -19,6 +19,7 @@ def build_session(app: str = "quillframe", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.checkpoint.compress": "true",
         **conf,
     }
     for k, v in settings.items():

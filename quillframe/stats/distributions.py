@@ -44,8 +44,7 @@ def cdf(df: DataFrame, value: str, keys: list[str] = ()) -> DataFrame:
     """(keys, value, n, cum, p, cum_p)."""
     keys = list(keys)
     cum = cumulative_counts(df.select(*keys, value), keys, value)
-    out = with_group_stats(cum, keys, {"_N": F.sum("n")})
-    return out.select(*keys, value, "n", "cum", (F.col("n") / F.col("_N")).alias("p"), (F.col("cum") / F.col("_N")).alias("cum_p"))
+    return cum.select(*keys, value, "n", "cum", (F.col("n") / F.col("total")).alias("p"), (F.col("cum") / F.col("total")).alias("cum_p"))
 
 
 def percentile_rank(df: DataFrame, value: str, x: float, keys: list[str] = ()) -> DataFrame:

@@ -22,10 +22,9 @@ def trimmed(df: DataFrame, keys: list[str], value: str, share: float) -> DataFra
 
     Works on counts: the rows kept of each distinct value follow from its cumulative count.
     """
-    cum = cumulative_counts(df.select(*keys, value), keys, value)
-    rows = with_group_stats(cum, keys, {"_N": F.sum("n")})
-    cut = F.floor(F.lit(share) * F.col("_N"))
-    kept = F.greatest(F.least(F.col("cum"), F.col("_N") - cut) - F.greatest(F.col("cum") - F.col("n"), cut), F.lit(0))
+    rows = cumulative_counts(df.select(*keys, value), keys, value)
+    cut = F.floor(F.lit(share) * F.col("total"))
+    kept = F.greatest(F.least(F.col("cum"), F.col("total") - cut) - F.greatest(F.col("cum") - F.col("n"), cut), F.lit(0))
     w = rows.select(*keys, F.col(value).alias("_v"), kept.alias("_k"))
     m = with_group_stats(w, keys, {"_m": F.sum(F.col("_k") * F.col("_v")) / F.sum("_k")})
     return m.groupBy(*keys).agg(F.sum("_k").alias("n"), F.max("_m").alias("mean"),
@@ -106,7 +105,7 @@ def permutation_stats(df: DataFrame, value: str, side: Column, ids: list[str], i
     first = rows.filter("_g = 1").count()
     picks = np.random.default_rng(seed).multivariate_hypergeometric(sizes, first, size=iterations, method="marginals")
 
-    def resplit(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def resplit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         b = int(key[0])
         v = pdf.sort_values(ids)["_v"].to_numpy()
         out = [(0, int(pdf["_g"].sum()), float(pdf.loc[pdf["_g"] == 1, "_v"].sum()), float((pdf.loc[pdf["_g"] == 1, "_v"] ** 2).sum()))]
@@ -144,7 +143,7 @@ def bootstrap_stats(df: DataFrame, value: str, ids: list[str], iterations: int,
         return df.sparkSession.createDataFrame([], "iter int, n bigint, mean double, std double, cv double")
     picks = np.random.default_rng(seed).multinomial(total, np.array(sizes) / total, size=iterations)
 
-    def resample(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def resample(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         b = int(key[0])
         v = pdf.sort_values(ids)["_v"].to_numpy()
         out = []

@@ -51,7 +51,7 @@ def same(a, b):
 def compare(df, con, sql, clock=None):
     """'' when equal, else what differs."""
     rows = df.collect()
-    if clock:
+    if clock is not None:
         clock.append(time.time())
     cur = con.execute(sql)
     want_cols = [d[0] for d in cur.description]
