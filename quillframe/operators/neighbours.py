@@ -44,7 +44,7 @@ def unit_vectors(df: DataFrame, vec: str) -> DataFrame:
 
 
 def nearest(left: DataFrame, right: DataFrame, id_col: str, vec: str, k: int, metric: str = "l2",
-            exclude_self: bool = True, pivots: int = 32, rows: int = 2048) -> DataFrame:
+            exclude_self: bool = True, pivots: int = 32, rows: int = 8192) -> DataFrame:
     """(id, neighbour, distance, rank): the k nearest rows of ``right`` for each row of ``left``.
 
     Ties go to the smaller neighbour id. ``metric`` is ``l2`` or ``l1``.
@@ -102,13 +102,16 @@ def nearest(left: DataFrame, right: DataFrame, id_col: str, vec: str, k: int, me
         if x.empty or y.empty:
             return pd.DataFrame({"id": [], "neighbour": [], "distance": []}).astype({"id": "int64", "neighbour": "int64"})
         y = y.sort_values("id")
-        d = _distances(_matrix(x["v"]), _matrix(y["v"]), metric)
-        ids = y["id"].to_numpy()
-        if exclude_self:
-            d[x["id"].to_numpy()[:, None] == ids[None, :]] = np.inf
-        take = np.argsort(d, axis=1, kind="stable")[:, :k]
-        out = pd.DataFrame({"id": np.repeat(x["id"].to_numpy(), take.shape[1]), "neighbour": ids[take].ravel(),
-                            "distance": np.take_along_axis(d, take, 1).ravel()})
+        left, right, ids, own = _matrix(x["v"]), _matrix(y["v"]), y["id"].to_numpy(), x["id"].to_numpy()
+        step, parts = max(1, CELLS_AT_ONCE // len(ids)), []
+        for i in range(0, len(own), step):
+            d = _distances(left[i : i + step], right, metric)
+            if exclude_self:
+                d[own[i : i + step, None] == ids[None, :]] = np.inf
+            take = np.argsort(d, axis=1, kind="stable")[:, :k]
+            parts.append(pd.DataFrame({"id": np.repeat(own[i : i + step], take.shape[1]), "neighbour": ids[take].ravel(),
+                                       "distance": np.take_along_axis(d, take, 1).ravel()}))
+        out = pd.concat(parts)
         return out[np.isfinite(out["distance"])]
 
     found = (lb.groupBy("cell", "lb", "rb").cogroup(rb.groupBy("cell", "lb", "rb"))

@@ -33,7 +33,7 @@ def smallest_per_group(df: DataFrame, keys: list[str], by: list[str], k: int) ->
 
     Each group is first cut down in salted parts, so a hot group never lands in one task whole.
     """
-    salt = F.pmod(F.xxhash64(*by), F.lit(64))
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(64))  # by position: copies spread as well
     local = Window.partitionBy(*keys, "_salt").orderBy(*by)
     part = df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(local)).filter(F.col("_r") <= k)
     last = Window.partitionBy(*keys).orderBy(*by)

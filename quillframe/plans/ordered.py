@@ -14,15 +14,18 @@ from pyspark.sql import functions as F
 from quillframe.session import partitions_of, reliable
 
 PART = "_part"
+TIE = "_tie"
 
 
 def range_split(df: DataFrame, by: list[str], parts: int | None = None) -> DataFrame:
     """Rows range-partitioned on ``by`` with their part number fixed by a checkpoint.
 
-    Rows equal in every ``by`` column stay together: end ``by`` with a tie-break where values repeat.
+    The input position of a row is the last sort key, so that copies of one row, however many, spread
+    over several parts too.
     """
     n = parts or partitions_of(df.sparkSession)
-    return reliable(df.repartitionByRange(n, *by).withColumn(PART, F.spark_partition_id()))
+    tied = df.withColumn(TIE, F.monotonically_increasing_id())
+    return reliable(tied.repartitionByRange(n, *by, TIE).withColumn(PART, F.spark_partition_id()))
 
 
 def scan(
@@ -39,10 +42,10 @@ def scan(
     ``("lag", col)`` and ``("lead", col)``. Null keys form a group of their own.
     """
     split = range_split(df, [*keys, *order], parts)
-    chunk = Window.partitionBy(*keys, PART).orderBy(*order)
+    chunk = Window.partitionBy(*keys, PART).orderBy(*order, TIE)
     upto = chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = chunk.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    pos = F.struct(*order)
+    pos = F.struct(*order, TIE)
 
     summary: list[Column] = [F.count(F.lit(1)).alias("_n")]
     carry: dict[str, Column] = {}

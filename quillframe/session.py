@@ -20,6 +20,8 @@ def build_session(app: str = "quillframe", master: str | None = None, **conf: st
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.checkpoint.compress": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **conf,
     }
     for k, v in settings.items():

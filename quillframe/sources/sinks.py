@@ -26,8 +26,9 @@ def compact(df: DataFrame, path: str, key: str, rows_per_file: int, compression:
     A large key is spread over as many tasks as it needs files, a small one stays in one.
     """
     sizes = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_files"))
-    salted = df.join(sizes, key).withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.col("_files")))
-    (salted.repartition(key, "_salt").drop("_files", "_salt")
+    placed = df.withColumn("_row", F.monotonically_increasing_id())  # by position: copies spread as well
+    salted = placed.join(sizes, key).withColumn("_salt", F.pmod(F.xxhash64("_row"), F.col("_files")))
+    (salted.repartition(key, "_salt").drop("_row", "_files", "_salt")
      .write.partitionBy(key).option("compression", compression).parquet(path))
 
 
@@ -38,9 +39,9 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
     A bucket with more rows than fit one file is written by as many tasks as it needs files.
     """
     bucket = F.pmod(F.hash(key), F.lit(buckets))  # the rule bucketed tables use
-    tagged = df.withColumn("_bucket", bucket)
+    tagged = df.withColumn("_bucket", bucket).withColumn("_row", F.monotonically_increasing_id())
     sizes = tagged.groupBy("_bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_files"))
     salted = (tagged.join(F.broadcast(sizes), "_bucket")  # one row per bucket
-              .withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.col("_files"))))
+              .withColumn("_salt", F.pmod(F.xxhash64("_row"), F.col("_files"))))
     (salted.repartition(buckets, "_bucket", "_salt").select(*df.columns).write.bucketBy(buckets, key)
      .sortBy(*(sort or [key])).option("path", path).mode("overwrite").saveAsTable(table))
