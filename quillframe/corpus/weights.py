@@ -30,10 +30,12 @@ def tf_idf(df: DataFrame, doc: str, text: str, min_df: int = 1) -> DataFrame:
     return raw.join(norm, doc).select(doc, "term", (F.col("w") / F.col("norm")).alias("weight"))
 
 
-def word_vectors(df: DataFrame, text: str, size: int = 300, window: int = 10, min_count: int = 1, seed: int = 0) -> DataFrame:
-    """(word, vector) trained on the cleaned texts."""
+def word_vectors(df: DataFrame, text: str, size: int = 300, window: int = 10, min_count: int = 1, seed: int = 0,
+                 partitions: int | None = None) -> DataFrame:
+    """(word, vector) trained on the cleaned texts, in as many parallel parts as there are task slots by default."""
     tokens = df.select(token_array(F.col(text)).alias("_t"))
-    model = Word2Vec(vectorSize=size, windowSize=window, minCount=min_count, seed=seed, maxIter=1, inputCol="_t", outputCol="_v").fit(tokens)
+    parts = partitions or df.sparkSession.sparkContext.defaultParallelism
+    model = Word2Vec(numPartitions=parts, vectorSize=size, windowSize=window, minCount=min_count, seed=seed, maxIter=1, inputCol="_t", outputCol="_v").fit(tokens)
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
 
 

@@ -21,8 +21,8 @@ def slice_step(c: Column, start: int | None = None, stop: int | None = None, ste
 
 def remove_first(c: Column, value) -> Column:
     """Without the first occurrence of ``value``."""
-    pos = F.array_position(c, value)
-    return F.filter(c, lambda _x, i: (i + 1) != pos)
+    pos = F.array_position(c, value).cast("int")
+    return F.when(pos > 0, F.concat(F.slice(c, 1, F.greatest(pos - 1, F.lit(0))), F.slice(c, pos + 1, F.size(c)))).otherwise(c)
 
 
 def pop_last(c: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillframe.operators import aggregate, binning, joins, missing, ordering, windows
 from quillframe.plans.blocks import block_pairs
-from quillframe.plans.ordered import scan, with_group_stats
+from quillframe.plans.ordered import PART, range_split, scan, with_group_stats
 from quillframe.plans.quantiles import quantiles
 from quillframe.tables import Tables
 
@@ -39,6 +39,13 @@ def test_scan_matches_pandas(hot, parts):
         pd.testing.assert_series_equal(got[name].astype(float), e.astype(float), check_names=False)
 
 
+def test_copies_of_a_row_spread_over_parts(spark):
+    copies = spark.range(4000).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+    parts = range_split(copies, ["k", "v"], 8).groupBy(PART).count().toPandas()["count"]
+    assert len(parts) >= 6 and parts.max() < 1500
+    assert scan(copies, ["k"], ["v"], {"rn": ("row_number",)}, 8).agg(F.count_distinct("rn")).first()[0] == 4000
+
+
 def test_global_scan(hot):
     df, pdf = hot
     got = scan(df, [], ["x", "i"], {"rn": ("row_number",)}).toPandas().sort_values(["x", "i"])
