@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from quillframe.session import reliable
+from quillframe.session import scratch_path
 
 #: Words are runs of characters other than ASCII white space; ``bytes.split()`` splits at exactly these.
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -26,8 +26,11 @@ def table(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """A checkpoint in the shared folder: the lineage ends here and a lost executor costs nothing."""
-    return reliable(df)
+    """The rows as a table in the shared folder: the lineage ends here and a lost executor costs nothing."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "rows")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def by_rows(fn: Callable[..., tuple], schema: pa.Schema, *names: str):
@@ -95,3 +98,13 @@ def windows(hashes: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+def packed(x: np.ndarray) -> bytes:
+    """Numbers as byte planes, so that the zero bytes of small ones stand together and compress."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def unpacked(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from quillframe.llm import bpe, langid, mixing, nearcopies, substring
+from quillframe.llm import bpe, chat, langid, lm, mixing, nearcopies, neighbours, pages, substring, topk
 from quillframe.llm.common import table
 
 
@@ -34,10 +34,33 @@ def op5_source_mix(spark, path) -> DataFrame:
     return mixing.mix(table(spark, path, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_bpe, op4_near_copies, op5_source_mix)}
+def op6_chat_format(spark, path) -> DataFrame:
+    turns = chat.chains(chat.with_probe(table(spark, path, "conversations")))
+    return chat.digest(chat.conversations_of(turns))
+
+
+def op8_main_text(spark, path) -> DataFrame:
+    return pages.main_texts(table(spark, path, "pages"))
+
+
+def op7_top_k(spark, path) -> DataFrame:
+    return topk.search(table(spark, path, "embeddings"))
+
+
+def op9_near_vectors(spark, path) -> DataFrame:
+    return neighbours.link(table(spark, path, "embeddings"))
+
+
+def op10_lm_scoring(spark, path) -> DataFrame:
+    return lm.score(table(spark, path, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_bpe, op4_near_copies, op5_source_mix, op6_chat_format, op7_top_k, op8_main_text, op9_near_vectors, op10_lm_scoring)}
 
 ORACLES = {
     "op1_substring_dedup": substring.oracle(),
     "op4_near_copies": nearcopies.oracle(),
     "op5_source_mix": mixing.oracle(),
+    "op6_chat_format": chat.oracle(),
+    "op7_top_k": topk.oracle(),
 }
