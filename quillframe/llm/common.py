@@ -29,7 +29,7 @@ def saved(df: DataFrame) -> DataFrame:
     """The rows as a table in the shared folder: the lineage ends here and a lost executor costs nothing."""
     spark = df.sparkSession
     path = scratch_path(spark, "rows")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -56,7 +56,7 @@ def sha(data: bytes) -> str:
 class Hashes(dict):
     """Word to 64-bit hash; forgets when it holds ``most`` words, so it never grows without bound."""
 
-    most = 1_000_000
+    most = 300_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
@@ -100,11 +100,31 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def packed(x: np.ndarray) -> bytes:
-    """Numbers as byte planes, so that the zero bytes of small ones stand together and compress."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+def packed_keys(key: np.ndarray) -> bytes:
+    """Sorted 64-bit keys as differences, byte plane by byte plane, without the planes that are all zero."""
+    step = np.diff(key, prepend=np.uint64(0)).astype("<u8")
+    first, step[:1] = step[:1].tobytes(), 0
+    planes = np.ascontiguousarray(step.view(np.uint8).reshape(len(step), 8).T)
+    used = np.flatnonzero(planes.any(axis=1))
+    return first + planes[:used[-1] + 1 if len(used) else 0].tobytes()
 
 
-def unpacked(data: bytes, kind: str) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+def unpacked_keys(data: bytes, n: int) -> np.ndarray:
+    planes = np.zeros((8, n), np.uint8)
+    have = np.frombuffer(data, np.uint8, offset=8).reshape(-1, n)
+    planes[:len(have)] = have
+    step = np.ascontiguousarray(planes.T).reshape(-1).view("<u8").copy()
+    step[0] = np.frombuffer(data[:8], "<u8")[0]
+    return np.cumsum(step, dtype=np.uint64)
+
+
+def packed_counts(x: np.ndarray) -> bytes:
+    """Counts in one byte each; those of 255 or more follow in full."""
+    x = x.astype("<u8")
+    return np.minimum(x, 255).astype(np.uint8).tobytes() + x[x >= 255].tobytes()
+
+
+def unpacked_counts(data: bytes, n: int) -> np.ndarray:
+    low = np.frombuffer(data, np.uint8, n).astype(np.int64)
+    low[low == 255] = np.frombuffer(data, "<u8", offset=n).astype(np.int64)
+    return low

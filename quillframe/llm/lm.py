@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.llm.common import Hashes, packed, saved, scramble, unpacked, words_of
+from quillframe.llm.common import Hashes, packed_counts, packed_keys, saved, scramble, unpacked_counts, unpacked_keys, words_of
 from quillframe.llm.langid import remainder
 
 FOLDS, HELD, DEV = 7, 2, 3
 #: Characters of a block; a longer text is a block of its own.
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 3_000_000
 #: Tokens of the corpus for each range of hashes, and the fewest ranges.
 RANGE_TOKENS, LEAST_RANGES = 1_000_000, 64
 #: Counts of a context are bucketed by powers of two; ratios of probabilities by tenths of a decade for learning.
@@ -33,8 +33,8 @@ BUCKETS, BINS = 48, 160
 _END, _START = np.uint64(0x1D8E4E27C47D124F), np.uint64(0x72BE5D74F27B8965)
 
 BLOCK = pa.schema([("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("dev", pa.list_(pa.bool_())), ("text", pa.list_(pa.string())), ("tokens", pa.int64()), ("train_docs", pa.int64()), ("dev_docs", pa.int64())])
-ASK = pa.schema([("kind", pa.int32()), ("range", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("train", pa.binary()), ("dev", pa.binary())])
-ANSWER = pa.schema([("kind", pa.int32()), ("range", pa.int32()), ("block", pa.int64()), ("train", pa.binary()), ("dev", pa.binary()), ("total", pa.int64()), ("distinct", pa.int64()), ("dev_total", pa.int64()), ("dev_distinct", pa.int64())])
+ASK = pa.schema([("kind", pa.int32()), ("range", pa.int32()), ("block", pa.int64()), ("n", pa.int32()), ("keys", pa.binary()), ("train", pa.binary()), ("dev", pa.binary())])
+ANSWER = pa.schema([("kind", pa.int32()), ("range", pa.int32()), ("block", pa.int64()), ("n", pa.int32()), ("train", pa.binary()), ("dev", pa.binary()), ("total", pa.int64()), ("distinct", pa.int64()), ("dev_total", pa.int64()), ("dev_distinct", pa.int64())])
 COUNTED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("dev", pa.bool_()), ("word", pa.list_(pa.int64())), ("pair", pa.list_(pa.int64())), ("dev_word", pa.list_(pa.int64())), ("dev_pair", pa.list_(pa.int64()))])
 
 
@@ -94,12 +94,10 @@ def asked(made: DataFrame, ranges: int) -> DataFrame:
                     key, at = np.unique(values, return_inverse=True)
                     counts = [np.bincount(at, w, len(key)).astype(np.uint32) for w in (train, left)]
                     cut = np.concatenate([[0], np.searchsorted(key, edges), [len(key)]])
-                    rows = [(kind, r, block, packed(np.diff(key[a:b], prepend=key[a:a + 1])), packed(counts[0][a:b]), packed(counts[1][a:b]), int(key[a])) for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a]
-                    cols = list(zip(*rows))
-                    first = np.array(cols[6], np.uint64).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c, f.type) for c, f in zip(cols, ASK)), pa.array(first)], schema=ASK.append(pa.field("first", pa.int64())))
+                    rows = [(kind, r, block, b - a, packed_keys(key[a:b]), packed_counts(counts[0][a:b]), packed_counts(counts[1][a:b])) for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), ASK)], schema=ASK)
 
-    return made.select("block", "text", "held_out", "dev").mapInArrow(run, "kind int, range int, block bigint, keys binary, train binary, dev binary, first bigint")
+    return made.select("block", "text", "held_out", "dev").mapInArrow(run, "kind int, range int, block bigint, n int, keys binary, train binary, dev binary")
 
 
 def answered(asks: DataFrame) -> DataFrame:
@@ -107,25 +105,23 @@ def answered(asks: DataFrame) -> DataFrame:
 
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        keys = [np.cumsum(unpacked(r["keys"], "<u8"), dtype=np.uint64) + np.int64(r["first"]).view(np.uint64) for r in rows]
-        n = [len(k) for k in keys]
-        key, at = np.unique(np.concatenate(keys), return_inverse=True)
-        train = np.bincount(at, np.concatenate([unpacked(r["train"], "<u4") for r in rows]), len(key)).astype(np.uint64)
-        dev = np.bincount(at, np.concatenate([unpacked(r["dev"], "<u4") for r in rows]), len(key)).astype(np.uint64)
+        n = [r["n"] for r in rows]
+        key, at = np.unique(np.concatenate([unpacked_keys(r["keys"], r["n"]) for r in rows]), return_inverse=True)
+        train, dev = (np.bincount(at, np.concatenate([unpacked_counts(r[c], r["n"]) for r in rows]), len(key)).astype(np.int64) for c in ("train", "dev"))
         stop = np.cumsum(n)
         out = []
         for i, r in enumerate(rows):
             mine = at[stop[i] - n[i]:stop[i]]
             once = (int(train.sum()), int((train > 0).sum()), int(dev.sum()), int((train > dev).sum())) if i == 0 else (0, 0, 0, 0)
-            out.append((r["kind"], r["range"], r["block"], packed(train[mine]), packed(dev[mine]), *once))
+            out.append((r["kind"], r["range"], r["block"], r["n"], packed_counts(train[mine]), packed_counts(dev[mine]), *once))
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), ANSWER)], schema=ANSWER)
 
-    return asks.groupBy("kind", "range").applyInArrow(run, "kind int, range int, block bigint, train binary, dev binary, total bigint, distinct bigint, dev_total bigint, dev_distinct bigint")
+    return asks.groupBy("kind", "range").applyInArrow(run, "kind int, range int, block bigint, n int, train binary, dev binary, total bigint, distinct bigint, dev_total bigint, dev_distinct bigint")
 
 
 def counted(made: DataFrame, answers: DataFrame) -> DataFrame:
     """Per document the corpus counts of its words and pairs in text order; DEV documents also without DEV."""
-    back = answers.groupBy(F.col("block").alias("_block")).agg(F.collect_list(F.struct("kind", "range", "train", "dev")).alias("found"))
+    back = answers.groupBy(F.col("block").alias("_block")).agg(F.collect_list(F.struct("kind", "range", "n", "train", "dev")).alias("found"))
 
     def run(batches):
         hashes = Hashes()
@@ -137,9 +133,9 @@ def counted(made: DataFrame, answers: DataFrame) -> DataFrame:
                 for kind in (0, 1):
                     rows = sorted((f for f in found if f["kind"] == kind), key=lambda f: f["range"])
                     at = np.unique(values[kind], return_inverse=True)[1]
-                    train = np.concatenate([unpacked(f["train"], "<u8") for f in rows]).astype(np.int64)[at]
+                    train, without = (np.concatenate([unpacked_counts(f[c], f["n"]) for f in rows])[at] for c in ("train", "dev"))
                     total.append(train)
-                    left.append(train - np.concatenate([unpacked(f["dev"], "<u8") for f in rows]).astype(np.int64)[at])
+                    left.append(train - without)
                 begin = stop - np.diff(np.concatenate([[0], stop]))
                 cuts = pa.array(np.concatenate([[0], stop]).astype(np.int32))
                 held_cuts = np.where(np.array(dev, bool), stop - begin, 0)
