@@ -96,6 +96,38 @@ def windows(hashes: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     return scramble(out, seed)
 
 
+_BYTE = np.random.default_rng(606).integers(0, 1 << 64, 256, np.uint64)
+_LOWER_BYTE = _BYTE[[b + 32 if 65 <= b <= 90 else b for b in range(256)]]
+_IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+_powers = [np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> np.ndarray:
+    """The first ``n`` powers of an odd factor, kept for the next call."""
+    if len(_powers[0]) < n:
+        base = np.full(max(n, 1 << 16), 0xD1342543DE82EF95, np.uint64)
+        base[0] = 1
+        _powers[0] = np.multiply.accumulate(base)
+    return _powers[0][:n]
+
+
+def hashed(texts: list[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of some texts, one after the other, and the number of words up to each text's end."""
+    data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    blob = np.frombuffer(b"\n".join(data) + b"\n", np.uint8)
+    inside = ~_IS_SPACE[blob]
+    step = np.diff(inside.view(np.int8), prepend=np.int8(0))
+    start, stop = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    ends = np.searchsorted(start, np.cumsum([len(d) + 1 for d in data]))
+    if not len(start):
+        return np.zeros(0, np.uint64), ends
+    size = stop - start
+    first = np.cumsum(size) - size
+    value = (_LOWER_BYTE if lower else _BYTE)[blob[inside]]
+    value *= powers(int(size.max()))[np.arange(len(value)) - np.repeat(first, size)]
+    return scramble(np.add.reduceat(value, first) + size.astype(np.uint64)), ends
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.llm.common import Hashes, by_rows, saved, signed, windows, words_of
+from quillframe.llm.common import by_rows, hashed, saved, windows
 from quillframe.llm.components import components
 
 SHINGLE = 5
@@ -43,25 +43,19 @@ _ADD = _rng.integers(0, 1 << 63, REGISTERS, np.uint64) * np.uint64(2)
 SKETCH = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("registers", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
-def shingles(text: str | None, hashes: Hashes) -> np.ndarray:
+def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct shingle hashes of one text."""
-    words = words_of(text)
-    words = b" ".join(words).lower().split()
-    h = hashes.array(words)
-    return np.unique(windows(h, min(SHINGLE, len(h)))) if words else np.zeros(0, np.uint64)
+    h, _ = hashed([text], lower=True)
+    return np.unique(windows(h, min(SHINGLE, len(h)))) if len(h) else np.zeros(0, np.uint64)
 
 
 def sketch(grams: np.ndarray) -> np.ndarray:
     """Registers of one set, in blocks of shingles so that memory does not follow the text."""
     low = np.full(REGISTERS, np.uint64(0xFFFFFFFFFFFFFFFF))
-    for i in range(0, len(grams), 4096):
-        part = grams[i:i + 4096]
-        for r in range(REGISTERS):
-            x = part * _MULTIPLY[r]
-            x += _ADD[r]
-            x = x.min()
-            if x < low[r]:
-                low[r] = x
+    for i in range(0, len(grams), 256):
+        x = grams[None, i:i + 256] * _MULTIPLY[:, None]
+        x += _ADD[:, None]
+        np.minimum(low, x.min(axis=1), out=low)
     uniform = (low.astype(np.float64) + 1.0) / 18446744073709551616.0
     value = np.floor(1.0 - np.log(-np.log1p(-np.minimum(uniform, 1 - 1e-16)) / RATE) / np.log(BASE))
     return np.clip(value, 0, LIMIT + 1).astype("<u2")
@@ -78,12 +72,8 @@ def with_hash(documents: DataFrame) -> DataFrame:
 
 
 def sketches(documents: DataFrame) -> DataFrame:
-    hashes: list[Hashes] = []
-
     def row(doc_id, text_hash, text):
-        if not hashes:
-            hashes.append(Hashes())
-        grams = shingles(text, hashes[0])
+        grams = shingles(text)
         if not len(grams):
             return doc_id, text_hash, 0, None, None, None
         registers = sketch(grams)
@@ -139,12 +129,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, grams of the wanted nodes, made from the text of one document of each."""
-    hashes: list[Hashes] = []
-
     def row(node, text):
-        if not hashes:
-            hashes.append(Hashes())
-        return node, shingles(text, hashes[0]).tobytes()
+        return node, shingles(text).tobytes()
 
     schema = pa.schema([("node", pa.int64()), ("grams", pa.binary())])
     joined = with_hash(documents).join(wanted, (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.col("text_hash") == F.col("_hash")))
