@@ -99,16 +99,18 @@ def windows(hashes: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
 _BYTE = np.random.default_rng(606).integers(0, 1 << 64, 256, np.uint64)
 _LOWER_BYTE = _BYTE[[b + 32 if 65 <= b <= 90 else b for b in range(256)]]
 _IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
-_powers = [np.ones(1, np.uint64)]
+FACTOR = 0xD1342543DE82EF95
+INVERSE = pow(FACTOR, -1, 1 << 64)
+_powers: dict[int, np.ndarray] = {}
 
 
-def powers(n: int) -> np.ndarray:
+def powers(n: int, factor: int = FACTOR) -> np.ndarray:
     """The first ``n`` powers of an odd factor, kept for the next call."""
-    if len(_powers[0]) < n:
-        base = np.full(max(n, 1 << 16), 0xD1342543DE82EF95, np.uint64)
+    if len(_powers.get(factor, ())) < n:
+        base = np.full(max(n, 1 << 16), factor, np.uint64)
         base[0] = 1
-        _powers[0] = np.multiply.accumulate(base)
-    return _powers[0][:n]
+        _powers[factor] = np.multiply.accumulate(base)
+    return _powers[factor][:n]
 
 
 def hashed(texts: list[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:

@@ -8,8 +8,9 @@ the full sets.
 
 Equal sets are one node from the start. Inside a band group no pairs are listed: each round links every set to the
 hub that it shares most bands with, and only groups that still hold several components go on, to other hubs. At the
-end the pairs between different components of one group are tested, whichever are left. So a group of thousands costs
-a few tests for each member, and no link that a shared band shows is lost.
+end, what is left with several components is compared block by block inside tasks: only members of different
+components meet, only links leave the task, and one for each pair of components. So a group of thousands costs a few
+tests for each member, and no link that a shared band shows is lost.
 
 Rules: A-Z are lower-cased, words are split at ASCII white space; a text of fewer words than a shingle is one shingle;
 null or empty texts have an empty set and link with nothing; null ids never name a component; repeated rows are copies.
@@ -35,6 +36,8 @@ BASE, RATE, LIMIT = 1.001, 20.0, 65_534
 ROUNDS = 3
 #: A pair is tested if its estimate is at most this much below the threshold: five standard deviations and more.
 SLACK = 0.15
+#: Sets of a block in the last step.
+BLOCK = 128
 
 _rng = np.random.default_rng(20240229)
 _MULTIPLY = _rng.integers(0, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -127,6 +130,49 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(by_rows(same, schema, "a", "b", "g_a", "g_b"), "a bigint, b bigint, same boolean")
 
 
+def between_components(placed: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links a, b between different components among ``placed`` (key, node, component), the sets that still share bands.
+
+    Sets connected by bands are one neighbourhood. Large components fill blocks of their own, small ones share blocks,
+    and two blocks meet unless both hold one and the same component.
+    """
+    low = placed.groupBy("key").agg(F.min("node").alias("low"))
+    hood = components(placed.join(low, "key").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()).withColumnRenamed("component", "hood")
+    members = saved(placed.select("node", "component").distinct().join(hood, "node"))
+    sizes = members.groupBy("hood", "component").agg(F.count(F.lit(1)).alias("size"))
+    small = sizes.where(F.col("size") < BLOCK).groupBy(F.col("hood").alias("_hood")).agg(F.ceil(F.sum("size") / BLOCK).alias("shared"))
+    block = F.expr(f"case when size < {BLOCK} then concat('s', pmod(xxhash64(component), shared)) else concat('c', component, ':', pmod(xxhash64(node, 1), ceil(size / {BLOCK}))) end")
+    dealt = members.join(sizes, ["hood", "component"]).join(small, F.col("hood") == F.col("_hood"), "left").select("hood", "node", "component", block.alias("block"))
+    full = dealt.join(nodes.select("node", "registers"), "node").join(sets, "node")
+    packs = saved(full.groupBy("hood", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.collect_list(F.struct("node", "component", "registers", "grams")).alias("rows")))
+    other = packs.select("hood", F.col("block").alias("block_2"), F.col("lo").alias("lo_2"), F.col("hi").alias("hi_2"), F.col("rows").alias("rows_2"))
+    meet = packs.join(other, "hood").where("block <= block_2 and not (lo = hi and lo_2 = hi_2 and lo = lo_2)").select("rows", "rows_2")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for left, right in zip(batch.column("rows").to_pylist(), batch.column("rows_2").to_pylist()):
+                x, y = (np.stack([np.frombuffer(r["registers"], "<u2") for r in rows]) for rows in (left, right))
+                g, h = ([np.frombuffer(r["grams"], np.uint64) for r in rows] for rows in (left, right))
+                n, m = np.array([len(s) for s in g]), np.array([len(s) for s in h])
+                apart = np.array([r["component"] for r in left])[:, None] != np.array([r["component"] for r in right])[None, :]
+                fit = 100 * np.minimum(n[:, None], m[None, :]) >= percent * np.maximum(n[:, None], m[None, :])
+                done = set()
+                for i in np.flatnonzero((apart & fit).any(axis=1)).tolist():
+                    equal = (y == x[i]).mean(axis=1)
+                    for j in np.flatnonzero(apart[i] & fit[i] & (equal >= percent / 100 - SLACK)).tolist():
+                        key = tuple(sorted((left[i]["component"], right[j]["component"])))
+                        if key not in done:
+                            both = len(np.intersect1d(g[i], h[j], assume_unique=True))
+                            if 100 * both >= percent * (n[i] + m[j] - both):
+                                done.add(key)
+                                out.append((left[i]["node"], right[j]["node"]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in (0, 1)], schema=schema)
+
+    return meet.mapInArrow(run, "a bigint, b bigint")
+
+
 def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """node, grams of the wanted nodes, made from the text of one document of each."""
     def row(node, text):
@@ -149,7 +195,7 @@ def link(documents: DataFrame, percent: int = 85) -> DataFrame:
     wanted = members.select("node").distinct().join(nodes.select("node", F.col("at.doc_id").alias("_id"), F.col("at.text_hash").alias("_hash")), "node")
     sets = saved(full_sets(documents, wanted))
     labels = members.select("node", F.col("node").alias("component")).distinct()
-    tested = links = None
+    links = None
     for turn in range(ROUNDS + 1):
         placed = members.join(labels, "node")
         mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
@@ -159,16 +205,12 @@ def link(documents: DataFrame, percent: int = 85) -> DataFrame:
             met = (placed.join(hub, "key").where(F.col("component") != F.col("hub.component"))
                    .groupBy("node", F.col("hub.node").alias("hub_node")).agg(F.count(F.lit(1)).alias("shared")))
             pairs = met.groupBy("node").agg(F.max(F.struct("shared", "hub_node")).alias("best")).select(F.least("node", "best.hub_node").alias("a"), F.greatest("node", "best.hub_node").alias("b")).distinct()
+            found = confirmed(likely_pairs(pairs, nodes, percent), sets, percent).where("same").select("a", "b")
         else:
-            other = placed.select("key", F.col("node").alias("node_2"), F.col("component").alias("component_2"))
-            pairs = placed.join(other, "key").where("component < component_2").select(F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = saved(pairs)
-        if pairs.isEmpty():
+            found = between_components(saved(placed), nodes, sets, percent)
+        found = saved(found)
+        if found.isEmpty():
             continue
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = saved(confirmed(likely_pairs(pairs, nodes, percent), sets, percent).where("same").select("a", "b"))
         links = found if links is None else links.unionByName(found)
         grouped = components(links)
         labels = saved(members.select("node").distinct().join(grouped, "node", "left").select("node", F.coalesce("component", "node").alias("component")))

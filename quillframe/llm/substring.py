@@ -19,13 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.llm.common import Hashes, by_rows, saved, scramble, sha, signed, windows, words_of
+from quillframe.llm.common import INVERSE, by_rows, hashed, powers, saved, scramble, sha, signed, windows, words_of
 
 SPAN = 35
 #: Words of an anchor.
 ANCHOR = 6
-_FACTOR = 0xD1342543DE82EF95
-_INVERSE = pow(_FACTOR, -1, 1 << 64)
 
 PATHS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("anchor", pa.int64()), ("path", pa.int64()), ("start", pa.int32()), ("edges", pa.int32())])
 EDGES = pa.schema([("anchor", pa.int64()), ("path", pa.int64()), ("copies", pa.int64()), ("edge", pa.int32()), ("e1", pa.int64()), ("e2", pa.int64())])
@@ -43,42 +41,49 @@ def smallest(order: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
-def paths(hashes: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
-    """anchor, path, start, edges for one document's word hashes."""
-    if len(hashes) < span:
-        return (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 2
+def paths(hashes: np.ndarray, ends: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
+    """text (its place), anchor, path, start, edges of all paths in some texts whose word hashes stand in a row."""
+    begin = np.concatenate([[0], ends[:-1]])
+    text = np.repeat(np.arange(len(ends)), ends - begin)
+    edges = len(hashes) - span + 1
+    if edges <= 0:
+        return (np.zeros(0, np.int64),) + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 2
     grams = windows(hashes, ANCHOR)
     at = smallest(scramble(grams, 5), span - ANCHOR + 1)
-    start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    edges = np.diff(np.concatenate([start, [len(at)]]))
-    stop = start + edges + span - 1
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(scramble(hashes, 9) * powers(_FACTOR, len(hashes)), dtype=np.uint64)])
-    path = scramble((sums[stop] - sums[start]) * powers(_INVERSE, len(hashes))[start] + edges.astype(np.uint64), 3)
-    return grams[at[start]], path, start, edges
+    inside = text[:edges] == text[span - 1:]
+    new = np.concatenate([[True], at[1:] != at[:-1]])
+    # A path starts at an edge inside one text whose anchor differs from that of the edge before.
+    start = np.flatnonzero(inside & (new | ~np.concatenate([[False], inside[:-1]])))
+    stop = np.flatnonzero(inside & (np.concatenate([new[1:], [True]]) | ~np.concatenate([inside[1:], [False]]))) + 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(scramble(hashes, 9) * powers(len(hashes)), dtype=np.uint64)])
+    # The sum from a to b is a multiple of the factor's a-th power, so its inverse makes it free of the place.
+    path = scramble((sums[stop + span - 1] - sums[start]) * powers(len(hashes), INVERSE)[start] + (stop - start).astype(np.uint64), 3)
+    return text[start], grams[at[start]], path, start - begin[text[start]], stop - start
+
+
+def pieces(texts: list[str | None], most: int = 1 << 20):
+    """Runs of texts of about ``most`` characters, as (first, stop)."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= most:
+            yield first, i + 1
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
 
 
 def walks(documents: DataFrame, span: int) -> DataFrame:
     """The paths of every document, with their coordinates."""
 
     def run(batches):
-        hashes = Hashes()
         for batch in batches:
-            ids, keys, parts = batch.column("doc_id"), batch.column("text_hash"), []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                words = words_of(text)
-                if len(words) >= span:
-                    parts.append((i, paths(hashes.array(words), span)))
-            if parts:
-                rows = np.repeat([i for i, _ in parts], [len(p[2]) for _, p in parts])
-                col = [np.concatenate([p[j] for _, p in parts]) for j in range(4)]
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), keys.take(pa.array(rows)), pa.array(signed(col[0])), pa.array(signed(col[1])),
-                                                  pa.array(col[2].astype(np.int32)), pa.array(col[3].astype(np.int32))], schema=PATHS)
+            texts = batch.column("text").to_pylist()
+            for first, stop in pieces(texts):
+                text, anchor, path, start, edges = paths(*hashed(texts[first:stop]), span)
+                rows = pa.array(text + first)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows), batch.column("text_hash").take(rows), pa.array(signed(anchor)), pa.array(signed(path)),
+                                                  pa.array(start.astype(np.int32)), pa.array(edges.astype(np.int32))], schema=PATHS)
 
     return documents.mapInArrow(run, "doc_id bigint, text_hash bigint, anchor bigint, path bigint, start int, edges int")
 
@@ -87,16 +92,18 @@ def edges_of(chosen: DataFrame, span: int) -> DataFrame:
     """The edges of chosen paths: rows with text and a list ``paths`` of (anchor, path, copies, start, edges)."""
 
     def run(batches):
-        hashes = Hashes()
         for batch in batches:
-            for text, found in zip(batch.column("text").to_pylist(), batch.column("paths").to_pylist()):
-                h = hashes.array(words_of(text))
-                one, two = windows(h, span, 0), windows(h, span, 11)
-                n = np.array([p["edges"] for p in found])
-                at = np.repeat([p["start"] for p in found], n)
-                edge = np.concatenate([np.arange(k) for k in n])
-                col = [np.repeat(np.array([p[c] for p in found], np.int64), n) for c in ("anchor", "path", "copies")]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, col), pa.array(edge.astype(np.int32)), pa.array(signed(one[at + edge])), pa.array(signed(two[at + edge]))], schema=EDGES)
+            texts, lists = batch.column("text").to_pylist(), batch.column("paths")
+            for first, stop in pieces(texts):
+                h, ends = hashed(texts[first:stop])
+                found = lists.slice(first, stop - first)
+                begin = np.repeat(np.concatenate([[0], ends[:-1]]), np.diff(found.offsets.to_numpy()))
+                path = found.flatten()
+                n = path.field("edges").to_numpy()
+                at = np.repeat(path.field("start").to_numpy() + begin, n)
+                edge = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+                col = [pa.array(np.repeat(path.field(c).to_numpy(), n)) for c in ("anchor", "path", "copies")]
+                yield pa.RecordBatch.from_arrays([*col, pa.array(edge.astype(np.int32)), *(pa.array(signed(windows(h, span, seed)[at + edge])) for seed in (0, 11))], schema=EDGES)
 
     return chosen.select("text", "paths").mapInArrow(run, "anchor bigint, path bigint, copies bigint, edge int, e1 bigint, e2 bigint")
 
@@ -106,7 +113,8 @@ def repeated(documents: DataFrame, span: int = SPAN, *keep: str) -> DataFrame:
     full = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text", *keep)
     docs = full.select("doc_id", "text_hash", "text")
     walked = walks(docs, span)
-    anchors = (walked.groupBy("anchor").agg(F.count(F.lit(1)).alias("uses"), F.min("path").alias("low"), F.max("path").alias("high"))
+    # Written, so that the join below reads both sides from plain shuffles and a hot anchor can be split.
+    anchors = saved(walked.groupBy("anchor").agg(F.count(F.lit(1)).alias("uses"), F.min("path").alias("low"), F.max("path").alias("high"))
                .where("uses > 1").select("anchor", (F.col("low") != F.col("high")).alias("branches")))
     shared = saved(walked.join(anchors, "anchor"))
     compact = shared.groupBy("anchor", "path").agg(F.count(F.lit(1)).alias("copies"), F.first("branches").alias("branches"), F.min(F.struct("doc_id", "text_hash", "start", "edges")).alias("at"))
