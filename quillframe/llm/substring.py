@@ -109,8 +109,9 @@ def edges_of(chosen: DataFrame, span: int) -> DataFrame:
 
 
 def repeated(documents: DataFrame, span: int = SPAN, *keep: str) -> DataFrame:
-    """doc_id, text, spans and the columns ``keep``: each document with the (first edge, edges) that repeat somewhere."""
-    full = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text", *keep)
+    """doc_id, text, spans and ``row`` (the columns ``keep``): each document with the (first edge, edges) that repeat."""
+    row = [F.struct(*keep).alias("row")] if keep else []
+    full = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text", *row)
     docs = full.select("doc_id", "text_hash", "text")
     walked = walks(docs, span)
     # Written, so that the join below reads both sides from plain shuffles and a hot anchor can be split.
@@ -131,7 +132,7 @@ def repeated(documents: DataFrame, span: int = SPAN, *keep: str) -> DataFrame:
     spans = (shared.join(known, ["anchor", "path"])
              .select("doc_id", "text_hash", F.explode(F.expr("case when list is null then array(struct(start, edges)) else transform(list, i -> struct(start + i as start, 1 as edges)) end")).alias("span"))
              .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.collect_list("span").alias("spans")))
-    return full.join(spans, same, "left").select("doc_id", "text", "spans", *keep)
+    return full.join(spans, same, "left").select("doc_id", "text", "spans", *(["row"] if keep else []))
 
 
 def cut(text: str | None, spans: list | None, span: int) -> tuple[list[bytes], int]:
@@ -162,7 +163,6 @@ def without_repeats(documents: DataFrame, span: int = SPAN) -> DataFrame:
 
     ``n_chars``, where there is such a column, follows the text.
     """
-    schema = pa.schema([("_new", pa.string())])
 
     def run(batches):
         for batch in batches:
@@ -170,16 +170,13 @@ def without_repeats(documents: DataFrame, span: int = SPAN) -> DataFrame:
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 kept, gone = cut(text, spans, span)
                 new.append(b" ".join(kept).decode("utf-8", "surrogatepass") if gone else text)
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(new, schema[0].type)], names=[*names, "_new"])
-
-    keep = [c for c in documents.columns if c not in ("doc_id", "text")]
-    source = repeated(documents, span, *keep)
-    names = ["doc_id", *keep]
-    kinds = {f.name: f.dataType.simpleString() for f in source.schema}
-    out = source.mapInArrow(run, ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", _new string").withColumnRenamed("_new", "text")
-    if "n_chars" in keep:
-        out = out.withColumn("n_chars", F.length("text").cast(kinds["n_chars"]))
-    return out.select(documents.columns)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(new, pa.string())], names=["row", "_text"])
+
+    source = repeated(documents, span, *documents.columns)
+    out = source.select("text", "spans", "row").mapInArrow(run, f"row {source.schema['row'].dataType.simpleString()}, _text string").select("row.*", "_text")
+    if "n_chars" in documents.columns:
+        out = out.withColumn("n_chars", F.length("_text").cast(documents.schema["n_chars"].dataType))
+    return out.withColumn("text", F.col("_text")).select(documents.columns)
 
 
 def oracle(span: int = SPAN) -> str:
