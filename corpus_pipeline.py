@@ -35,7 +35,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts out every passage of 35 words or more that occurs elsewhere too; n_chars follows the text."""
-    return substring.without_repeats(docs.select(COLUMNS)).select(*COLUMNS)
+    return substring.without_repeats(docs.select(COLUMNS))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
