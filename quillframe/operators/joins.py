@@ -81,7 +81,7 @@ def overlap(df: DataFrame, part: str, fingerprint: Column) -> DataFrame:
 
     Works on counts per fingerprint, never on pairs of rows: a text copied a million times is one row.
     """
-    counts = df.groupBy(fingerprint.alias("_f"), part).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(fingerprint.isNotNull()).groupBy(fingerprint.alias("_f"), part).agg(F.count(F.lit(1)).alias("n"))
     # One entry per part, of which there are only a few.
     per = counts.groupBy("_f").agg(F.collect_list(F.struct(F.col(part).alias("p"), "n")).alias("ps"))
     seen = per.select(F.explode("ps").alias("a"), "ps").select("a", F.explode("ps").alias("b"))

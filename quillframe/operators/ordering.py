@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillframe.plans.ordered import scan
@@ -23,21 +23,19 @@ def arg_sort(df: DataFrame, by: list[str], out: str = "position") -> DataFrame:
     return scan(df, [], by, {out: ("row_number",)}).withColumn(out, F.col(out) - 1)
 
 
+def nulls_last(by: list[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in by]
+
+
 def smallest(df: DataFrame, by: list[str], k: int) -> DataFrame:
     """The k smallest rows: a bounded heap per task, no full sort."""
-    return df.orderBy(*by).limit(k)
+    return df.orderBy(*nulls_last(by)).limit(k)
 
 
 def smallest_per_group(df: DataFrame, keys: list[str], by: list[str], k: int) -> DataFrame:
-    """The k smallest rows of each group.
-
-    Each group is first cut down in salted parts, so a hot group never lands in one task whole.
-    """
-    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(64))  # by position: copies spread as well
-    local = Window.partitionBy(*keys, "_salt").orderBy(*by)
-    part = df.withColumn("_salt", salt).withColumn("_r", F.row_number().over(local)).filter(F.col("_r") <= k)
-    last = Window.partitionBy(*keys).orderBy(*by)
-    return part.drop("_salt", "_r").withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= k)
+    """The k smallest rows of each group; Spark cuts each task's rows of a group to k before the shuffle."""
+    order = Window.partitionBy(*keys).orderBy(*nulls_last(by))
+    return df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def sample(df: DataFrame, ids: list[str], n: int, seed: int = 0) -> DataFrame:

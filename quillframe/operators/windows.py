@@ -34,8 +34,10 @@ def ranks(df: DataFrame, col: str, keys: list[str] = (), method: str = "average"
 
 
 def first_come_ranks(df: DataFrame, col: str, position: list[str], keys: list[str] = (), out: str = "rank") -> DataFrame:
-    """Ties ranked by position: 1..n without gaps."""
-    return scan(df, list(keys), [col, *position], {out: ("row_number",)})
+    """Ties ranked by position: 1..n without gaps; a null has no rank."""
+    ranked = scan(df.where(F.col(col).isNotNull()), list(keys), [col, *position], {out: ("row_number",)})
+    rest = df.where(F.col(col).isNull()).withColumn(out, F.lit(None).cast(ranked.schema[out].dataType))
+    return ranked.unionByName(rest.select(ranked.columns))
 
 
 def rank_across(cols: list[str]) -> list[Column]:
@@ -115,8 +117,9 @@ def zip_rows(left: DataFrame, left_order: list[str], right: DataFrame, right_ord
 
 def seen_before(df: DataFrame, value: list[str], order: list[str], out: str = "seen") -> DataFrame:
     """True for every row whose value occurred earlier; the first one is found by a map-side minimum."""
-    first = df.groupBy(*value).agg(F.min(F.struct(*order)).alias("_first"))
-    return df.join(first, value).withColumn(out, F.struct(*order) > F.col("_first")).drop("_first")
+    first = df.groupBy(*(F.col(c).alias(f"_v{i}") for i, c in enumerate(value))).agg(F.min(F.struct(*order)).alias("_first"))
+    same = [F.col(c).eqNullSafe(F.col(f"_v{i}")) for i, c in enumerate(value)]  # a null occurs like any other value
+    return df.join(first, same).withColumn(out, F.struct(*order) > F.col("_first")).drop("_first", *(f"_v{i}" for i in range(len(value))))
 
 
 def runs(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:

@@ -27,7 +27,8 @@ def compact(df: DataFrame, path: str, key: str, rows_per_file: int, compression:
     """
     sizes = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_files"))
     placed = df.withColumn("_row", F.monotonically_increasing_id())  # by position: copies spread as well
-    salted = placed.join(sizes, key).withColumn("_salt", F.pmod(F.xxhash64("_row"), F.col("_files")))
+    sizes = sizes.withColumnRenamed(key, "_key")
+    salted = placed.join(sizes, placed[key].eqNullSafe(sizes["_key"])).drop("_key").withColumn("_salt", F.pmod(F.xxhash64("_row"), F.col("_files")))
     (salted.repartition(key, "_salt").drop("_row", "_files", "_salt")
      .write.partitionBy(key).option("compression", compression).parquet(path))
 

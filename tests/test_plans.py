@@ -63,11 +63,11 @@ def test_quantiles(hot):
 
 
 def test_ranks(spark):
-    s = spark.createDataFrame([(i, v) for i, v in enumerate([7, -5, 7, 4, 2, 0, 4, 7])], "i int, v int")
+    s = spark.createDataFrame([(i, v) for i, v in enumerate([30, 12, 12, 55, 8, 30, 12])], "i int, v int")
     got = lambda **kw: [r["rank"] for r in windows.ranks(s, "v", **kw).orderBy("i").collect()]
-    assert got() == [7, 1, 7, 4.5, 3, 2, 4.5, 7]
-    assert got(method="max", ascending=False) == [3, 8, 3, 5, 6, 7, 5, 3]
-    assert [r["rank"] for r in windows.first_come_ranks(s, "v", ["i"]).orderBy("i").collect()] == [6, 1, 7, 4, 3, 2, 5, 8]
+    assert got() == [5.5, 3, 3, 7, 1, 5.5, 3]
+    assert got(method="max", ascending=False) == [3, 6, 6, 1, 7, 3, 6]
+    assert [r["rank"] for r in windows.first_come_ranks(s, "v", ["i"]).orderBy("i").collect()] == [5, 2, 3, 7, 1, 6, 4]
 
 
 def test_runs_and_seen(spark):
