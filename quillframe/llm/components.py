@@ -13,19 +13,21 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large star and small star in turn: each node's larger neighbours, then its smaller ones, are hung on its smallest.
     Minima are map-side aggregates and neighbours are never collected, so a node with very many links costs what its
-    links cost. Each round is a checkpoint; the rounds end when the links no longer change.
+    links cost. Each round is a checkpoint; the rounds end when the links are stars: every larger end has one link only
+    and is no smaller end.
     """
     links = saved(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    mark = None
-    while True:
+    while not _stars(links):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.expr("case when v = m then array(struct(u as u, m as v)) else array(struct(u as u, m as v), struct(v as u, m as v)) end")).alias("e")).select("e.u", "e.v").distinct()
         links = saved(small)
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == mark:
-            break
-        mark = now
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def _stars(links: DataFrame) -> bool:
+    ends = links.select(F.explode(F.expr("array(struct(u as node, 1 as up, 0 as down), struct(v as node, 0 as up, 1 as down))")).alias("e")).select("e.*")
+    counted = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return counted.where("up > 1 or up = 1 and down = 1").isEmpty()

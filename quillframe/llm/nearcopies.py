@@ -105,32 +105,26 @@ def estimate(a: bytes, b: bytes, n_a: int, n_b: int) -> float:
     return float(j[likely.argmax()])
 
 
-PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("likely", pa.float64())])
-
-
-def likely_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b whose sizes and joint estimate allow the threshold."""
-    one = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("registers").alias("r_a"))
-    two = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("registers").alias("r_b"))
-    sized = pairs.join(one, "a").join(two, "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    fn = by_rows(lambda a, b, x, y, n, m: (a, b, estimate(x, y, n, m)), PAIR, "a", "b", "r_a", "r_b", "n_a", "n_b")
-    return sized.mapInArrow(fn, "a bigint, b bigint, likely double").where(F.col("likely") >= percent / 100 - SLACK).select("a", "b")
+PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("same", pa.bool_())])
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
+    """The pairs a, b whose sizes and joint estimate allow the threshold and whose full sets reach it."""
 
-    def same(a, b, x, y):
+    def same(a, b, r, q, x, y):
         x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        n, m = len(x), len(y)
+        if 100 * min(n, m) < percent * max(n, m) or estimate(r, q, n, m) < percent / 100 - SLACK:
+            return a, b, False
         both = len(np.intersect1d(x, y, assume_unique=True))
-        return a, b, 100.0 * both >= percent * (len(x) + len(y) - both)
+        return a, b, 100 * both >= percent * (n + m - both)
 
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("same", pa.bool_())])
-    joined = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("g_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("grams").alias("g_b")), "b")
-    return joined.mapInArrow(by_rows(same, schema, "a", "b", "g_a", "g_b"), "a bigint, b bigint, same boolean")
+    one, two = (sets.select(F.col("node").alias(k), F.col("registers").alias(f"r_{k}"), F.col("grams").alias(f"g_{k}")) for k in "ab")
+    tested = pairs.join(one, "a").join(two, "b").mapInArrow(by_rows(same, PAIR, "a", "b", "r_a", "r_b", "g_a", "g_b"), "a bigint, b bigint, same boolean")
+    return tested.where("same").select("a", "b")
 
 
-def between_components(placed: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def between_components(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links a, b between different components among ``placed`` (key, node, component), the sets that still share bands.
 
     Sets connected by bands are one neighbourhood. Large components fill blocks of their own, small ones share blocks,
@@ -143,7 +137,7 @@ def between_components(placed: DataFrame, nodes: DataFrame, sets: DataFrame, per
     small = sizes.where(F.col("size") < BLOCK).groupBy(F.col("hood").alias("_hood")).agg(F.ceil(F.sum("size") / BLOCK).alias("shared"))
     block = F.expr(f"case when size < {BLOCK} then concat('s', pmod(xxhash64(component), shared)) else concat('c', component, ':', pmod(xxhash64(node, 1), ceil(size / {BLOCK}))) end")
     dealt = members.join(sizes, ["hood", "component"]).join(small, F.col("hood") == F.col("_hood"), "left").select("hood", "node", "component", block.alias("block"))
-    full = dealt.join(nodes.select("node", "registers"), "node").join(sets, "node")
+    full = dealt.join(sets, "node")
     packs = saved(full.groupBy("hood", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.collect_list(F.struct("node", "component", "registers", "grams")).alias("rows")))
     other = packs.select("hood", F.col("block").alias("block_2"), F.col("lo").alias("lo_2"), F.col("hi").alias("hi_2"), F.col("rows").alias("rows_2"))
     meet = packs.join(other, "hood").where("block <= block_2 and not (lo = hi and lo_2 = hi_2 and lo = lo_2)").select("rows", "rows_2")
@@ -174,13 +168,14 @@ def between_components(placed: DataFrame, nodes: DataFrame, sets: DataFrame, per
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, grams of the wanted nodes, made from the text of one document of each."""
-    def row(node, text):
-        return node, shingles(text).tobytes()
+    """node, registers, grams of the wanted nodes, the last made from the text of one document of each."""
+    def row(node, registers, text):
+        return node, registers, shingles(text).tobytes()
 
-    schema = pa.schema([("node", pa.int64()), ("grams", pa.binary())])
+    schema = pa.schema([("node", pa.int64()), ("registers", pa.binary()), ("grams", pa.binary())])
     joined = with_hash(documents).join(wanted, (F.col("doc_id").eqNullSafe(F.col("_id"))) & (F.col("text_hash") == F.col("_hash")))
-    return joined.select("node", "text").mapInArrow(by_rows(row, schema, "node", "text"), "node bigint, grams binary").dropDuplicates(["node"])
+    return (joined.select("node", "registers", "text").mapInArrow(by_rows(row, schema, "node", "registers", "text"), "node bigint, registers binary, grams binary")
+            .dropDuplicates(["node"]))
 
 
 def link(documents: DataFrame, percent: int = 85) -> DataFrame:
@@ -192,9 +187,10 @@ def link(documents: DataFrame, percent: int = 85) -> DataFrame:
     keys = nodes.select("node", F.explode("bands").alias("key"))
     groups = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("key")
     members = saved(keys.join(groups, "key").select("key", "node"))
-    wanted = members.select("node").distinct().join(nodes.select("node", F.col("at.doc_id").alias("_id"), F.col("at.text_hash").alias("_hash")), "node")
+    shared = saved(members.select("node").distinct())
+    wanted = shared.join(nodes.select("node", "registers", F.col("at.doc_id").alias("_id"), F.col("at.text_hash").alias("_hash")), "node")
     sets = saved(full_sets(documents, wanted))
-    labels = members.select("node", F.col("node").alias("component")).distinct()
+    labels = shared.select("node", F.col("node").alias("component"))
     links = None
     for turn in range(ROUNDS + 1):
         placed = members.join(labels, "node")
@@ -205,15 +201,15 @@ def link(documents: DataFrame, percent: int = 85) -> DataFrame:
             met = (placed.join(hub, "key").where(F.col("component") != F.col("hub.component"))
                    .groupBy("node", F.col("hub.node").alias("hub_node")).agg(F.count(F.lit(1)).alias("shared")))
             pairs = met.groupBy("node").agg(F.max(F.struct("shared", "hub_node")).alias("best")).select(F.least("node", "best.hub_node").alias("a"), F.greatest("node", "best.hub_node").alias("b")).distinct()
-            found = confirmed(likely_pairs(pairs, nodes, percent), sets, percent).where("same").select("a", "b")
+            found = confirmed(pairs, sets, percent)
         else:
-            found = between_components(saved(placed), nodes, sets, percent)
+            found = between_components(saved(placed), sets, percent)
         found = saved(found)
         if found.isEmpty():
             continue
         links = found if links is None else links.unionByName(found)
         grouped = components(links)
-        labels = saved(members.select("node").distinct().join(grouped, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
+        labels = saved(shared.join(grouped, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
     named = (nodes.select("node", "first_id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = named.join(smallest, "component").select("node", "component_id")
