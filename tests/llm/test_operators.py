@@ -1,5 +1,6 @@
 """The operators beside SQL, brute force or the library whose results they match; odd rows included."""
 
+import collections
 import hashlib
 import math
 import zlib
@@ -222,3 +223,39 @@ def test_language_model(spark, odd, empty):
         assert all(math.isfinite(r["score"]) and r["train_tokens"] == total for r in rows)
     held = lm.score(docs).where("held_out").agg(F.sum("score").alias("a"), F.sum("base_score").alias("b")).first()
     assert held["a"] > held["b"]
+
+
+def test_mixed_copies_come_near_the_targets(spark):
+    rows = [(i, "abc"[i % 3], " ".join(f"w{i}x{j}" for j in range(40 + i % 90))) for i in range(1800)]
+    docs = spark.createDataFrame([*rows, (5000, None, None), (5001, None, "")], "doc_id long, source string, text string")
+    out = mixing.copies(docs).collect()
+    size, words, times = collections.Counter(), collections.Counter(), collections.Counter()
+    for _, source, text in rows:
+        size[source] += len(text.split())
+    for r in out:
+        words[r["source"]] += len((r["text"] or "").split())
+        times[r["doc_id"]] += 1
+    for source, weight in zip("abc", (5, 2, 1)):
+        target = sum(size.values()) * weight / 8
+        assert abs(words[source] - target) < 0.12 * target
+    assert max(times.values()) <= 3 and times[5000] == times[5001] == 1
+    assert times == collections.Counter(r["doc_id"] for r in mixing.copies(docs.repartition(5)).collect())
+
+
+@pytest.mark.parametrize("sizes", [{"a": 100, "b": 100, "c": 100}, {"a": 10, "b": 1000, "c": 50, "d": 3, "e": 700, None: 90}, {f"s{i}": 1 + 37 * i % 101 for i in range(20)}])
+def test_targets_beside_resharing_step_by_step(spark, sizes):
+    rows = [(i, s, n) for i, (s, n) in enumerate(sizes.items())]
+    found = {r["source"]: r["target"] for r in mixing.shares(spark.createDataFrame(rows, "doc_id long, source string, size long"), (5, 2, 1), 3).collect()}
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    left, open_, target = float(sum(sizes.values())), set(sizes), {}
+    while True:
+        level = left / sum(weight[s] for s in open_)
+        over = {s for s in open_ if level * weight[s] > 3 * sizes[s]}
+        if not over:
+            break
+        target |= {s: 3.0 * sizes[s] for s in over}
+        left -= sum(3 * sizes[s] for s in over)
+        open_ -= over
+    target |= {s: level * weight[s] for s in open_}
+    assert found == pytest.approx(target) and sum(found.values()) == pytest.approx(sum(sizes.values()))
