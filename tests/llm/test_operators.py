@@ -259,3 +259,13 @@ def test_targets_beside_resharing_step_by_step(spark, sizes):
         open_ -= over
     target |= {s: level * weight[s] for s in open_}
     assert found == pytest.approx(target) and sum(found.values()) == pytest.approx(sum(sizes.values()))
+
+
+def test_slots_of_an_epoch_take_every_block_once(spark):
+    sizes = [1, 64, 65, 130, 700, 64 * 97, 64 * 1000 + 1]
+    sources = spark.createDataFrame([(i, n, 3.0 * n) for i, n in enumerate(sizes)], "ordinal long, source_size long, target double")
+    dealt = mixing.deal(sources, 64, 3, 100).groupBy("ordinal", "block").agg(F.count(F.lit(1)).alias("times")).collect()
+    assert {r["times"] for r in dealt} == {3}
+    blocks = collections.Counter(r["ordinal"] for r in dealt)
+    assert all(-(-n // 64) <= blocks[i] < -(-n // 64) + (-(-n // 64)) ** 0.5 + 1 for i, n in enumerate(sizes))
+    assert all(0 <= r["block"] < blocks[r["ordinal"]] for r in dealt)
