@@ -197,6 +197,23 @@ def test_near_vectors(spark):
     assert neighbours.link(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_near_vectors_of_tight_subgroups_are_one_component(spark):
+    """Every list fills inside its subgroup; links between subgroups are found all the same."""
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal(32)
+    base /= np.linalg.norm(base)
+    rows = []
+    for g in range(3):
+        side = rng.standard_normal(32)
+        side -= (side @ base) * base
+        centre = base + 0.08 * side / np.linalg.norm(side)
+        rows += [(100 * g + i, (centre + 1e-4 * rng.standard_normal(32)).tolist(), 1, "", "") for i in range(20)]
+    rows += [(900 + i, rng.standard_normal(32).tolist(), 1, "", "") for i in range(40)]
+    got = {r["vec_id"]: r for r in neighbours.link(spark.createDataFrame(rows, VECTORS)).collect()}
+    assert {(r["n_links"], r["component_id"]) for i, r in got.items() if i < 900} == {(59, 0)}
+    assert all(r["n_links"] == 0 and r["kept"] for i, r in got.items() if i >= 900)
+
+
 def test_main_text(spark):
     page = ("<html><body><nav>Home</nav><div class='cookie-notice'>We use</div><article><h1>T &amp; t</h1><p>One\n <b>two</b><br>three<p>Four&nbsp;five"
             "<form>Mail</form><script>if (a<b) x</script></article><aside>More</aside><div id=comments><p>First!</div><footer>F</footer>")
