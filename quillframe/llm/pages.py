@@ -1,33 +1,31 @@
 """Main texts of web pages by wrapper induction.
 
-For each host a bounded number of different pages is parsed and aligned by simple tree matching. Aligned nodes whose
-text is the same on all pages are the host's template; the smallest subtree that holds most of the varying text is the
-content slot. The wrapper (path of the slot, constant texts) is then applied to every page of the host, and boilerplate
-elements inside the slot are left out by their names and roles. Where a page has no such slot, or a host has one page,
-the article, main or body element takes its place.
-
-The number of pages a wrapper is learned from is PAGES; it bounds the memory of a host, however many pages it has. All pages are
-extracted. Rules: null or empty html gives an empty text; a null or odd url belongs to the empty host; repeated rows
-are extracted each by itself; broken or cut markup is read as far as it goes.
+Every page is parsed once, into blocks of text outside boilerplate elements, each with the path of elements that leads to it.
+Pages of a host with the same set of container paths have one template. Over all pages, the different contents that hold
+a path, and those that hold a text at that path, are counted for each template and for each host: a text that nearly all of
+them share is the template's own and is left out, every other block is kept. So a template that was seen on LEAST
+different contents decides alone what is main text, whether or not there is an article. Pages of a rarer template take
+all top-level article and main elements outside boilerplate, or the body, without the constants of the host.
+
+Rules: null or empty html gives an empty text; a null or odd url belongs to the empty host; repeated rows are extracted
+each by itself and counted once; broken or cut markup is read as far as it goes; an article whose blocks are all constant
+is kept; an article inside boilerplate counts where there is no other.
 """
 
 from __future__ import annotations
 
 import html
-import json
 import re
-from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.llm.common import saved
 
-#: Different pages that a host's wrapper is learned from, and children compared of one node when trees are matched.
-PAGES, WIDTH = 6, 64
-#: Share of the varying text that the content slot holds.
-MOST = 0.6
+#: Different contents that a template needs, and the share of them that has a constant text.
+LEAST, SHARE = 3, 0.9
 
 # Fixed values of HTML: elements without content, raw text, elements that end a paragraph, elements that are inline.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -40,6 +38,7 @@ OUT_ROLES = set("navigation banner contentinfo complementary search menu menubar
 OUT_NAMES = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|popup|modal|newsletter|subscribe|sidebar|related|share|sharing|social|comments?|disqus|respond|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|pagination|pager|widget|signup|login)(?:$|[\s_-])")
 PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption".split())
 
+NUMBER = re.compile(r"\d+")
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/a-zA-Z][^>]*\Z", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
@@ -57,14 +56,12 @@ class Node:
                         or tag not in ("html", "body", "article", "main") and bool(self.names and OUT_NAMES.search(self.names)))
 
     def sign(self) -> str:
-        return f"{self.tag}.{self.names}"
+        """Element and names; numbers in names differ from page to page."""
+        return f"{self.tag}.{NUMBER.sub('#', self.names)}"
 
     def children(self) -> list["Node"]:
         return [c for c in self.items if not isinstance(c, str)]
 
-    def own_text(self) -> str:
-        return " ".join(" ".join(c for c in self.items if isinstance(c, str)).split())
-
 
 def parse(source: str) -> Node:
     """A tolerant tree: unknown ends are ignored, open elements end with their parents."""
@@ -105,19 +102,24 @@ def parse(source: str) -> Node:
     return root
 
 
-def main_node(root: Node) -> Node:
-    """The largest article or main element, else the body, else all."""
-    best, body, stack = None, None, [root]
+def regions(root: Node) -> tuple[Node, list[Node], bool]:
+    """The body or all, the top-level article and main elements, and whether these lie in boilerplate.
+
+    Inside boilerplate only the largest counts, and only where there is no other.
+    """
+    body, clear, other, stack = None, [], [], [(root, False)]
     while stack:
-        node = stack.pop()
+        node, out = stack.pop()
+        out = out or node.out and node.tag not in ("html", "body")
         if node.tag == "body" and body is None:
             body = node
         if node.tag in ("article", "main") and not node.out:
-            if best is None or mass(node) > mass(best):
-                best = node
+            (other if out else clear).append(node)
             continue
-        stack.extend(reversed(node.children()))
-    return best or body or root
+        stack.extend((c, out) for c in reversed(node.children()))
+    if clear or not other:
+        return body or root, clear, False
+    return body or root, [max(other, key=mass)], True
 
 
 def mass(node: Node) -> int:
@@ -132,150 +134,111 @@ def mass(node: Node) -> int:
     return words
 
 
-def blocks(node: Node, constant: set[str]) -> list[str]:
-    """Texts of the blocks in page order; white space inside is one space, empty blocks are none."""
-    out, now = [], []
+def digest(data: str, seed: int = 0) -> int:
+    return xxhash.xxh3_64_intdigest(data.encode("utf-8", "surrogatepass"), seed=seed)
+
+
+def blocks(node: Node, articles: set[int], paths: set[int]) -> list[tuple[int, str, bool]]:
+    """Path, text and whether an article holds it, for the blocks in page order; white space inside is one space, empty
+    blocks are none. ``paths`` receives those of the containers."""
+    out, now, at = [], [], (0, False)
 
     def flush():
         text = " ".join("".join(now).split())
         if text:
-            out.append(text)
+            out.append((at[0], text, at[1]))
         now.clear()
 
-    # An explicit stack: markup may nest deeper than Python's own.
-    stack: list = [node]
+    # An explicit stack: markup may nest deeper than Python's own. Inline elements have their container's path.
+    stack: list = [(node, 0, False)]
     while stack:
-        item = stack.pop()
+        item, path, inside = stack.pop()
         if item is None:
             flush()
         elif isinstance(item, str):
+            at = path, inside
             now.append(item)
-        elif item.out and item is not node or constant and item.tag not in PROSE and item.tag not in INLINE and f"{item.sign()}\n{item.own_text()}" in constant:
+        elif item.out and item is not node and item.tag != "body":
             if item.tag not in INLINE:
                 flush()
         elif item.tag == "br":
             now.append(" ")
         elif item.tag in INLINE:
-            stack.extend(reversed(item.items))
+            stack.extend((c, path, inside) for c in reversed(item.items))
         else:
             flush()
-            stack.append(None)
-            stack.extend(reversed(item.items))
+            path, inside = digest(item.sign(), path), inside or id(item) in articles
+            if item.tag not in PROSE:
+                paths.add(path)
+            stack.append((None, path, inside))
+            stack.extend((c, path, inside) for c in reversed(item.items))
     flush()
     return out
 
 
-def match(a: Node, b: Node, pairs: list | None = None, depth: int = 0) -> int:
-    """Simple tree matching: size of the largest order-keeping mapping of two trees, and the mapping itself."""
-    if a.sign() != b.sign() or depth > 60:
-        return 0
-    x, y = a.children()[:WIDTH], b.children()[:WIDTH]
-    weight = [[match(p, q, None, depth + 1) for q in y] for p in x]
-    best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-    for i in range(1, len(x) + 1):
-        for j in range(1, len(y) + 1):
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + weight[i - 1][j - 1])
-    if pairs is not None:
-        pairs.append((a, b))
-        i, j = len(x), len(y)
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                match(x[i], y[j], pairs, depth + 1)
-    return best[len(x)][len(y)] + 1
-
-
-def induce(sources: list[str]) -> str:
-    """The wrapper of a host as JSON: path of signs from the root to the content slot, and constant texts."""
-    trees = [parse(s) for s in sources]
-    first, seen, same, words = trees[0], Counter(), {}, Counter()
-    for other in trees[1:]:
-        pairs: list = []
-        match(first, other, pairs)
-        for a, b in pairs:
-            seen[id(a)] += 1
-            same[id(a)] = same.get(id(a), True) and a.own_text() == b.own_text()
-    order, stack = [], [(first, [], False)]
-    while stack:
-        node, path, out = stack.pop()
-        path, out = [*path, node.sign()], out or node.out
-        order.append((node, path, out))
-        stack.extend((c, path, out) for c in reversed(node.children()))
-    # Text varies where aligned pages differ or a node has no partner.
-    for node, _, out in order:
-        words[id(node)] = 0 if out or same.get(id(node)) and seen[id(node)] == len(trees) - 1 else len(node.own_text().split())
-    total = sum(words.values())
-    sums = dict(words)
-    for node, _, _ in reversed(order):
-        if node.parent is not None:
-            sums[id(node.parent)] += sums[id(node)]
-    slot = []
-    for node, path, out in order:  # parents come first, so the last that fits is the smallest on its way down
-        if total and not out and node.tag not in INLINE and node.tag not in PROSE and sums[id(node)] >= MOST * total:
-            slot = path
-    constant = [f"{n.sign()}\n{n.own_text()}" for n, _, _ in order if seen[id(n)] == len(trees) - 1 >= 2 and same.get(id(n)) and n.own_text()]
-    return json.dumps({"slot": slot, "constant": constant})
-
-
-def slot_of(root: Node, path: list[str]) -> Node | None:
-    """The node that the path of signs leads to."""
-    at = [root]
-    for sign in path[1:]:
-        at = [c for n in at for c in n.children() if c.sign() == sign]
-        if not at:
-            return None
-    return max(at, key=mass) if path else None
-
-
-def extract(source: str | None, wrapper: dict | None) -> str:
+def read(source: str | None) -> tuple[int, int, list[tuple[int, int]], list[int], list[bool], list[str]]:
+    """template, content, marks, keys, inside, texts of a page.
+
+    Keys stand for path and text of a block. Marks are what is counted: (path, key), and (path, path) for the path itself.
+    """
     if not source:
-        return ""
+        return 0, 0, [], [], [], []
     root = parse(source)
-    region = main_node(root)
-    if wrapper and wrapper["slot"]:
-        slot = slot_of(root, wrapper["slot"])
-        if slot is not None and region.tag not in ("article", "main"):
-            region = slot
-    return "\n".join(blocks(region, set(wrapper["constant"]) if wrapper else set()))
-
-
-def wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper: learned from PAGES different pages of each host, the first in the order of a hash."""
-    order = Window.partitionBy("host").orderBy("hash")
-    few = (pages.where("html is not null and html != ''").select("host", F.xxhash64("html").alias("hash"), "html")
-           .withColumn("n", F.dense_rank().over(order)).where(F.col("n") <= PAGES).groupBy("host", "n").agg(F.first("html").alias("html"))
-           .groupBy("host").agg(F.collect_list(F.struct("n", "html")).alias("pages")))
-    schema = pa.schema([("host", pa.string()), ("wrapper", pa.string())])
-
-    def run(batches):
-        for batch in batches:
-            made = [induce([p["html"] for p in sorted(found, key=lambda p: p["n"])]) for found in batch.column("pages").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(made, pa.string())], schema=schema)
-
-    return few.mapInArrow(run, "host string, wrapper string")
+    base, articles, apart = regions(root)
+    paths: set[int] = set()
+    found = blocks(base, {id(n) for n in articles}, paths)
+    if apart:
+        found += [(path, text, True) for path, text, _ in blocks(articles[0], set(), set())]
+    sign = lambda x: x - (1 << 63)
+    keys = [digest(text, path) for path, text, _ in found]
+    marks = {(sign(p), sign(k)) for (p, _, _), k in zip(found, keys)} | {(sign(p),) * 2 for p, _, _ in found}
+    numbers = lambda x: xxhash.xxh3_64_intdigest(b"".join(n.to_bytes(8, "little") for n in x))
+    return sign(numbers(sorted(paths))), sign(numbers(keys)), sorted(marks), [sign(k) for k in keys], [i for _, _, i in found], [t for _, t, _ in found]
+
+
+def chosen(keys: list[int], inside: list[bool], texts: list[str], known: bool, constant: set[int]) -> str:
+    """The main text of a page."""
+    article = any(inside)
+    left = [t for k, i, t in zip(keys, inside, texts) if (known or i or not article) and k not in constant]
+    if not left or article and not any(i and k not in constant for k, i in zip(keys, inside)):
+        left = [t for k, i, t in zip(keys, inside, texts) if i or known and k not in constant]
+    return "\n".join(left)
+
+
+def constants(counts: DataFrame, *by: str) -> DataFrame:
+    """by, constant: the keys that SHARE of the contents with their path have, LEAST at least."""
+    pages = counts.where("key = path").select(*by, "path", F.col("n").alias("pages"))
+    return (counts.where(f"key != path and n >= {LEAST}").join(pages, [*by, "path"]).where(F.col("n") >= SHARE * F.col("pages"))
+            .groupBy(*by).agg(F.collect_list("key").alias("constant")))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), "html", host.alias("host"))
-    learned = saved(wrappers(rows))
+    kept = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("host", pa.string()), ("template", pa.int64()), ("content", pa.int64()),
+                      ("marks", pa.list_(pa.struct([("path", pa.int64()), ("key", pa.int64())]))), ("keys", pa.list_(pa.int64())), ("inside", pa.list_(pa.bool_())), ("texts", pa.list_(pa.string()))])
+
+    def parsed(batches):
+        for batch in batches:
+            template, content, marks, keys, inside, texts = zip(*map(read, batch.column("html").to_pylist())) if batch.num_rows else [()] * 6
+            marks = [[{"path": p, "key": k} for p, k in m] for m in marks]
+            made = [pa.array(c, f.type) for c, f in zip((template, content, marks, keys, inside, texts), list(kept)[3:])]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host")), *made], schema=kept)
+
+    held = saved(rows.mapInArrow(parsed, "page_id bigint, url string, host string, template bigint, content bigint, marks array<struct<path: bigint, key: bigint>>, keys array<bigint>, inside array<boolean>, texts array<string>"))
+    different = held.where("size(marks) > 0").select("host", "template", "content", "marks").dropDuplicates(["host", "template", "content"])
+    counts = saved(different.select("host", "template", F.explode("marks").alias("m")).groupBy("host", "template", "m.path", "m.key").agg(F.count(F.lit(1)).alias("n")))
+    seen = different.groupBy("host", "template").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= LEAST).select("host", "template")
+    learned = saved(seen.join(constants(counts, "host", "template"), ["host", "template"], "left").withColumn("known", F.lit(True)))
+    of_host = saved(constants(counts.groupBy("host", "path", "key").agg(F.sum("n").alias("n")), "host").withColumnRenamed("constant", "of_host"))
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches):
-        known: dict[str, dict] = {}
         for batch in batches:
-            texts = []
-            for source, wrapper in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist()):
-                if wrapper and wrapper not in known:
-                    if len(known) > 1000:
-                        known.clear()
-                    known[wrapper] = json.loads(wrapper)
-                texts.append(extract(source, known.get(wrapper)))
+            columns = (batch.column(c).to_pylist() for c in ("keys", "inside", "texts", "known", "constant", "of_host"))
+            texts = [chosen(k, i, t, bool(known), {*(c or ()), *(h or ())}) for k, i, t, known, c, h in zip(*columns)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema=schema)
 
-    return rows.join(learned, "host", "left").select("page_id", "url", "html", "wrapper").mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
+    both = held.join(learned, ["host", "template"], "left").join(of_host, "host", "left")
+    return both.select("page_id", "url", "keys", "inside", "texts", "known", "constant", "of_host").mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")

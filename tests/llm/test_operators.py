@@ -226,6 +226,19 @@ def test_main_text(spark):
     assert got[7]["text"] == "Text number 7 is here\nand goes on 49" and got[7]["n_chars"] == len(got[7]["text"])
 
 
+PAGE = "page_id bigint, url string, html string"
+
+
+def texts_of(spark, rows):
+    return {r["page_id"]: r["text"] for r in pages.main_texts(spark.createDataFrame(rows, PAGE)).collect()}
+
+
+def test_main_text_of_containers_with_constant_text_of_their_own(spark):
+    shapes = {"a": "<body><article>By Staff<p>Varying text {0}</p></article>", "b": "<body><div class=story>Advertisement<p>Varying text {0}</p></div>", "c": "<body>Skip to content<div>Varying text {0}</div>"}
+    rows = [(100 * n + i, f"http://{h}.example/{i}", shape.format(i)) for n, (h, shape) in enumerate(shapes.items()) for i in range(4)]
+    assert texts_of(spark, rows) == {r[0]: f"Varying text {r[0] % 100}" for r in rows}
+
+
 def test_language_model(spark, odd, empty):
     docs = spark.read.parquet(f"{PATH}/documents.parquet")
     assert lm.score(empty).count() == 0
