@@ -239,6 +239,24 @@ def test_main_text_of_containers_with_constant_text_of_their_own(spark):
     assert texts_of(spark, rows) == {r[0]: f"Varying text {r[0] % 100}" for r in rows}
 
 
+def test_main_text_of_many_templates_of_a_host(spark):
+    rows = []
+    for k in range(8):  # more templates than a few pages would show; two main parts each
+        for i in range(5):
+            n = 10 * k + i
+            rows.append((n, "http://t.example/x", f"<body><div class=top{chr(97 + k)}>Site {k}</div><div class=one><p>First part {n}</p><p>{'often' if i < 3 else 'seldom'} said</p></div><div class=two>Other part {n}</div>"))
+    got = texts_of(spark, rows)
+    assert got == {r[0]: f"First part {r[0]}\n{'often' if r[0] % 10 < 3 else 'seldom'} said\nOther part {r[0]}" for r in rows}
+
+
+def test_main_text_outside_and_of_several_articles(spark):
+    page = "<body><div class=top>Site</div><article><p>One {0}</article><article><p>Two {0}</article><div class=more>Beside {0}</div>"
+    rows = [(i, "http://many.example/x", page.format(i)) for i in range(4)] + [(9, "http://few.example/x", page.format(9))]
+    assert texts_of(spark, rows) == {i: f"One {i}\nTwo {i}\nBeside {i}" for i in range(4)} | {9: "One 9\nTwo 9"}
+    same = [(i, "http://s.example/x", f"<body><article><p>All the same</article><div class=more>{i}</div>") for i in range(4)]
+    assert texts_of(spark, same) == {i: f"All the same\n{i}" for i in range(4)}
+
+
 def test_language_model(spark, odd, empty):
     docs = spark.read.parquet(f"{PATH}/documents.parquet")
     assert lm.score(empty).count() == 0
