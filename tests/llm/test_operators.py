@@ -5,6 +5,7 @@ import hashlib
 import math
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -178,6 +179,26 @@ def test_top_k(spark):
     assert topk.search(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_top_k_takes_every_finite_vector(spark):
+    rng = np.random.default_rng(6)
+    x = {i: rng.standard_normal(8) * [1.0, 1e4, 1e6, 1e9, 1e17, 1e60, 1e308 / 9][i % 7] for i in range(210)}
+    x[7] = x[0].copy()
+    x[7][0] = 1e40  # large only where others are zero
+    x[14][0] = x[50][0] = 0.0
+    got = topk.search(spark.createDataFrame([(i, v.tolist(), 0, "", "") for i, v in x.items()], VECTORS)).collect()
+    q = {i: [math.floor(Fraction(a) * 256) for a in v.tolist()] for i, v in x.items()}
+    want = []
+    for i in range(0, 210, 50):
+        top = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j != i)[:5]
+        want += [(i, r + 1, j, max(-(1 << 63), min((1 << 63) - 1, -s))) for r, (s, j) in enumerate(top)]
+    assert sorted(map(tuple, got)) == sorted(want)
+    plain = {i: rng.standard_normal(8) * 9000 for i in range(120)}
+    got = topk.search(spark.createDataFrame([(i, v.tolist(), 0, "", "") for i, v in plain.items()], VECTORS)).collect()
+    q = {i: np.floor(256 * v).astype(int) for i, v in plain.items()}
+    want = [(i, r + 1, j, -s) for i in (0, 50, 100) for r, (s, j) in enumerate(sorted((-int(q[i] @ q[j]), j) for j in q if j != i)[:5])]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(4)
     rows, centre = [], rng.standard_normal((30, 16))
