@@ -178,8 +178,8 @@ def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
             .dropDuplicates(["node"]))
 
 
-def link(documents: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, node, component_id, kept: one row per document."""
+def linked(documents: DataFrame, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component, component_id: one row per document; component is null for empty sets."""
     sketched = saved(sketches(documents))
     some = sketched.where("node is not null")
     nodes = saved(some.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("at"), F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n_shingles"),
@@ -212,18 +212,36 @@ def link(documents: DataFrame, percent: int = 85) -> DataFrame:
         labels = saved(shared.join(grouped, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
     named = (nodes.select("node", "first_id").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")))
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = named.join(smallest, "component").select("node", "component_id")
-    with_text = some.join(named, "node").select("doc_id", "n_shingles", "component_id")
-    without = sketched.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return with_text.unionByName(without).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = named.join(smallest, "component").select("node", "component", "component_id")
+    columns = ["doc_id", "text_hash", "n_shingles", "component", "component_id"]
+    with_text = some.join(named, "node").select(columns)
+    without = sketched.where("node is null").withColumn("component", F.lit(None).cast("bigint")).withColumn("component_id", F.col("doc_id")).select(columns)
+    return with_text.unionByName(without)
+
+
+def link(documents: DataFrame, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per document."""
+    return linked(documents, percent).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def without_copies(documents: DataFrame, percent: int = 80) -> DataFrame:
-    """The documents of which one of each group stays: that of the smallest id, one row of it."""
-    kept = link(documents, percent).where("kept").groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows"))
-    joined = documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")))
-    once = joined.where("_rows = 1").select(documents.columns)
-    return once.unionByName(joined.where("_rows > 1").dropDuplicates(["doc_id"]).select(documents.columns))
+    """The documents of which one row of each group stays, the first by doc_id (nulls last) and hash of the text.
+
+    Rows are told apart by both, so texts that share an id, or have none, are decided each by itself. Repeated rows of
+    one id and text are one, also without words; of these the smallest in the order of all columns stays.
+    """
+    rows = saved(linked(documents, percent))
+    first = rows.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("at"))
+    alone = rows.where("component is null").select("doc_id", "text_hash")
+    kept = first.select("at.doc_id", "at.text_hash").unionByName(alone.distinct())
+    counted = rows.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.count(F.lit(1)).alias("_rows"))
+    kept = counted.join(kept, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")), "left_semi")
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    joined = documents.join(kept, same)
+    order = [f.name for f in documents.schema if "map<" not in f.dataType.simpleString()]
+    one = (joined.where("_rows > 1").groupBy("_id", "_hash").agg(F.min_by(F.struct(*documents.columns), F.struct(*order)).alias("_row"))
+           .select(*[F.col("_row")[c].alias(c) for c in documents.columns]))
+    return joined.where("_rows = 1").select(documents.columns).unionByName(one)
 
 
 def oracle(percent: int = 85) -> str:

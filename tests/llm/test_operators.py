@@ -111,6 +111,16 @@ def test_near_copies(odd, empty):
     assert abs(nearcopies.estimate(*scaled, 900, 900) - len(a & b) / len(a | b)) < 0.12
 
 
+def test_near_copies_are_decided_row_by_row(spark):
+    text = {k: " ".join(f"{k}{i}" for i in range(80)) for k in "abcdef"}
+    rows = [(1, text["a"], "x"), (1, text["b"], "x"), (2, text["b"] + " more", "x"), (3, text["c"], "x"), (3, text["a"] + " too", "x"),
+            (None, text["d"], "x"), (None, text["e"], "x"), (None, text["c"] + " end", "x"), (4, text["f"], "z"), (4, text["f"], "y"), (None, None, "x"), (None, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    want = sorted([(1, text["a"], "x"), (1, text["b"], "x"), (3, text["c"], "x"), (None, text["d"], "x"), (None, text["e"], "x"), (4, text["f"], "y"), (None, None, "x")], key=str)
+    for frame in (docs, docs.repartition(5)):
+        assert sorted(map(tuple, nearcopies.without_copies(frame).collect()), key=str) == want
+
+
 def test_near_copy_families(spark):
     """Chains and separate components that share bands: every component is that of brute force."""
     rng = np.random.default_rng(5)
