@@ -140,8 +140,7 @@ def _(t):
 
 @query("L15_linear_svc")
 def _(t):
-    df = features.radial(features.array_columns(t.embeddings, "embedding", 4), ["x0", "x1", "x2", "x3"])
-    df = features.assemble(df.withColumn("label", (F.col("label") < 5).cast("double")), ["x0", "x1", "x2", "x3", "r"])
+    df = features.radial(t.embeddings, "embedding").withColumn("label", (F.col("label") < 5).cast("double"))
     train, test = train_test(df, "vec_id")
     return fit.score(LinearSVC(maxIter=20).fit(train), test, ["vec_id"])
 

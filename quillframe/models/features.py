@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,10 +80,8 @@ def folds(df: DataFrame, k: int, seed: int, *ids: str, out: str = "fold") -> Dat
     return df.withColumn(out, F.floor(uniform(seed, *ids) * k).cast("int"))
 
 
-def radial(df: DataFrame, cols: list[str], out: str = "r") -> DataFrame:
-    """exp(-|x|^2): the radial feature that makes concentric classes linearly separable."""
-    return df.withColumn(out, F.exp(-sum((F.col(c) * F.col(c) for c in cols), F.lit(0.0))))
-
-
-def array_columns(df: DataFrame, vec: str, n: int, prefix: str = "x") -> DataFrame:
-    return df.withColumns({f"{prefix}{i}": F.col(vec)[i].cast("double") for i in range(n)})
+def radial(df: DataFrame, vec: str, out: str = "features") -> DataFrame:
+    """All elements x of an array and exp(-|x|^2), the radial feature that makes concentric classes linearly separable."""
+    x = F.col(vec).cast("array<double>")
+    square = F.aggregate(x, F.lit(0.0), lambda total, e: total + e * e)
+    return df.withColumn(out, array_to_vector(F.concat(x, F.array(F.exp(-square)))))

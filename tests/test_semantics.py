@@ -1,6 +1,7 @@
 """Small inputs with results worked out by hand or by plain Python."""
 
 import math
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from quillframe.corpus import tokens as tok
 from quillframe.corpus import weights
 from quillframe.functions import arrays, dates, numeric, text
 from quillframe.operators import aggregate, joins, missing, neighbours, timeseries
+from quillframe.registry import load_catalog
 from quillframe.sources import accesslog, files, fixedwidth
 from quillframe.stats import distributions as dist
 from quillframe.stats import inference
@@ -196,3 +198,10 @@ def test_draws_follow_the_distribution(spark):
     df = column(spark, [1.0] * 70 + [2.0] * 30, "double")
     got = dist.draw(df, "v", spark.range(4000), seed=3).groupBy("v").count().toPandas().set_index("v")["count"]
     assert abs(got[1.0] / 4000 - 0.7) < 0.03 and got.sum() == 4000
+
+
+def test_linear_svc_learns_from_every_element(spark):
+    rows = [(i, [0.1 * ((i * k) % 7) for k in range(63)] + [1.0 if i % 2 else -1.0], 1 if i % 2 else 8) for i in range(200)]
+    t = SimpleNamespace(embeddings=spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    got = load_catalog()["L15_linear_svc"].build(t).collect()
+    assert got and all((r["prediction"] == 1.0) == (r["vec_id"] % 2 == 1) for r in got)
