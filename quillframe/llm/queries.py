@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from quillframe.llm import bpe, chat, langid, lm, mixing, nearcopies, neighbours, pages, substring, topk
+from quillframe.llm import archive, bpe, chat, infill, langid, lm, mixing, nearcopies, neighbours, pages, partcodes, substring, topk
 from quillframe.llm.common import table
 
 
@@ -55,7 +55,20 @@ def op10_lm_scoring(spark, path) -> DataFrame:
     return lm.score(table(spark, path, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_bpe, op4_near_copies, op5_source_mix, op6_chat_format, op7_top_k, op8_main_text, op9_near_vectors, op10_lm_scoring)}
+def op11_warc(spark, path) -> DataFrame:
+    return archive.digest(table(spark, path, "pages"))
+
+
+def op12_part_codes(spark, path) -> DataFrame:
+    return partcodes.digest(table(spark, path, "embeddings"))
+
+
+def op13_infill(spark, path) -> DataFrame:
+    return infill.digest(table(spark, path, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_language_id, op3_bpe, op4_near_copies, op5_source_mix, op6_chat_format, op7_top_k, op8_main_text,
+                                   op9_near_vectors, op10_lm_scoring, op11_warc, op12_part_codes, op13_infill)}
 
 ORACLES = {
     "op1_substring_dedup": substring.oracle(),
@@ -63,4 +76,7 @@ ORACLES = {
     "op5_source_mix": mixing.oracle(),
     "op6_chat_format": chat.oracle(),
     "op7_top_k": topk.oracle(),
+    "op11_warc": archive.oracle(),
+    "op12_part_codes": partcodes.oracle(),
+    "op13_infill": infill.oracle(),
 }
