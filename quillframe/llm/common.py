@@ -30,7 +30,24 @@ def saved(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "rows")
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that nothing reads any more, in whatever file system they are."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+
+
+def dropped(*frames: DataFrame | None) -> None:
+    """Delete the tables of ``saved`` frames; every result that read them must be written by now."""
+    for frame in frames:
+        if frame is not None:
+            remove(frame.sparkSession, frame.saved_at)
 
 
 def by_rows(fn: Callable[..., tuple], schema: pa.Schema, *names: str):
@@ -96,8 +113,11 @@ def windows(hashes: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     return scramble(out, seed)
 
 
-_BYTE = np.random.default_rng(606).integers(0, 1 << 64, 256, np.uint64)
-_LOWER_BYTE = _BYTE[[b + 32 if 65 <= b <= 90 else b for b in range(256)]]
+#: Bytes of a word that have a random number for each place and value; longer words are hashed by the library.
+SHORT = 48
+#: Two families of word hashes with nothing in common.
+_TABLES = [np.random.default_rng(seed).integers(0, 1 << 64, SHORT * 256, np.uint64) for seed in (606, 1717)]
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _IS_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
 FACTOR = 0xD1342543DE82EF95
 INVERSE = pow(FACTOR, -1, 1 << 64)
@@ -113,8 +133,12 @@ def powers(n: int, factor: int = FACTOR) -> np.ndarray:
     return _powers[factor][:n]
 
 
-def hashed(texts: list[str | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of some texts, one after the other, and the number of words up to each text's end."""
+def hashed(texts: list[str | None], lower: bool = False, family: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of some texts, one after the other, and the number of words up to each text's end.
+
+    A word's hash is the sum of random numbers drawn for its bytes and their places (tabulation), so no arithmetic of
+    places lets two words meet; words of more than SHORT bytes take the library's hash.
+    """
     data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     blob = np.frombuffer(b"\n".join(data) + b"\n", np.uint8)
     inside = ~_IS_SPACE[blob]
@@ -125,9 +149,13 @@ def hashed(texts: list[str | None], lower: bool = False) -> tuple[np.ndarray, np
         return np.zeros(0, np.uint64), ends
     size = stop - start
     first = np.cumsum(size) - size
-    value = (_LOWER_BYTE if lower else _BYTE)[blob[inside]]
-    value *= powers(int(size.max()))[np.arange(len(value)) - np.repeat(first, size)]
-    return scramble(np.add.reduceat(value, first) + size.astype(np.uint64)), ends
+    letters = _LOWER[blob] if lower else blob
+    at = np.arange(int(size.sum())) - np.repeat(first, size)
+    value = _TABLES[family][np.minimum(at, SHORT - 1) * 256 + letters[inside]]
+    out = scramble(np.add.reduceat(value, first) + size.astype(np.uint64))
+    for i in np.flatnonzero(size > SHORT).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(letters[start[i]:stop[i]].tobytes(), seed=family)
+    return out, ends
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -7,8 +7,8 @@ of its edges branches, so the count of the path is the count of each edge. Only
 their edges counted one by one, for one document of each path. Source coordinates (document, first word, edges) lead
 back to the spans, which are cut out of the whole text.
 
-Equal edges have equal anchors at equal places, so no repeat is lost; edges are told apart by 128 bits, paths by the
-anchor and 64 bits more. Rules: words are split at ASCII white space and compared unchanged; a null text has no words;
+Equal edges have equal anchors at equal places, so no repeat is lost; edges are told apart by 128 bits from two families
+of word hashes that have nothing in common, paths by the anchor and 64 bits of the second family. Rules: words are split at ASCII white space and compared unchanged; a null text has no words;
 a text shorter than ``span`` keeps everything; repeated rows are repeats of each other; empty table, empty result.
 """
 
@@ -41,8 +41,8 @@ def smallest(order: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def paths(hashes: np.ndarray, ends: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
-    """text (its place), anchor, path, start, edges of all paths in some texts whose word hashes stand in a row."""
+def paths(hashes: np.ndarray, ends: np.ndarray, others: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
+    """text (its place), anchor, path, start, edges of all paths in some texts whose word hashes (of two families) stand in a row."""
     begin = np.concatenate([[0], ends[:-1]])
     text = np.repeat(np.arange(len(ends)), ends - begin)
     edges = len(hashes) - span + 1
@@ -55,7 +55,7 @@ def paths(hashes: np.ndarray, ends: np.ndarray, span: int) -> tuple[np.ndarray,
     # A path starts at an edge inside one text whose anchor differs from that of the edge before.
     start = np.flatnonzero(inside & (new | ~np.concatenate([[False], inside[:-1]])))
     stop = np.flatnonzero(inside & (np.concatenate([new[1:], [True]]) | ~np.concatenate([inside[1:], [False]]))) + 1
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(scramble(hashes, 9) * powers(len(hashes)), dtype=np.uint64)])
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(scramble(others, 9) * powers(len(others)), dtype=np.uint64)])
     # The sum from a to b is a multiple of the factor's a-th power, so its inverse makes it free of the place.
     path = scramble((sums[stop + span - 1] - sums[start]) * powers(len(hashes), INVERSE)[start] + (stop - start).astype(np.uint64), 3)
     return text[start], grams[at[start]], path, start - begin[text[start]], stop - start
@@ -80,7 +80,7 @@ def walks(documents: DataFrame, span: int) -> DataFrame:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for first, stop in pieces(texts):
-                text, anchor, path, start, edges = paths(*hashed(texts[first:stop]), span)
+                text, anchor, path, start, edges = paths(*hashed(texts[first:stop]), hashed(texts[first:stop], family=1)[0], span)
                 rows = pa.array(text + first)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows), batch.column("text_hash").take(rows), pa.array(signed(anchor)), pa.array(signed(path)),
                                                   pa.array(start.astype(np.int32)), pa.array(edges.astype(np.int32))], schema=PATHS)
@@ -89,13 +89,17 @@ def walks(documents: DataFrame, span: int) -> DataFrame:
 
 
 def edges_of(chosen: DataFrame, span: int) -> DataFrame:
-    """The edges of chosen paths: rows with text and a list ``paths`` of (anchor, path, copies, start, edges)."""
+    """The edges of chosen paths: rows with text and a list ``paths`` of (anchor, path, copies, start, edges).
+
+    Other columns are taken along unread: the texts then come from the very shuffle that the last join reads.
+    """
 
     def run(batches):
         for batch in batches:
             texts, lists = batch.column("text").to_pylist(), batch.column("paths")
             for first, stop in pieces(texts):
-                h, ends = hashed(texts[first:stop])
+                both = [hashed(texts[first:stop], family=f) for f in (0, 1)]
+                ends = both[0][1]
                 found = lists.slice(first, stop - first)
                 begin = np.repeat(np.concatenate([[0], ends[:-1]]), np.diff(found.offsets.to_numpy()))
                 path = found.flatten()
@@ -103,13 +107,16 @@ def edges_of(chosen: DataFrame, span: int) -> DataFrame:
                 at = np.repeat(path.field("start").to_numpy() + begin, n)
                 edge = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
                 col = [pa.array(np.repeat(path.field(c).to_numpy(), n)) for c in ("anchor", "path", "copies")]
-                yield pa.RecordBatch.from_arrays([*col, pa.array(edge.astype(np.int32)), *(pa.array(signed(windows(h, span, seed)[at + edge])) for seed in (0, 11))], schema=EDGES)
+                yield pa.RecordBatch.from_arrays([*col, pa.array(edge.astype(np.int32)), *(pa.array(signed(windows(h, span, seed)[at + edge])) for (h, _), seed in zip(both, (0, 11)))], schema=EDGES)
 
-    return chosen.select("text", "paths").mapInArrow(run, "anchor bigint, path bigint, copies bigint, edge int, e1 bigint, e2 bigint")
+    return chosen.mapInArrow(run, "anchor bigint, path bigint, copies bigint, edge int, e1 bigint, e2 bigint")
 
 
-def repeated(documents: DataFrame, span: int = SPAN, *keep: str) -> DataFrame:
-    """doc_id, text, spans and ``row`` (the columns ``keep``): each document with the (first edge, edges) that repeat."""
+def repeated(documents: DataFrame, span: int = SPAN, *keep) -> DataFrame:
+    """doc_id, text, spans and ``row`` (the columns ``keep``): each document with the (first edge, edges) that repeat.
+
+    Rows that share id and text have the same spans, which a set holds once.
+    """
     row = [F.struct(*keep).alias("row")] if keep else []
     full = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text", *row)
     docs = full.select("doc_id", "text_hash", "text")
@@ -122,7 +129,7 @@ def repeated(documents: DataFrame, span: int = SPAN, *keep: str) -> DataFrame:
     chosen = (compact.where("branches").groupBy(F.col("at.doc_id").alias("_id"), F.col("at.text_hash").alias("_hash"))
               .agg(F.collect_list(F.struct("anchor", "path", "copies", "at.start", "at.edges")).alias("paths")))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
-    edges = edges_of(docs.join(chosen, same), span)
+    edges = edges_of(full.join(chosen, same), span)
     # A repeated row gives its edges twice; a path counts once, with its copies.
     often = edges.groupBy("e1", "e2").agg(F.sum("copies").alias("uses"), F.min(F.struct("anchor", "path", "edge")).alias("a"), F.max(F.struct("anchor", "path", "edge")).alias("b"))
     often = often.where("a != b or uses > 1").select("e1", "e2")
@@ -131,7 +138,7 @@ def repeated(documents: DataFrame, span: int = SPAN, *keep: str) -> DataFrame:
     known = marked.join(whole.select("anchor", "path"), ["anchor", "path"], "left_anti").unionByName(whole)
     spans = (shared.join(known, ["anchor", "path"])
              .select("doc_id", "text_hash", F.explode(F.expr("case when list is null then array(struct(start, edges)) else transform(list, i -> struct(start + i as start, 1 as edges)) end")).alias("span"))
-             .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.collect_list("span").alias("spans")))
+             .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.collect_set("span").alias("spans")))
     return full.join(spans, same, "left").select("doc_id", "text", "spans", *(["row"] if keep else []))
 
 
@@ -170,13 +177,16 @@ def without_repeats(documents: DataFrame, span: int = SPAN) -> DataFrame:
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 kept, gone = cut(text, spans, span)
                 new.append(b" ".join(kept).decode("utf-8", "surrogatepass") if gone else text)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(new, pa.string())], names=["row", "_text"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(new, pa.string()), batch.column("row")], names=["doc_id", "text", "row"])
 
-    source = repeated(documents, span, *documents.columns)
-    out = source.select("text", "spans", "row").mapInArrow(run, f"row {source.schema['row'].dataType.simpleString()}, _text string").select("row.*", "_text")
+    others = [c for c in documents.columns if c not in ("doc_id", "text", "n_chars")]
+    keep = others or [F.lit(0).alias("none")]
+    source = repeated(documents, span, *keep)
+    out = source.mapInArrow(run, f"doc_id bigint, text string, row {source.schema['row'].dataType.simpleString()}")
+    known = {"doc_id": F.col("doc_id").cast(documents.schema["doc_id"].dataType), "text": F.col("text")}
     if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.length("_text").cast(documents.schema["n_chars"].dataType))
-    return out.withColumn("text", F.col("_text")).select(documents.columns)
+        known["n_chars"] = F.length("text").cast(documents.schema["n_chars"].dataType)
+    return out.select(*(known[c].alias(c) if c in known else F.col("row")[c].alias(c) for c in documents.columns))
 
 
 def oracle(span: int = SPAN) -> str:
