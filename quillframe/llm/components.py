@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.llm.common import saved
+from quillframe.llm.common import dropped, saved
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,7 +23,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.expr("case when v = m then array(struct(u as u, m as v)) else array(struct(u as u, m as v), struct(v as u, m as v)) end")).alias("e")).select("e.u", "e.v").distinct()
-        links = saved(small)
+        links, before = saved(small), links
+        dropped(before)
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 

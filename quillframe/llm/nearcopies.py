@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.llm.common import by_rows, hashed, saved, windows
+from quillframe.llm.common import by_rows, dropped, hashed, saved, windows
 from quillframe.llm.components import components
 
 SHINGLE = 5
@@ -179,7 +179,10 @@ def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def linked(documents: DataFrame, percent: int) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component, component_id: one row per document; component is null for empty sets."""
+    """doc_id, text_hash, n_shingles, component, component_id: one row per document; component is null for empty sets.
+
+    The result is a written table; those it was made from are deleted.
+    """
     sketched = saved(sketches(documents))
     some = sketched.where("node is not null")
     nodes = saved(some.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("at"), F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n_shingles"),
@@ -216,7 +219,9 @@ def linked(documents: DataFrame, percent: int) -> DataFrame:
     columns = ["doc_id", "text_hash", "n_shingles", "component", "component_id"]
     with_text = some.join(named, "node").select(columns)
     without = sketched.where("node is null").withColumn("component", F.lit(None).cast("bigint")).withColumn("component_id", F.col("doc_id")).select(columns)
-    return with_text.unionByName(without)
+    out = saved(with_text.unionByName(without))
+    dropped(sketched, nodes, members, shared, sets)
+    return out
 
 
 def link(documents: DataFrame, percent: int = 85) -> DataFrame:
@@ -230,7 +235,7 @@ def without_copies(documents: DataFrame, percent: int = 80) -> DataFrame:
     Rows are told apart by both, so texts that share an id, or have none, are decided each by itself. Repeated rows of
     one id and text are one, also without words; of these the smallest in the order of all columns stays.
     """
-    rows = saved(linked(documents, percent))
+    rows = linked(documents, percent)
     first = rows.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("at"))
     alone = rows.where("component is null").select("doc_id", "text_hash")
     kept = first.select("at.doc_id", "at.text_hash").unionByName(alone.distinct())
