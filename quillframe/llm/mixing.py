@@ -98,13 +98,18 @@ def placed(docs: DataFrame, chunks: int) -> DataFrame:
     cut = docs.withColumn("chunk", F.expr(f"{mixed('abs(coalesce(doc_id, 0) % ' + str(PRIME) + ')', '3')} % {chunks}"))
     sums = cut.groupBy("ordinal", "chunk").agg(F.sum("size").alias("chunk_size"))
     offsets = sums.withColumn("before", F.expr("coalesce(sum(chunk_size) over (partition by ordinal order by chunk rows between unbounded preceding and 1 preceding), 0)"))
-    inside = cut.withColumn("inside", F.expr("sum(size) over (partition by ordinal, chunk order by doc_id, size rows between unbounded preceding and current row) - size"))
+    inside = cut.withColumn("inside", F.expr("sum(size) over (partition by ordinal, chunk order by doc_id, size, text_hash rows between unbounded preceding and current row) - size"))
     return inside.join(offsets.select("ordinal", "chunk", "before"), ["ordinal", "chunk"]).withColumn("start", F.expr("before + inside")).drop("chunk", "before", "inside")
 
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, block: int = 64, shard_slots: int = 4096, chunks: int = 256) -> DataFrame:
+def mix(documents: DataFrame, **options) -> DataFrame:
     """doc_id, source, size, source_size, target, taken for ``documents`` with columns doc_id, source, text."""
-    sized = saved(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
+    return taken_words(documents, **options).drop("text_hash")
+
+
+def taken_words(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, block: int = 64, shard_slots: int = 4096, chunks: int = 256) -> DataFrame:
+    """The mix row by row, with the hash of each row's text."""
+    sized = saved(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("text_hash"),
                                    F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("bigint").alias("size")))
     sources = saved(shares(sized, weights, cap))
     known = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
@@ -113,25 +118,35 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3
     cuts = (full.withColumn("block", F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")))
             .withColumn("part", F.expr(f"least(start + size, (block + 1) * {block}) - greatest(start, block * {block})")))
     taken = (cuts.join(takes, ["ordinal", "block"], "left")
-             .groupBy("ordinal", "start", "doc_id", "source", "size", "source_size", "target")
+             .groupBy("ordinal", "start", "doc_id", "source", "text_hash", "size", "source_size", "target")
              .agg(F.sum(F.expr("part * coalesce(times, 0)")).alias("taken")))
-    columns = ["doc_id", "source", "size", "source_size", "target", "taken"]
+    columns = ["doc_id", "source", "text_hash", "size", "source_size", "target", "taken"]
     return taken.select(columns).unionByName(known.where("size = 0").withColumn("taken", F.lit(0).cast("bigint")).select(columns))
 
 
 def copies(documents: DataFrame, **options) -> DataFrame:
-    """The mixed documents themselves: each as many times as the mix takes its words.
+    """The mixed documents themselves: each row as many times as the mix takes its words.
 
-    A part of a time counts as a whole one with a chance of that part, by a hash of the id, so that a source's words
-    come near its target also where every document would round the same way. A document without words adds nothing to
-    any share and stays once. Repeated rows of one id share their mean.
+    Rows are decided one by one, told apart by id, source and text, so rows without an id or with a shared one are
+    documents of their own. A part of a time counts as a whole one with a chance of that part, by a hash of these, so that
+    a source's words come near its target also where every document would round the same way. Rows that agree in all
+    three share the times of all of them; wholly equal rows are counted, not numbered, so their number does not matter.
+    A row without words adds nothing to any share and stays once.
     """
-    plan = (mix(documents, **options).groupBy("doc_id")
-            .agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size")))
-    drawn = mixed(f"pmod(coalesce(doc_id, 0), {PRIME})", "11")
-    times = F.expr(f"cast(case when _size = 0 then 1 else _taken div _size + case when (_taken % _size) / cast(_size as double) > {drawn} / {PRIME}D then 1 else 0 end end as int)")
-    joined = documents.join(plan.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_times", times).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(documents.columns)
+    names = documents.columns
+    plain = documents.toDF(*(f"c{i}" for i in range(len(names))))  # no name of the documents can meet one of the plan
+    doc_id, source, text = (plain[f"c{names.index(c)}"] for c in ("doc_id", "source", "text"))
+    plan = (taken_words(documents, **options).groupBy(*(F.col(k).alias(f"_{k}") for k in ("doc_id", "source", "text_hash")))
+            .agg(F.sum("taken").alias("_taken"), F.max("size").alias("_size"), F.count(F.lit(1)).alias("_rows")))
+    same = doc_id.cast("bigint").eqNullSafe(F.col("_doc_id")) & source.cast("string").eqNullSafe(F.col("_source")) & (F.xxhash64(text) == F.col("_text_hash"))
+    joined = plain.join(plan, same).withColumn("_draw", F.expr(f"{mixed(f'pmod(xxhash64(_doc_id, _source), {PRIME})', f'pmod(_text_hash, {PRIME})')} / {PRIME}D"))
+    whole = "case when _size = 0 then {n} else {n} * _taken div (_size * _rows) + case when ({n} * _taken % (_size * _rows)) / cast(_size * _rows as double) > _draw then 1 else 0 end end"
+    alone = joined.where("_rows = 1").withColumn("_times", F.expr(whole.format(n="1L"))).select(*plain.columns, "_times")
+    equal = (joined.where("_rows > 1").groupBy(*plain.columns, "_taken", "_size", "_rows", "_draw").agg(F.count(F.lit(1)).alias("_n"))
+             .withColumn("_times", F.expr(whole.format(n="_n"))).select(*plain.columns, "_times"))
+    # A count of equal rows may be large; parts of it are dealt out as rows, each part within one array.
+    times = alone.unionByName(equal).where("_times > 0").withColumn("_far", F.explode(F.expr("sequence(0L, (_times - 1) div 4096)")))
+    return times.withColumn("_near", F.explode(F.expr("sequence(1L, least(4096L, _times - _far * 4096))"))).select(plain.columns).toDF(*names)
 
 
 def oracle(weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, block: int = 64, chunks: int = 256) -> str:
