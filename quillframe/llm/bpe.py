@@ -213,6 +213,19 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.mapInArrow(fn, "doc_id bigint, text string")
 
 
+def corpus(documents: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, ids, ids_sha256, decoded_sha256: the encoded corpus with the digests that check it."""
+    schema = pa.schema([DIGEST.field("doc_id"), DIGEST.field("n_tokens"), ENCODED.field("ids"), DIGEST.field("ids_sha256"), DIGEST.field("decoded_sha256")])
+
+    def row(doc_id, text):
+        tables = vocabulary(path)
+        ids = tables.encode(text)
+        return doc_id, len(ids), ids.astype(np.int32), sha(ids.tobytes()), sha(tables.decode(ids))
+
+    out = "doc_id bigint, n_tokens bigint, ids array<int>, ids_sha256 string, decoded_sha256 string"
+    return documents.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(by_rows(row, schema, "doc_id", "text"), out)
+
+
 def digest(documents: DataFrame, path: str) -> DataFrame:
     """Per document: n_tokens, and the digests of its ids and of what they decode to, in one pass over the texts."""
 
