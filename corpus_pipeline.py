@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillframe.llm import bpe, langid, mixing, nearcopies, substring
-from quillframe.llm.common import table
+from quillframe.llm.common import remove, table
 from quillframe.llm.queries import tokenizer_file
 from quillframe.session import scratch_path
 
@@ -44,8 +44,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, with the digests that decoding and comparing use."""
-    return bpe.digest(docs, tokenizer_file())
+    """doc_id, n_tokens, ids, ids_sha256, decoded_sha256: the token ids of each text, and digests of them and of what they decode to."""
+    return bpe.corpus(docs, tokenizer_file())
 
 
 STAGES = [("language ID", language_id), ("MinHash near-dedup", near_copies), ("substring dedup", substring_dedup),
@@ -53,12 +53,13 @@ STAGES = [("language ID", language_id), ("MinHash near-dedup", near_copies), ("s
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, written = table(spark, sf_dir, "documents"), []
     for k, (_, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if k == len(STAGES) - 1:
             return out
         path = scratch_path(spark, f"stage-{k}")
         out.write.parquet(path)
-        docs = spark.read.parquet(path)
+        remove(spark, *written)  # the stage that read it is written
+        docs, written = spark.read.parquet(path), [path]
     return docs
