@@ -226,6 +226,23 @@ def _(t):
     return back.groupBy(F.col("day_key").alias("day")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
+@query("S18_compaction_by_bytes", """
+SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, true AS within_target, true AS fewer_files FROM events GROUP BY 1""")
+def _(t):
+    # Uneven text files: the tasks that wrote them hold a growing share of each day.
+    small, merged = t.scratch("small"), t.scratch("merged")
+    line = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
+    uneven = F.floor(F.pow(F.pmod(F.xxhash64("event_id"), F.lit(997)) / 997.0, F.lit(3.0)) * 24).cast("int")
+    t.events.select(line.alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("day"), uneven.alias("task")).write.partitionBy("day", "task").text(small)
+    target = 16_384
+    before = sinks.compact_lines(t.spark, small, merged, "day=([0-9-]+)", target).groupBy(F.col("group").alias("day")).agg(F.count("*").alias("_before"))
+    found = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(merged).select("path", "length")
+    after = found.groupBy(files.partition_value(F.col("path"), "group").alias("day")).agg(F.max("length").alias("_most"), F.count("*").alias("_after"))
+    lines = t.spark.read.option("recursiveFileLookup", "true").text(merged).groupBy(files.partition_value(F.col("_metadata.file_path"), "group").alias("day")).agg(F.count("*").alias("n"))
+    both = lines.join(after, "day").join(before, "day")
+    return both.select("day", "n", (F.col("_most") <= target + 256).alias("within_target"), (F.col("_after") < F.col("_before")).alias("fewer_files"))
+
+
 @query("S19_table_layout", """
 SELECT p_brand, count(*) AS n, round(sum(l_quantity), 2) AS qty FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand""")
 def _(t):

@@ -3,21 +3,27 @@
 from pyspark.sql import functions as F
 
 from quillframe.registry import query
-from quillframe.streaming import jobs
+from quillframe.streaming import jobs, state
 
 DAYS_PER_SHARD = 8
 SHARD = f"CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // {DAYS_PER_SHARD} AS INTEGER)"
 
 
 def arrivals(t):
-    """Write the events shard by shard as text, yielding the folder after each one."""
-    path = t.scratch("arrivals")
-    first, last = t.events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    """Write the events as text once, split into shards, and let one shard after the other arrive in a folder.
+
+    The folder is given out after each arrival. Shards are folders of files, so a move makes a whole one visible.
+    """
+    staged, path = t.scratch("staged"), t.scratch("arrivals")
     line = F.concat_ws(" ", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), "user_id", "event_type", "value")
-    for start in range(0, (last - first).days + 1, DAYS_PER_SHARD):
-        lo = F.date_add(F.lit(first), start).cast("timestamp_ntz")
-        hi = F.date_add(F.lit(first), start + DAYS_PER_SHARD).cast("timestamp_ntz")
-        t.events.filter((F.col("ts") >= lo) & (F.col("ts") < hi)).select(line).write.mode("append").text(path)
+    shard = F.floor(F.date_diff(F.to_date("ts"), t.events.agg(F.to_date(F.min("ts"))).scalar()) / DAYS_PER_SHARD)
+    t.events.select(line.alias("value"), shard.alias("shard")).write.partitionBy("shard").text(staged)
+    at = t.spark._jvm.org.apache.hadoop.fs.Path
+    files = at(path).getFileSystem(t.spark._jsc.hadoopConfiguration())
+    files.mkdirs(at(path))
+    names = [f.getPath().getName() for f in files.listStatus(at(staged)) if f.isDirectory()]  # one name per shard
+    for name in sorted(names, key=lambda n: int(n.partition("=")[2])):
+        files.rename(at(staged, name), at(path, name))
         yield path
 
 
@@ -92,8 +98,43 @@ def _(t):
 
 @query("D08_progress", f"SELECT {SHARD} AS batch_id, count(*) AS rows FROM events GROUP BY 1")
 def _(t):
-    out, ckpt, rows = t.scratch("rows"), t.scratch("state"), []
+    out, ckpt = t.scratch("rows"), t.scratch("state")
+    with jobs.ProgressTable(t.spark, t.scratch("progress")) as log:
+        for path in arrivals(t):
+            log.wait(jobs.to_files(actions(t, path), out, ckpt))
+    return log.table().filter("rows > 0").select(F.col("batch_id").cast("int").alias("batch_id"), "rows")
+
+
+@query("D01_running_stream", "SELECT ts, user_id, event_type AS action, value FROM events")
+def _(t):
+    # A query that keeps running while shards arrive; it is stopped once on the way and goes on from its checkpoint.
+    out, ckpt, running = t.scratch("rows"), t.scratch("state"), None
+    for i, path in enumerate(arrivals(t)):
+        if running is None or i == 2:
+            if running:
+                running.stop()
+            running = jobs.keep_running(jobs.file_writer(actions(t, path), out, ckpt), every="500 milliseconds")
+        running.processAllAvailable()
+    running.stop()
+    return t.spark.read.parquet(out)
+
+
+@query("D05_state_by_function", """
+SELECT user_id, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1""")
+def _(t):
+    out, ckpt = t.scratch("updates"), t.scratch("state")
+    for path in arrivals(t):
+        kept = state.update_state(actions(t, path), ["user_id"], state.running_total("value"), "n bigint, total double", "user_id bigint, n bigint, total double")
+        jobs.to_batches(kept, lambda b: b, out, ckpt, mode="update")
+    return jobs.latest(t.spark.read.parquet(out), ["user_id"], ["n", "total"]).withColumn("total", F.round("total", 2))
+
+
+@query("D05_last_values", """
+SELECT user_id, list(value ORDER BY ts, event_type, value)[-3:] AS recent FROM events GROUP BY 1""")
+def _(t):
+    out, ckpt = t.scratch("updates"), t.scratch("state")
     for path in arrivals(t):
-        rows += jobs.progress_rows(jobs.to_files(actions(t, path), out, ckpt))
-    log = t.spark.createDataFrame(rows, "batch_id int, rows bigint")
-    return log.filter("rows > 0")
+        kept = state.update_state(actions(t, path), ["user_id"], state.last_values("value", ["ts", "action"], 3),
+                                  "ts array<string>, action array<string>, value array<double>", "user_id bigint, recent array<double>")
+        jobs.to_batches(kept, lambda b: b, out, ckpt, mode="update")
+    return jobs.latest(t.spark.read.parquet(out), ["user_id"], ["recent"])

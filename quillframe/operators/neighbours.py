@@ -1,14 +1,21 @@
-"""Exact nearest-neighbour join.
+"""Nearest-neighbour joins over a two-level index of cells.
 
-Vectors are assigned to the nearest of a few pivots. The triangle inequality bounds how far the k-th
-neighbour of anything in a cell can be, so each candidate goes only to the cells where it may matter.
-Cells are cut into blocks of bounded size; a block pair returns its k best per row, never all pairs.
+Coarse centres, and below each of them its own finer ones, are learned by rounds of Spark aggregates; every row of the right
+side belongs to one fine cell, whose radius is known. Cells are cut into blocks of bounded size by a hash. A query visits
+the cells nearest first, a few more each round, and carries its k-th distance: a cell whose centre is farther away than that
+and the cell's radius cannot matter (triangle inequality), and a query without such cells left is done. Stopping after a
+number of cells is the approximate form.
+
+What tasks hold of the index is one centre and radius per cell, of which there are at most MOST_CELLS; rows per cell grow
+beyond ``rows`` only above MOST_CELLS * rows rows, and blocks stay bounded then too.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -16,8 +23,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillframe.plans.seeded import order_key
+from quillframe.session import scratch_path
 
-SLACK = 1e-6
+SLACK = 1e-9
+MOST_CELLS = 16_384
 CELLS_AT_ONCE = 1 << 21  # doubles in one distance slab
 
 
@@ -43,60 +52,200 @@ def unit_vectors(df: DataFrame, vec: str) -> DataFrame:
         vec, F.transform(v, lambda x: x / F.col("_norm"))).drop("_norm")
 
 
-def nearest(left: DataFrame, right: DataFrame, id_col: str, vec: str, k: int, metric: str = "l2",
-            exclude_self: bool = True, pivots: int = 32, rows: int = 8192) -> DataFrame:
-    """(id, neighbour, distance, rank): the k nearest rows of ``right`` for each row of ``left``.
+class Cells:
+    """Centres of both levels, the coarse centre of each fine one, and the radii: what tasks know of an index."""
 
-    Ties go to the smaller neighbour id. ``metric`` is ``l2`` or ``l1``.
-    """
-    a = left.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("v")).filter("v IS NOT NULL")
-    b = right.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("v")).filter("v IS NOT NULL")
-    chosen = b.orderBy(order_key(7, "id"), "id").limit(pivots).select("v").collect()
-    if not chosen:
-        return a.sparkSession.createDataFrame([], "id bigint, neighbour bigint, distance double, rank int")
-    centres = np.array([r.v for r in chosen], dtype="float64")
-    want = k + 1 if exclude_self else k
-
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            d = _distances(_matrix(pdf["v"]), centres, metric) if len(pdf) else np.empty((0, len(centres)))
-            cell = d.argmin(1) if len(pdf) else np.empty(0, dtype=int)
-            yield pdf.assign(cell=cell.astype("int32"), d=d[np.arange(len(pdf)), cell])
+    def __init__(self, metric: str, coarse: np.ndarray, fine: np.ndarray, parent: np.ndarray, radius: np.ndarray):
+        self.metric, self.coarse, self.fine, self.parent, self.radius = metric, coarse, fine, parent, radius
+        # The ball of a coarse centre holds those of its cells.
+        self.coarse_radius = np.full(len(coarse), -np.inf)
+        for c, (p, r) in enumerate(zip(parent, radius)):
+            self.coarse_radius[p] = max(self.coarse_radius[p], _distances(fine[c][None, :], coarse[p][None, :], metric)[0, 0] + r)
+
+    def within(self, vectors: np.ndarray, reach: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each vector, the cells that may hold rows at most ``reach`` away, nearest centre first, and the centres' distances.
+
+        Cells below a coarse centre are looked at only if its own ball may be reached.
+        """
+        out = []
+        far = _distances(vectors, self.coarse, self.metric)
+        for v, limit, top in zip(vectors, reach, far):
+            cells = np.flatnonzero((_lower(top, self.coarse_radius) <= limit)[self.parent])
+            centre = _distances(v[None, :], self.fine[cells], self.metric)[0]
+            near = _lower(centre, self.radius[cells]) <= limit
+            cells, centre = cells[near], centre[near]
+            order = np.lexsort((cells, centre))
+            out.append((cells[order], centre[order]))
+        return out
+
+    def after(self, pdf: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The cells each asking row has still to visit."""
+        found = self.within(_matrix(pdf["v"]), pdf["reach"].to_numpy())
+        for (cells, centre), d, c in zip(found, pdf["last_d"], pdf["last_cell"]):
+            left = (centre > d) | ((centre == d) & (cells > c))
+            yield cells[left], centre[left]
+
+
+@dataclass
+class Index:
+    """The cells, their numbers of blocks, and the written rows (id, v, cell, block)."""
 
-    def closest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = np.full((0, len(centres)), np.inf)
+    table: DataFrame
+    cells: Cells
+    blocks: list[int]
+    size: int
+
+
+def _lower(centre: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """Lower bounds of the distances to rows of balls, with slack for rounding; empty balls are out of reach."""
+    with np.errstate(invalid="ignore"):
+        low = centre - radius
+        return np.where(np.isneginf(radius), np.inf, np.maximum(0.0, low - SLACK * (np.abs(centre) + np.abs(radius)) - 1e-12))
+
+
+def _home(vectors: np.ndarray, coarse: np.ndarray, fine: np.ndarray, parent: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """The fine cell of each vector, below its nearest coarse centre, and the distance to it."""
+    cell, d = np.zeros(len(vectors), np.int64), np.zeros(len(vectors))
+    top = _distances(vectors, coarse, metric).argmin(1)
+    for c in np.unique(top):
+        rows, cells = np.flatnonzero(top == c), np.flatnonzero(parent == c)
+        far = _distances(vectors[rows], fine[cells], metric)
+        best = far.argmin(1)
+        cell[rows], d[rows] = cells[best], far[np.arange(len(rows)), best]
+    return cell, d
+
+
+def _means(rows: DataFrame, home, dims: int) -> dict[int, np.ndarray]:
+    """Mean of the rows of each cell: partial sums in the tasks, one row per cell and task shuffled."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
         for pdf in batches:
             if len(pdf):
-                best = np.sort(np.vstack([best, _distances(_matrix(pdf["v"]), centres, metric)]), axis=0)[:want]
-        for cell in range(len(centres)):
-            yield pd.DataFrame({"cell": np.full(len(best), cell, dtype="int32"), "d": best[:, cell]})
-
-    homes = a.mapInPandas(assign, "id bigint, v array<double>, cell int, d double")
-    radius = {r.cell: (r.u, r.n) for r in homes.groupBy("cell").agg(F.max("d").alias("u"), F.count("*").alias("n")).collect()}
-    ranks = Window.partitionBy("cell").orderBy("d")
-    kth = {r.cell: r.d for r in b.mapInPandas(closest, "cell int, d double").withColumn("r", F.row_number().over(ranks))
-           .filter(F.col("r") <= want).groupBy("cell").agg(F.max("d").alias("d"), F.count("*").alias("n")).collect()}
-    reach = np.full(len(centres), -1.0)
-    for cell, (u, _) in radius.items():
-        reach[cell] = (2 * u + kth[cell]) * (1 + SLACK) + SLACK
-
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                m = _matrix(pdf["v"])
+                cell = home(m)
+                for c in np.unique(cell):
+                    part = m[cell == c]
+                    sums[int(c)] = sums.get(int(c), 0.0) + np.append(part.sum(0), len(part))
+        if sums:
+            yield pd.DataFrame({"cell": list(sums), "s": [list(v) for v in sums.values()]})
+
+    partial = rows.mapInPandas(run, "cell bigint, s array<double>")
+    added = partial.groupBy("cell").agg(F.array(*(F.sum(F.col("s")[i]) for i in range(dims + 1))).alias("s"))
+    return {r.cell: np.array(r.s[:-1]) / r.s[-1] for r in added.collect()}  # one row per cell
+
+
+def build_index(right: DataFrame, id_col: str, vec: str, metric: str = "l2", rows: int = 4096, rounds: int = 2) -> Index | None:
+    """Learn the centres (first ones: rows in the order of a hash) and write the rows with their cell; None without rows."""
+    spark = right.sparkSession
+    data = right.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("v")).filter("id IS NOT NULL AND v IS NOT NULL")
+    size = data.count()
+    if not size:
+        return None
+    cells = max(1, min(MOST_CELLS, math.ceil(size / rows)))
+    top = math.ceil(math.sqrt(cells))
+    seeds = np.array([r.v for r in data.orderBy(order_key(7, "id"), "id").limit(cells).select("v").collect()], dtype="float64")  # MOST_CELLS at most
+    coarse = seeds[:top].copy()
+    for _ in range(rounds if top > 1 else 0):  # one centre attracts all rows wherever it is
+        for c, mean in _means(data, lambda m: _distances(m, coarse, metric).argmin(1), seeds.shape[1]).items():
+            coarse[c] = mean
+    parent = _distances(seeds, coarse, metric).argmin(1)
+    lone = np.setdiff1d(np.arange(len(coarse)), parent)  # a coarse centre without a seed is its own only cell
+    fine, parent = np.vstack([seeds, coarse[lone]]), np.concatenate([parent, lone])
+    for _ in range(rounds if cells > top else 0):  # as many coarse centres as cells leave nothing finer to learn
+        for c, mean in _means(data, lambda m: _home(m, coarse, fine, parent, metric)[0], seeds.shape[1]).items():
+            fine[c] = mean
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                r, c = np.nonzero(_distances(_matrix(pdf["v"]), centres, metric) <= reach)
-                yield pdf.iloc[r].assign(cell=c.astype("int32"))
-
-    guests = b.mapInPandas(send, "id bigint, v array<double>, cell int")
-    arriving = {r.cell: r.n for r in guests.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    blocks = a.sparkSession.createDataFrame(
-        [(c, math.ceil(n / rows), math.ceil(arriving.get(c, 0) / rows) or 1) for c, (_, n) in radius.items()] or [(-1, 1, 1)],
-        "cell int, nl bigint, nr bigint")  # one row per pivot
-    lb = homes.join(F.broadcast(blocks), "cell").select(
-        "id", "v", "cell", F.pmod(F.xxhash64("id"), "nl").alias("lb"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nr") - 1)).alias("rb"))
-    rb = guests.join(F.broadcast(blocks), "cell").select(
-        "id", "v", "cell", F.pmod(F.xxhash64("id"), "nr").alias("rb"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nl") - 1)).alias("lb"))
+                cell, d = _home(_matrix(pdf["v"]), coarse, fine, parent, metric)
+                yield pdf.assign(cell=cell.astype("int32"), d=d)
+
+    path = scratch_path(spark, "index")
+    data.mapInPandas(settle, "id bigint, v array<double>, cell int, d double").write.parquet(path)
+    placed = spark.read.parquet(path)
+    radius, count = np.full(len(fine), -np.inf), np.zeros(len(fine))
+    for r in placed.groupBy("cell").agg(F.max("d").alias("radius"), F.count("*").alias("n")).collect():  # one row per cell
+        radius[r.cell], count[r.cell] = r.radius, r.n
+    blocks = np.maximum(1, np.ceil(count / rows)).astype(int)
+    table = placed.select("id", "v", "cell", F.pmod(F.xxhash64("id"), F.get(F.lit(blocks.tolist()), F.col("cell"))).cast("int").alias("block"))
+    return Index(table, Cells(metric, coarse, fine, parent, radius), blocks.tolist(), size)
+
+
+def search_index(index: Index, left: DataFrame, id_col: str, vec: str, k: int, exclude_self: bool = True, cells: int | None = None,
+                 rows: int = 4096) -> DataFrame:
+    """(id, neighbour, distance, rank, visited) of the k nearest for each row of ``left``, ``visited`` counting the cells asked.
+
+    With ``cells`` the search of a row ends after so many cells and may miss neighbours. Ties go to the smaller id.
+    """
+    spark = left.sparkSession
+    path = scratch_path(spark, "queries")
+    left.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("v")).filter("id IS NOT NULL AND v IS NOT NULL").write.parquet(path)
+    known = index.cells
+    fields = "id bigint, v array<double>, visited int, reach double, last_d double, last_cell int"
+    state = spark.read.parquet(path).select("id", "v", F.lit(0).alias("visited"), F.lit(float("inf")).alias("reach"), F.lit(-1.0).alias("last_d"), F.lit(-1).alias("last_cell"))
+    best, finished, step = None, [], 1
+
+    def take(pdf: pd.DataFrame, step: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        for (cells_left, centre), seen in zip(known.after(pdf), pdf["visited"]):
+            yield cells_left, centre, step if cells is None else max(0, min(step, cells - int(seen)))
+
+    while True:
+        def visit(batches: Iterator[pd.DataFrame], step=step) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                if len(pdf):
+                    out = [(i, c) for i, (left_, _, n) in enumerate(take(pdf, step)) for c in left_[:n].tolist()]
+                    yield pdf.iloc[[i for i, _ in out]][["id", "v"]].assign(cell=np.array([c for _, c in out], dtype="int32"))
+
+        def advance(batches: Iterator[pd.DataFrame], step=step) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                if len(pdf):
+                    took = [(left_[:n], centre[:n]) for left_, centre, n in take(pdf, step)]
+                    yield pdf.assign(visited=pdf["visited"] + [len(c) for c, _ in took],
+                                     last_d=[d[-1] if len(d) else old for (_, d), old in zip(took, pdf["last_d"])],
+                                     last_cell=np.array([c[-1] if len(c) else old for (c, _), old in zip(took, pdf["last_cell"])], dtype="int32"))
+
+        def still(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                if len(pdf):
+                    yield pdf.assign(more=[bool(n) and len(left_) > 0 for left_, _, n in take(pdf, 1)])
+
+        met = _met(state.mapInPandas(visit, "id bigint, v array<double>, cell int"), index, k, exclude_self, rows)
+        both = met if best is None else best.unionByName(met)
+        order = Window.partitionBy("id").orderBy("distance", "neighbour")
+        best_path, state_path = scratch_path(spark, "best"), scratch_path(spark, "state")
+        both.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank").write.parquet(best_path)
+        best = spark.read.schema("id bigint, neighbour bigint, distance double").parquet(best_path)
+        reached = best.groupBy("id").agg(F.count("*").alias("_n"), F.max("distance").alias("_d"))
+        # A row with fewer than k neighbours so far reaches everywhere.
+        reach = F.when(F.col("_n") >= k, F.col("_d")).otherwise(F.lit(float("inf")))
+        moved = state.mapInPandas(advance, fields).drop("reach").join(reached, "id", "left").select("id", "v", "visited", reach.alias("reach"), "last_d", "last_cell")
+        moved.mapInPandas(still, f"{fields}, more boolean").write.parquet(state_path)
+        every = spark.read.schema(f"{fields}, more boolean").parquet(state_path)
+        finished.append(every.where("NOT more").select("id", "visited"))
+        state = every.where("more").drop("more")
+        if state.isEmpty():
+            break
+        step *= 4
+    ended = functools.reduce(DataFrame.unionByName, finished)  # one frame a round; rounds grow as the logarithm of the cells
+    rank = Window.partitionBy("id").orderBy("distance", "neighbour")
+    return best.withColumn("rank", F.row_number().over(rank)).join(ended.dropDuplicates(["id"]), "id").select("id", "neighbour", "distance", "rank", "visited")
+
+
+def _met(visits: DataFrame, index: Index, k: int, exclude_self: bool, rows: int) -> DataFrame:
+    """The k nearest rows of each visited cell: groups of visitors of bounded size meet the blocks of the cell."""
+    spark = visits.sparkSession
+    path = scratch_path(spark, "visits")
+    visits.write.parquet(path)
+    visits = spark.read.schema("id bigint, v array<double>, cell int").parquet(path)
+    counted = {r.cell: r.n for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # one row per cell
+    groups = F.get(F.lit([math.ceil(counted.get(c, 0) / rows) or 1 for c in range(len(index.cells.fine))]), F.col("cell"))
+    blocks = F.get(F.lit(index.blocks), F.col("cell"))
+    askers = visits.select("id", "v", "cell", F.pmod(F.xxhash64("id"), groups).cast("int").alias("group"), F.explode(F.sequence(F.lit(0), blocks.cast("int") - 1)).alias("block"))
+    wanted = F.get(F.lit([c in counted for c in range(len(index.cells.fine))]), F.col("cell"))
+    held = index.table.where(wanted).select("id", "v", "cell", "block", F.explode(F.sequence(F.lit(0), groups.cast("int") - 1)).alias("group"))
+    metric = index.cells.metric
 
     def best(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
         if x.empty or y.empty:
@@ -114,10 +263,20 @@ def nearest(left: DataFrame, right: DataFrame, id_col: str, vec: str, k: int, me
         out = pd.concat(parts)
         return out[np.isfinite(out["distance"])]
 
-    found = (lb.groupBy("cell", "lb", "rb").cogroup(rb.groupBy("cell", "lb", "rb"))
-             .applyInPandas(best, "id bigint, neighbour bigint, distance double"))
-    order = Window.partitionBy("id").orderBy("distance", "neighbour")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return askers.groupBy("cell", "group", "block").cogroup(held.groupBy("cell", "group", "block")).applyInPandas(best, "id bigint, neighbour bigint, distance double")
+
+
+def nearest(left: DataFrame, right: DataFrame, id_col: str, vec: str, k: int, metric: str = "l2",
+            exclude_self: bool = True, rows: int = 4096, cells: int | None = None) -> DataFrame:
+    """(id, neighbour, distance, rank): the k nearest rows of ``right`` for each row of ``left``.
+
+    Ties go to the smaller neighbour id. ``metric`` is ``l2`` or ``l1``. Exact unless ``cells`` ends the search after so many
+    cells of about ``rows`` rows. Null ids and vectors take no part; ids are unique on each side.
+    """
+    index = build_index(right, id_col, vec, metric, rows)
+    if index is None:
+        return left.sparkSession.createDataFrame([], "id bigint, neighbour bigint, distance double, rank int")
+    return search_index(index, left, id_col, vec, k, exclude_self, cells, rows).drop("visited")
 
 
 def classify(neighbours: DataFrame, labels: DataFrame, id_col: str, label: str) -> DataFrame:

@@ -1,16 +1,78 @@
-"""Exact quantiles from counts of distinct values.
+"""Exact quantiles without sorting or shuffling the values.
 
-The built-in exact percentile keeps every distinct value of a group in one aggregation buffer.
-Here the distinct values are counted map-side, scanned in order across partitions, and the wanted
-ranks picked out by an ordinary aggregate.
+A mergeable sketch (KLL) of each group gives a bracket around every wanted rank. In a second pass the values outside all
+brackets collapse, map-side, to one row for each gap, so that only the few values inside the brackets are shuffled and
+scanned in order; gaps keep their counts, so ranks are exact. A pick that falls into a gap shows a bracket that missed
+(the sketch errs with a small chance), and then all values are counted instead.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
+
+from quillframe.plans.ordered import cumulative_counts, scan
+from quillframe.session import reliable, scratch_path
+
+#: Steps of the grid read off a sketch; a bracket reaches a step or two to each side of its rank.
+GRID = 256
+#: Size of a sketch: its error, about 0.15 % of the rows, stays below half a step.
+SKETCH = 2048
+
+
+def ranks_of(p: float, total: Column, kind: str) -> tuple[Column, Column, Column]:
+    """0-based ranks below and above, and the share of the way between them, as ``quantiles`` defines them."""
+    n, zero = total.cast("bigint"), F.lit(0.0)
+    if kind == "disc":
+        rank = F.greatest(F.ceil(F.lit(p) * n) - 1, F.lit(0))
+        return rank, rank, zero
+    if kind == "row":
+        rank = F.least(F.floor(F.lit(p) * n), n - 1)
+        return rank, rank, zero
+    h = F.lit(p) * (n - 1)
+    return F.floor(h), F.ceil(h), h - F.floor(h)
+
+
+def brackets(data: DataFrame, names: list[str], ps: list[float], kind: str) -> DataFrame:
+    """One row per group: names, and the arrays ``lo`` and ``hi`` of a bracket for each rank; null means no bound."""
+    x = F.col("_x").cast("double")
+    sketched = data.groupBy(*names).agg(F.count("_x").alias("n"), F.kll_sketch_agg_double(x, F.lit(SKETCH)).alias("s"))
+    known = sketched.withColumn("known", F.kll_sketch_get_n_double("s"))  # a sketch leaves NaN out
+    grid = ", ".join(f"{i / GRID}D" for i in range(GRID + 1))  # as text: one expression, not one call for each step
+    known = known.withColumn("grid", F.expr(f"case when known > 0 then kll_sketch_get_quantile_double(s, array({grid})) end"))
+    lows, highs = [], []
+    for p in ps:
+        below, above, _ = ranks_of(p, F.col("n"), kind)
+        first = F.floor(below / F.greatest("known", F.lit(1)) * GRID) - 1
+        last = F.ceil((above + 1) / F.greatest("known", F.lit(1)) * GRID) + 1
+        lows.append(F.when(first > 0, F.get("grid", F.least(first, F.lit(GRID)).cast("int"))))
+        highs.append(F.when((last < GRID) & (F.col("known") > 0), F.get("grid", last.cast("int"))))
+    return known.select(*names, F.array(*lows).alias("lo"), F.array(*highs).alias("hi"))
+
 
-from quillframe.plans.ordered import cumulative_counts
+def collapsed_counts(data: DataFrame, names: list[str], bounds: DataFrame, count: int) -> DataFrame:
+    """(names, _x, n, exact): counts of the values inside brackets, and one row, with its smallest value, per gap."""
+    spark = data.sparkSession
+    if names:
+        path = scratch_path(spark, "brackets")  # a table: its size is known, so small ones are broadcast, large ones joined
+        bounds.write.parquet(path)
+        table = spark.read.schema(bounds.schema).parquet(path).select(*[F.col(k).alias(f"_b{k}") for k in names], "lo", "hi")
+        on = [F.col(k) == F.col(f"_b{k}") for k in names]
+        placed = data.join(table, on).select(*names, "_x", "lo", "hi")
+    else:
+        row = bounds.first()  # one row
+        placed = data.select("_x", *(F.array(*[F.lit(v).cast("double") for v in row[c]]).alias(c) for c in ("lo", "hi")))
+    x, many = F.col("_x").cast("double"), range(count)
+    lo, hi = ([F.get(c, F.lit(i)) for i in many] for c in ("lo", "hi"))
+    inside = functools.reduce(Column.__or__, [(lo[i].isNull() | (x >= lo[i])) & (hi[i].isNull() | (x <= hi[i])) for i in many])
+    gap = functools.reduce(Column.__add__, [F.when(x > hi[i], 1).otherwise(0) for i in many])
+    marked = placed.select(*names, "_x", inside.alias("exact"), gap.alias("gap"))
+    marked = marked.withColumn("_v", F.when(F.col("exact"), F.col("_x"))).withColumn("gap", F.when(~F.col("exact"), F.col("gap")))
+    return (marked.groupBy(*names, "exact", "gap", "_v").agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("_x"))
+            .select(*names, "_x", "n", "exact"))
 
 
 def quantiles(
@@ -20,34 +82,57 @@ def quantiles(
 
     ``cont`` interpolates linearly between ranks; ``disc`` is the first value x with F(x) >= p;
     ``row`` is the value at 0-based position int(n * p) of the sorted rows.
-    Rows with a null key are left out.
+    Rows with a null key or value are left out; NaN is the largest number.
     """
-    if keys:
-        df = df.dropna(subset=keys)
-    ranked = cumulative_counts(df.select(*keys, value), keys, value)
+    names = [f"_q{i}" for i in range(len(keys))]
+    data = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(value).alias("_x"))
+    data = data.where(F.col("_x").isNotNull())  # not dropna, which would take NaN for null
+    for name in names:
+        data = data.where(F.col(name).isNotNull())
+    shares = {out: float(p) for out, p in ps.items()}
+    if isinstance(df.schema[value].dataType, NumericType):
+        counts = collapsed_counts(data, names, brackets(data, names, list(shares.values()), kind), len(shares))
+        ranked = scan(counts, names, ["_x"], {"cum": ("sum", "n"), "total": ("total", "n")})
+        seen = Observation()
+        picked = _picked(ranked, names, shares, kind).observe(seen, F.count_if(F.col("missed")).alias("missed"))
+        found = reliable(picked)  # one row per key
+        if not seen.get["missed"]:
+            return found.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], *shares)
+    every = cumulative_counts(data, names, "_x").withColumn("exact", F.lit(True))
+    return _picked(every, names, shares, kind).select(*[F.col(n).alias(k) for k, n in zip(keys, names)], *shares)
+
+
+def _picked(ranked: DataFrame, names: list[str], ps: dict[str, float], kind: str) -> DataFrame:
+    """The values at the wanted ranks, and whether one of them lies in a gap."""
     first, last = F.col("cum") - F.col("n"), F.col("cum") - 1
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank <= last), F.col(value)))
-
-    picks, outs = [], []
-    for out, p in ps.items():
-        if kind == "disc":
-            rank = F.greatest(F.ceil(F.lit(float(p)) * F.col("total")) - 1, F.lit(0))
-            picks.append(at(rank).alias(out))
-            outs.append(F.col(out))
-            continue
-        if kind == "row":
-            rank = F.least(F.floor(F.lit(float(p)) * F.col("total")), F.col("total") - 1)
-            picks.append(at(rank).alias(out))
-            outs.append(F.col(out))
-            continue
-        h = F.lit(float(p)) * (F.col("total") - 1)
-        picks += [at(F.floor(h)).alias(f"_lo_{out}"), at(F.ceil(h)).alias(f"_hi_{out}"),
-                  F.max(h - F.floor(h)).alias(f"_f_{out}")]
-        lo, hi, f = F.col(f"_lo_{out}"), F.col(f"_hi_{out}"), F.col(f"_f_{out}")
-        outs.append((lo + (hi - lo) * f).alias(out))
-    return ranked.groupBy(*keys).agg(*picks).select(*keys, *outs)
+    def at(rank: Column, what: Column) -> Column:
+        return F.max(F.when((first <= rank) & (rank <= last), what))
+
+    picks, outs, missed = [], [], F.lit(False)
+    for i, (out, p) in enumerate(ps.items()):
+        below, above, share = ranks_of(p, F.col("total"), kind)
+        picks += [at(below, F.col("_x")).alias(f"_lo{i}"), at(above, F.col("_x")).alias(f"_hi{i}"), F.max(share).alias(f"_f{i}"),
+                  F.coalesce(at(below, ~F.col("exact")) | at(above, ~F.col("exact")), F.lit(True)).alias(f"_m{i}")]
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        outs.append((lo if kind in ("disc", "row") else lo + (hi - lo) * F.col(f"_f{i}")).alias(out))
+        missed = missed | F.col(f"_m{i}")
+    if names:
+        return ranked.groupBy(*names).agg(*picks).select(*names, *outs, missed.alias("missed"))
+    some = F.count(F.lit(1)).alias("_some")  # without rows there is nothing to miss
+    return ranked.agg(some, *picks).select(*outs, (missed & (F.col("_some") > 0)).alias("missed"))
+
+
+def approximate_quantiles(df: DataFrame, keys: list[str], value: str, ps: dict[str, float], size: int = 200) -> DataFrame:
+    """One row per key with a column per entry of ``ps`` straight from a mergeable sketch, in one pass.
+
+    ``size`` 200 errs by about 1.3 % of the ranks, ten times the size by about a tenth of it. Null keys are left out, NaN
+    values too; a key without values has nulls.
+    """
+    present = df.dropna(subset=keys) if keys else df
+    sketched = present.groupBy(*keys).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(size)).alias("_s"))
+    some = F.kll_sketch_get_n_double("_s") > 0
+    return sketched.select(*keys, *[F.when(some, F.kll_sketch_get_quantile_double("_s", F.lit(float(p)))).alias(out) for out, p in ps.items()])
 
 
 def quantile_edges(df: DataFrame, value: str, ps: list[float]) -> list[float]:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quillframe.session import scratch_path
+
 
 def write_csv_plain(df: DataFrame, path: str, sep: str = ",") -> None:
     """CSV with neither header nor row labels."""
@@ -33,6 +39,61 @@ def compact(df: DataFrame, path: str, key: str, rows_per_file: int, compression:
      .write.partitionBy(key).option("compression", compression).parquet(path))
 
 
+def pack_files(listing: DataFrame, target: int) -> DataFrame:
+    """(file, size, group, bin): small files of each group put together so that no bin passes ``target`` bytes.
+
+    Files up to half the target are taken in the order of a hash and their names; the bin is the number of half targets before
+    a file's start, so a bin holds half a target and the rest of its last file at most. A larger file has a bin of its own.
+    Sizes are added up per hash first, so the files of one group, however many, are not summed in one task.
+    """
+    half = max(1, target // 2)
+    rows = listing.select("file", "size", "group").withColumn("stretch", F.pmod(F.xxhash64("file"), F.lit(64)))
+    small = rows.where(F.col("size") <= half)
+    sums = small.groupBy("group", "stretch").agg(F.sum("size").alias("_sum"))
+    before = F.coalesce(F.sum("_sum").over(Window.partitionBy("group").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sums.select(F.col("group").alias("_group"), F.col("stretch").alias("_stretch"), before.alias("_before"))
+    inside = F.sum("size").over(Window.partitionBy("group", "stretch").orderBy("file").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    placed = small.withColumn("_inside", inside).join(offsets, F.col("group").eqNullSafe(F.col("_group")) & (F.col("stretch") == F.col("_stretch")))
+    packed = placed.select("file", "size", "group", F.floor((F.col("_before") + F.col("_inside")) / half).cast("string").alias("bin"))
+    return packed.unionByName(rows.where(F.col("size") > half).select("file", "size", "group", F.md5("file").alias("bin")))
+
+
+def compact_lines(spark: SparkSession, source: str, out: str, group: str, target: int = 1 << 30) -> DataFrame:
+    """Merge the text files below ``source`` into files of at most ``target`` bytes (and a line), one folder per group.
+
+    ``group`` is a pattern whose first bracket names the group in a file's path, such as its date; files it does not find go to
+    ``other``. What goes together is decided by the listing alone; a file above half the target is cut where its bytes reach
+    half targets, which a recomputed task finds at the same places. Returns the plan: file, size, group, bin.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source).select("path", F.col("length").alias("size"))
+    name = F.regexp_extract("path", group, 1)
+    listing = found.where("size > 0").select(F.col("path").alias("file"), "size", F.when(name == "", "other").otherwise(name).alias("group"))
+    plan_path = scratch_path(spark, "packed")
+    pack_files(listing, target).write.parquet(plan_path)
+    plan = spark.read.parquet(plan_path)
+    half = max(1, target // 2)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, done = None, 0
+        for batch in batches:
+            paths, starts = batch.column("path").to_pylist(), batch.column("at").to_pylist()
+            sizes = pc.binary_length(batch.column("value").cast(pa.binary())).to_pylist()
+            pieces = []
+            for path, at, size in zip(paths, starts, sizes):
+                if (path, at) != block:
+                    block, done = (path, at), 0
+                pieces.append((at + done) // half)
+                done += size + 1
+            yield pa.RecordBatch.from_arrays([batch.column("value"), batch.column("path"), pa.array(pieces, pa.int64())], names=["value", "path", "piece"])
+
+    lines = spark.read.option("recursiveFileLookup", "true").text(source).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    keyed = plan.select(F.col("file").alias("_file"), "group", "bin", (F.col("size") > half).alias("_large"))
+    part = F.when(F.col("_large"), F.concat_ws("-", "bin", "piece")).otherwise(F.col("bin"))
+    joined = lines.mapInArrow(cut, "value string, path string, piece bigint").join(keyed, F.col("path") == F.col("_file")).select("value", "group", part.alias("part"))
+    joined.repartition("group", "part").sortWithinPartitions("group", "part").write.partitionBy("group", "part").text(out)
+    return plan
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int, sort: list[str] | None = None,
                    rows_per_file: int = 10_000_000) -> None:
     """Table co-located on ``key`` and sorted inside its files, so joins on the key need no shuffle.

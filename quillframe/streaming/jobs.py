@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 
 def stream_lines(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Text lines of every file that appears in the folder."""
-    r = spark.readStream.schema("value string")
+    r = spark.readStream.schema("value string").option("recursiveFileLookup", "true")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.text(path)
@@ -34,9 +35,17 @@ def drain(writer) -> StreamingQuery:
     return q
 
 
-def to_batches(df: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
-               mode: str = "append") -> StreamingQuery:
-    """Apply a batch transformation to each micro-batch and keep its result under ``batch_id``.
+def keep_running(writer, every: str = "30 seconds") -> StreamingQuery:
+    """Start a query that looks for new data at every trigger until it is stopped; the handle stops it or waits for it.
+
+    ``processAllAvailable()`` waits for what has arrived, ``awaitTermination(seconds)`` for the end, ``stop()`` ends it. A query
+    started again with the same checkpoint goes on where this one stopped.
+    """
+    return writer.trigger(processingTime=every).start()
+
+
+def batch_writer(df: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, mode: str = "append"):
+    """A writer that applies a batch transformation to each micro-batch and keeps its result under ``batch_id``.
 
     A batch replayed after a failure overwrites its own folder, so results are exactly-once.
     """
@@ -44,7 +53,13 @@ def to_batches(df: DataFrame, transform: Callable[[DataFrame], DataFrame], out:
     def write(batch: DataFrame, batch_id: int) -> None:
         transform(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    return drain(df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write))
+    return df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
+
+
+def to_batches(df: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str,
+               mode: str = "append") -> StreamingQuery:
+    """``batch_writer`` over everything that has arrived."""
+    return drain(batch_writer(df, transform, out, checkpoint, mode))
 
 
 def count_by(*keys: str) -> Callable[[DataFrame], DataFrame]:
@@ -55,9 +70,14 @@ def top_by_count(key: str, n: int) -> Callable[[DataFrame], DataFrame]:
     return lambda batch: count_by(key)(batch).orderBy(F.desc("n"), key).limit(n)
 
 
+def file_writer(df: DataFrame, out: str, checkpoint: str):
+    """A writer that appends every micro-batch to a Parquet folder."""
+    return df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+
+
 def to_files(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Append every micro-batch to a Parquet folder."""
-    return drain(df.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint))
+    """``file_writer`` over everything that has arrived."""
+    return drain(file_writer(df, out, checkpoint))
 
 
 def running_counts(df: DataFrame, *keys: str) -> DataFrame:
@@ -78,27 +98,56 @@ def latest(updates: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     return updates.groupBy(*keys).agg(last).select(*keys, *[f"s.{v}" for v in values])
 
 
-def progress_rows(query: StreamingQuery) -> list[tuple[int, int]]:
-    """(batch, input rows) of the query's recent triggers."""
-    return [(p.batchId, p.numInputRows) for p in query.recentProgress]
+class ProgressTable(StreamingQueryListener):
+    """One row per trigger of the session's queries, kept in a folder of JSON lines: nothing is held in memory or cut off.
 
+    ``with ProgressTable(spark, path) as log:`` listens inside the block. A row is written when its trigger is reported, one
+    file each, named by run and batch, in whatever file system the folder is.
+    """
+
+    SCHEMA = "id string, run_id string, name string, batch_id bigint, at string, rows bigint, seconds double"
 
-class ProgressLog(StreamingQueryListener):
-    """Collects one JSON line per trigger; register with ``spark.streams.addListener``."""
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.ended = spark, path, set()
+        jvm = spark._jvm
+        self.folder = jvm.org.apache.hadoop.fs.Path(path)
+        self.files = self.folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        self.files.mkdirs(self.folder)
 
-    def __init__(self, keep: int = 1000):
-        self.keep, self.lines = keep, []
+    def __enter__(self) -> ProgressTable:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.spark.streams.removeListener(self)
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        self.lines.append(json.dumps({"id": str(p.id), "batch": p.batchId, "rows": p.numInputRows}))
-        del self.lines[: -self.keep]
+        row = {"id": str(p.id), "run_id": str(p.runId), "name": p.name, "batch_id": p.batchId, "at": p.timestamp, "rows": p.numInputRows, "seconds": p.batchDuration / 1000}
+        # An idle trigger repeats its batch number, so the time is part of the name.
+        name = f"{p.runId}-{p.batchId:012d}-{''.join(c for c in p.timestamp if c.isdigit())}.json"
+        out = self.files.create(self.spark._jvm.org.apache.hadoop.fs.Path(self.folder, name), True)
+        try:
+            out.write(bytearray((json.dumps(row) + "\n").encode()))
+        finally:
+            out.close()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.ended.add(str(event.runId))
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Until the rows of an ended query are written: its end is reported after its last trigger."""
+        end = time.monotonic() + seconds
+        while str(query.runId) not in self.ended:
+            if time.monotonic() > end:
+                raise TimeoutError("the end of the query has not been reported")
+            time.sleep(0.05)
+
+    def table(self) -> DataFrame:
+        return self.spark.read.schema(self.SCHEMA).json(self.path)
