@@ -18,10 +18,15 @@ WORDS = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS, BATCH_BYTES = "1000", "16m"
 
 
-def table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A table of a folder, read by Spark alone."""
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of a bounded size from here on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A table of a folder, read by Spark alone."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{path.rstrip('/')}/{name}.parquet")
 
 
