@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillframe.llm import bpe, langid, mixing, nearcopies, substring
-from quillframe.llm.common import remove, table
+from quillframe.llm.common import bounded_batches, remove, table
 from quillframe.llm.queries import tokenizer_file
 from quillframe.session import scratch_path
 
@@ -23,6 +23,7 @@ ORACLE_SQL = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a language; profiles are learned from the labelled rows of the stage's own input."""
+    bounded_batches(spark)
     model = langid.train(docs.select("text", "lang"))
     named = langid.predict(docs.select(COLUMNS), model, *COLUMNS, keep_text=True)
     return named.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= LEAST_SCORE)).select(COLUMNS)
@@ -30,21 +31,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies."""
+    bounded_batches(spark)
     return nearcopies.without_copies(docs.select(COLUMNS))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts out every passage of 35 words or more that occurs elsewhere too; n_chars follows the text."""
+    bounded_batches(spark)
     return substring.without_repeats(docs.select(COLUMNS))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or leaves out documents so that sources come near their target weights."""
+    bounded_batches(spark)
     return mixing.copies(docs.select(COLUMNS))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, ids_sha256, decoded_sha256: the token ids of each text, and digests of them and of what they decode to."""
+    bounded_batches(spark)
     return bpe.corpus(docs, tokenizer_file())
 
 
