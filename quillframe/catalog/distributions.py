@@ -263,6 +263,13 @@ def _(t):
     return inf.bootstrap_summary(stats, ["mean", "std", "cv"])
 
 
+@query("Q24_bootstrap_any_statistic")
+def _(t):
+    stats = [inf.MEAN, inf.quantile_statistic(t.orders, "o_totalprice", 0.5, name="median")]
+    drawn = inf.bootstrap_stats(t.orders, "o_totalprice", ["o_orderkey"], 100, seed=9, statistics=stats)
+    return inf.bootstrap_summary(drawn, ["mean", "median"])
+
+
 @query("Q25_weighted_resample", """
 WITH c AS (SELECT o_orderkey AS row, CAST(sum(w) OVER (ORDER BY o_orderkey) - w AS DOUBLE) AS lo FROM (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS w FROM orders)),
 d AS (SELECT o_orderkey AS id, CAST('0x' || substr(md5('22-' || o_orderkey), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE * (SELECT sum(CAST(round(o_totalprice * 100) AS BIGINT))::BIGINT FROM orders) AS u FROM orders)

@@ -66,7 +66,7 @@ SELECT day, CASE WHEN count(*) OVER w = 7 THEN round(avg(total) OVER w, 5) END A
        CASE WHEN count(*) OVER w = 7 THEN round(stddev_samp(total) OVER w, 5) END AS std
 FROM {DAILY} WINDOW w AS (ORDER BY day ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)""")
 def _(t):
-    r = windows.rolling(daily(t), "day", {"mean": F.avg("total"), "std": F.stddev_samp("total")}, *windows.centred(7))
+    r = windows.rolling(daily(t), "day", "total", {"mean": F.avg("total"), "std": F.stddev_samp("total")}, *windows.centred(7))
     return r.select("day", F.round("mean", 5).alias("mean"), F.round("std", 5).alias("std"))
 
 
@@ -74,7 +74,7 @@ def _(t):
 SELECT day, CASE WHEN count(*) OVER w = 8 THEN CAST(sum(n) OVER w AS BIGINT) END AS rolled FROM {DAILY}
 WINDOW w AS (ORDER BY day ROWS BETWEEN 4 PRECEDING AND 3 FOLLOWING)""")
 def _(t):
-    return windows.rolling(daily(t), "day", {"rolled": F.sum("n")}, *windows.centred(8)).select("day", "rolled")
+    return windows.rolling(daily(t), "day", "n", {"rolled": F.sum("n")}, *windows.centred(8)).select("day", "rolled")
 
 
 @query("W08_gaussian_rolling", f"""

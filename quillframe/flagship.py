@@ -16,6 +16,6 @@ def daily_activity(events: DataFrame, top: int = 5) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("n")))
     best = smallest_per_group(counts.withColumn("_o", -F.col("n")), ["day"], ["_o", "user_id", "event_type"], top)
     totals = counts.groupBy("day").agg(F.sum("n").alias("day_total"))
-    smooth = rolling(totals, "day", {"week_mean": F.avg("day_total")}, *centred(7))
+    smooth = rolling(totals, "day", "day_total", {"week_mean": F.avg("day_total")}, *centred(7))
     return best.join(smooth, "day").select("day", "rank", "user_id", "event_type", "n", "day_total",
                                            F.round("week_mean", 6).alias("week_mean"))

@@ -38,8 +38,8 @@ def keep_groups(df: DataFrame, keys: list[str], agg: Column, test) -> DataFrame:
 
 
 def transform_groups(df: DataFrame, keys: list[str], stats: dict[str, Column], outs: dict[str, Column]) -> DataFrame:
-    """Columns computed from a row and the statistics of its group."""
-    return with_group_stats(df, keys, stats).withColumns(outs).drop(*stats)
+    """Columns computed from a row and the statistics of its group; a row with a null key stays, its group unknown."""
+    return with_group_stats(df, keys, stats, keep_null_keys=True).withColumns(outs).drop(*stats)
 
 
 def pivot(df: DataFrame, index: list[str], column: str, levels: list, aggs: dict[str, Column], fill=None) -> DataFrame:

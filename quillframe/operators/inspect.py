@@ -13,11 +13,13 @@ def column_counts(df: DataFrame) -> DataFrame:
 
 
 def head(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    return df.orderBy(*order).limit(n)
+    """The first ``n`` rows; nulls come last."""
+    return df.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n)
 
 
 def tail(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    return df.orderBy(*[F.desc(c) for c in order]).limit(n)
+    """The last ``n`` rows in the order of ``head``, so nulls first."""
+    return df.orderBy(*[F.desc_nulls_first(c) for c in order]).limit(n)
 
 
 def head_tail(df: DataFrame, order: list[str], n: int) -> DataFrame:

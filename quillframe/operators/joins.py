@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEVEL_LIMIT = 5_000
+CHUNK_LEVELS = 5_000
 
 
 def merge(left: DataFrame, right: DataFrame, on: list[str] | None = None, how: str = "inner",
@@ -52,18 +52,13 @@ def aligned(left: DataFrame, right: DataFrame, key: str, value: str, op, fill: f
 def level_grid(df: DataFrame, cols: list[str]) -> DataFrame:
     """Every combination of the distinct values of ``cols``.
 
-    The first column's values stay distributed. A further column with few values becomes an array to
-    explode; one with more is cut into chunks, and each row is sent to every chunk by an equi-join.
+    The first column's values stay distributed. A further column's values are cut into chunks of about
+    CHUNK_LEVELS, and each row is sent to every chunk by an equi-join.
     """
     grid = df.select(cols[0]).distinct()
     for c in cols[1:]:
         levels = df.select(c).distinct()
-        few = [r[0] for r in levels.limit(LEVEL_LIMIT + 1).collect()]
-        if len(few) <= LEVEL_LIMIT:
-            values = F.array(*[F.lit(v) for v in few]).cast(f"array<{df.schema[c].dataType.simpleString()}>")
-            grid = grid.withColumn(c, F.explode(values))
-            continue
-        chunks = math.ceil(levels.count() / LEVEL_LIMIT)
+        chunks = max(1, math.ceil(levels.count() / CHUNK_LEVELS))
         right = levels.withColumn("_chunk", F.pmod(F.xxhash64(c), F.lit(chunks)))
         left = grid.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(chunks - 1).cast("bigint"))))
         grid = left.join(right, "_chunk").drop("_chunk")

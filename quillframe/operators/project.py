@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -73,13 +72,21 @@ def contains_any(df: DataFrame, col: str, words: list[str]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a | b, tests, F.lit(False)))
 
 
-def transpose(df: DataFrame, index: str, labels: list) -> DataFrame:
-    """Columns become rows. ``labels`` are the index values that become columns, so they are few by nature."""
+def transpose(df: DataFrame, index: str, labels: list, block: int = 500) -> DataFrame:
+    """Columns become rows. ``labels`` are the index values that become columns; null cells stay null.
+
+    The (column, label, value) cells are pivoted in blocks of labels, and the blocks, one row per column each, are put side
+    by side, so neither a pivot nor its code grows with the number of labels.
+    """
     values = [c for c in df.columns if c != index]
-    if math.prod((len(labels), len(values))) > 1_000_000:
-        raise ValueError("too many labels for columns: keep the long form of unpivot")
     text = df.select(F.col(index).alias("_i"), *[F.col(c).cast("string").alias(c) for c in values])
-    return text.unpivot(["_i"], values, "column_name", "_v").groupBy("column_name").pivot("_i", labels).agg(F.first("_v"))
+    cells = text.unpivot(["_i"], values, "column_name", "_v")
+    out = df.sparkSession.createDataFrame([(c,) for c in values], "column_name string")
+    for i in range(0, len(labels), block):
+        some = labels[i : i + block]
+        wide = cells.filter(F.col("_i").isin(some)).groupBy("column_name").pivot("_i", some).agg(F.first("_v"))
+        out = out.join(wide, "column_name", "left")
+    return out
 
 
 def minus_row(df: DataFrame, row: DataFrame, cols: list[str]) -> DataFrame:

@@ -53,13 +53,13 @@ def rank_across(cols: list[str]) -> list[Column]:
     return [rank(c) for c in cols]
 
 
-def rolling(series: DataFrame, order: str, aggs: dict[str, Column], before: int, after: int) -> DataFrame:
-    """Rolling aggregates over a calendar series (one row per day or hour), null until the window is full.
+def rolling(series: DataFrame, order: str, col: str, aggs: dict[str, Column], before: int, after: int) -> DataFrame:
+    """Rolling aggregates of a column of a calendar series (one row per day or hour), null until the window is full of values.
 
     The input is a series already reduced to calendar steps, so its length is bounded by time, not by rows.
     """
     w = Window.orderBy(order).rowsBetween(-before, after)
-    full = F.count(F.lit(1)).over(w) == before + after + 1
+    full = F.count(col).over(w) == before + after + 1
     return series.withColumns({name: F.when(full, agg.over(w)) for name, agg in aggs.items()})
 
 

@@ -35,12 +35,17 @@ def scan(
     adds: dict[str, tuple],
     parts: int | None = None,
 ) -> DataFrame:
-    """Add running columns per ``keys`` in ascending ``order`` (both lists of column names).
+    """Add running columns per ``keys`` in ascending ``order`` (both lists of column names), nulls last.
 
     ``adds`` maps an output name to one of ``("row_number",)``, ``("sum", col)``, ``("max", col)``,
     ``("total", col)`` (sum over the whole key), ``("last", col)`` and ``("next", col)`` (nearest non-null value at or before / after the row),
     ``("lag", col)`` and ``("lead", col)``. Null keys form a group of their own.
     """
+    columns = df.columns
+    # Spark puts nulls first, in ranges and in structs; a flag before each column puts them last in all of them.
+    flags = {c: f"_null{i}" for i, c in enumerate(order)}
+    df = df.withColumns({flag: F.col(c).isNull() for c, flag in flags.items()})
+    order = [name for c in order for name in (flags[c], c)]
     split = range_split(df, [*keys, *order], parts)
     chunk = Window.partitionBy(*keys, PART).orderBy(*order, TIE)
     upto = chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -111,7 +116,7 @@ def scan(
     on = F.col(PART) == F.col("_kp")
     for i, k in enumerate(keys):
         on = on & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    cols = [c for c in df.columns if c not in adds]
+    cols = [c for c in columns if c not in adds]
     return (
         split.select("*", *[e.alias(f"_l_{o}") for o, e in local.items()])
         .join(F.broadcast(carries), on, "left")
@@ -130,14 +135,14 @@ def cumulative_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return scan(value_counts(present, keys, value), keys, [value], {"cum": ("sum", "n"), "total": ("total", "n")})
 
 
-def with_group_stats(df: DataFrame, keys: list[str], aggs: dict[str, Column]) -> DataFrame:
+def with_group_stats(df: DataFrame, keys: list[str], aggs: dict[str, Column], keep_null_keys: bool = False) -> DataFrame:
     """Group statistics on every row: aggregate, then join back.
 
     Unlike a window this combines map-side and lets adaptive execution split a hot key.
-    Rows with a null key are dropped, as a grouped frame drops them.
+    Rows with a null key are dropped, as a grouped frame drops them, or kept with null statistics.
     """
     cols = [e.alias(n) for n, e in aggs.items()]
     if keys:
-        return df.join(df.groupBy(*keys).agg(*cols), keys)
+        return df.join(df.groupBy(*keys).agg(*cols), keys, "left" if keep_null_keys else "inner").select(*df.columns, *aggs)
     stats = df.agg(F.struct(*cols).alias("s"))
     return df.withColumn("_st", stats.scalar()).select(*df.columns, *[F.col("_st")[n].alias(n) for n in aggs])

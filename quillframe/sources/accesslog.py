@@ -12,16 +12,22 @@ FIELDS = (
 )
 WORD, BRACKETED, QUOTED = r"(\S+)", r"\[(.*?)\]", r'("[^"]+"|-)'
 LINE = " ".join([WORD, WORD, BRACKETED, *[WORD] * 5, QUOTED, *[WORD] * 6, QUOTED, QUOTED])
+MARK = "\x1f"
+PARTS = MARK.join(f"${i}" for i in range(1, len(FIELDS) + 1))
 TIME = r"^(\d{1,2}/[A-Za-z]{3}/\d{4}):(\d{2}:\d{2}:\d{2}) ([+-]\d{4})$"
 
 
 def split_fields(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Every logical field as a column next to the raw line, ``parsed`` telling whether it matched."""
-    text = F.trim(F.col(line))
-    hit = text.rlike(LINE)
-    cols = [F.when(hit, F.regexp_replace(F.regexp_extract(text, LINE, i), r'^"|"$', "")).alias(f)
-            for i, f in enumerate(FIELDS, start=1)]
-    return lines.select(F.col(line).alias("line"), *cols).withColumn("parsed", hit)
+    """Every logical field as a column next to the raw line, ``parsed`` telling whether it matched.
+
+    The pattern is matched once; what it found is split at a control character, for which a line's own counts as a space.
+    """
+    text = F.translate(F.trim(F.col(line)), MARK, " ")
+    found = F.regexp_replace(text, f"(?s)^.*?{LINE}.*$", PARTS)
+    rows = lines.select(F.col(line).alias("line"), F.split(found, MARK).alias("_f"))
+    hit = F.size("_f") == len(FIELDS)
+    cols = [F.when(hit, F.regexp_replace(F.get("_f", F.lit(i)), r'^"|"$', "")).alias(f) for i, f in enumerate(FIELDS)]
+    return rows.select("line", *cols, F.coalesce(hit & F.col("line").isNotNull(), F.lit(False)).alias("parsed"))
 
 
 def clean_time(raw: Column) -> dict[str, Column]:

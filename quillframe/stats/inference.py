@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -13,8 +15,9 @@ from quillframe.operators.windows import ranks
 from quillframe.plans.ordered import cumulative_counts, with_group_stats
 from quillframe.plans.quantiles import quantiles
 
-BUCKET_ROWS = 250_000
-COUNT_CELLS = 20_000_000
+#: Rows of a leaf of the split tree, and the bits of a row's hash that the tree goes by at most.
+LEAF_ROWS = 250_000
+TREE_BITS = 16
 
 
 def trimmed(df: DataFrame, keys: list[str], value: str, share: float) -> DataFrame:
@@ -58,8 +61,8 @@ def least_squares(df: DataFrame, x: str, y: str, keys: list[str] = ()) -> DataFr
 
 
 def residuals(df: DataFrame, x: str, y: str, keys: list[str] = ()) -> DataFrame:
-    """The rows with their fitted value and residual."""
-    f = with_group_stats(df, list(keys), {"_b": F.regr_slope(y, x), "_a": F.regr_intercept(y, x)})
+    """The rows with their fitted value and residual; a row with a null key has neither."""
+    f = with_group_stats(df, list(keys), {"_b": F.regr_slope(y, x), "_a": F.regr_intercept(y, x)}, keep_null_keys=True)
     fit = F.col("_a") + F.col("_b") * F.col(x)
     return f.withColumn("fitted", fit).withColumn("residual", F.col(y) - fit).drop("_a", "_b")
 
@@ -81,81 +84,180 @@ def overlap_share(df: DataFrame, value: str, control: Column) -> DataFrame:
          + F.count_if(~F.col("_c") & (v < F.col("_m"))) / F.count_if(~F.col("_c"))).alias("overlap"))
 
 
-def _buckets(df: DataFrame, ids: list[str], iterations: int) -> tuple[DataFrame, list[int]]:
-    """Rows in hash buckets of bounded size, and the bucket sizes.
+@dataclass(frozen=True)
+class Statistic:
+    """A statistic of a resample that adds up over parts of it.
 
-    Bucket size grows only when the table of draws (iterations x buckets) would outgrow the driver.
+    ``parts(values, times)`` gives numbers for some values and how often each was drawn; ``whole(sums)`` makes the statistic
+    from their sums over all parts.
     """
-    total = df.count()
-    rows = max(BUCKET_ROWS, math.ceil(total * iterations / COUNT_CELLS))
-    n = max(1, math.ceil(total / rows))
-    out = df.withColumn("_b", F.pmod(F.xxhash64(*ids), F.lit(n)).cast("int"))
-    sizes = {r["_b"]: r["n"] for r in out.groupBy("_b").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return out, [sizes.get(i, 0) for i in range(n)]
 
+    name: str
+    parts: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    whole: Callable[[np.ndarray], float]
 
-def permutation_stats(df: DataFrame, value: str, side: Column, ids: list[str], iterations: int, seed: int = 0) -> DataFrame:
-    """(iter, n, s, ss): size, sum and sum of squares of the first group after each re-split; iter 0 is the data.
 
-    Exact permutations without a global sort: how many of the first group fall into each bucket is drawn
-    from the multivariate hypergeometric distribution, and each bucket then picks that many of its rows.
+def _moments(v: np.ndarray, t: np.ndarray) -> np.ndarray:
+    return np.array([t.sum(), (v * t).sum(), (v * v * t).sum()], dtype="float64")
+
+
+def _deviation(s: np.ndarray) -> float:
+    return math.sqrt(max(s[2] / s[0] - (s[1] / s[0]) ** 2, 0.0)) if s[0] else math.nan
+
+
+MEAN = Statistic("mean", _moments, lambda s: s[1] / s[0] if s[0] else math.nan)
+STD = Statistic("std", _moments, _deviation)
+CV = Statistic("cv", _moments, lambda s: _deviation(s) / (s[1] / s[0]) if s[0] and s[1] else math.nan)
+
+
+def quantile_statistic(df: DataFrame, value: str, p: float, cells: int = 512, name: str | None = None) -> Statistic:
+    """The p-quantile (first value x with F(x) >= p) of a resample, from counts between values of the data.
+
+    Exact where the data have at most ``cells`` distinct values; otherwise the values are those of a sketch at ``cells`` even
+    ranks, and the result is within about 1 / cells of the ranks.
     """
-    rows = df.select(F.col(value).cast("double").alias("_v"), side.cast("int").alias("_g"), *ids).filter("_v IS NOT NULL AND _g IS NOT NULL")
-    cut, sizes = _buckets(rows, ids, iterations)
-    first = rows.filter("_g = 1").count()
-    picks = np.random.default_rng(seed).multivariate_hypergeometric(sizes, first, size=iterations, method="marginals")
+    x = df.select(F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
+    found = [r[0] for r in x.distinct().limit(cells + 1).collect()]  # cells + 1 values at most
+    if len(found) > cells:
+        grid = ", ".join(f"{i / cells}D" for i in range(cells + 1))
+        sketch = x.agg(F.kll_sketch_agg_double("_v", F.lit(4 * cells)).alias("s"))
+        found = sketch.select(F.expr(f"kll_sketch_get_quantile_double(s, array({grid}))").alias("q")).first()["q"]
+    edges = np.unique(np.array(found, dtype="float64"))
+
+    def parts(v: np.ndarray, t: np.ndarray) -> np.ndarray:
+        return np.bincount(np.searchsorted(edges, v), weights=t, minlength=len(edges) + 1)[: len(edges) + 1]
 
-    def resplit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        b = int(key[0])
-        v = pdf.sort_values(ids)["_v"].to_numpy()
-        out = [(0, int(pdf["_g"].sum()), float(pdf.loc[pdf["_g"] == 1, "_v"].sum()), float((pdf.loc[pdf["_g"] == 1, "_v"] ** 2).sum()))]
-        for i in range(iterations):
-            take = v[np.random.default_rng([seed, b, i]).permutation(len(v))[: picks[i, b]]]
-            out.append((i + 1, len(take), float(take.sum()), float((take * take).sum())))
-        return pd.DataFrame(out, columns=["iter", "n", "s", "ss"])
+    def whole(s: np.ndarray) -> float:
+        total = np.cumsum(s)
+        return float(edges[min(int(np.searchsorted(total, max(p * total[-1], 1e-9))), len(edges) - 1)]) if len(edges) and total[-1] else math.nan
 
-    parts = cut.groupBy("_b").applyInPandas(resplit, "iter int, n bigint, s double, ss double")
-    return parts.groupBy("iter").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"))
+    return Statistic(name or f"q{p:g}", parts, whole)
+
+
+class SplitTree:
+    """Counts of rows by the leading bits of their hash, and draws that go down the tree to a leaf.
+
+    How many of a node's draws fall to its left half is drawn from the node's own seed, so every leaf, in whatever task,
+    sees the same split, and no table of draws exists anywhere.
+    """
+
+    def __init__(self, counts: dict[int, int]):
+        level = np.zeros(1 << TREE_BITS, dtype="int64")
+        for node, n in counts.items():
+            level[node] = n
+        self.levels = [level]
+        while len(self.levels[0]) > 1:
+            self.levels.insert(0, self.levels[0].reshape(-1, 2).sum(1))
+        #: A leaf's rows fit a task; the rule is the same for every table.
+        self.depth = next((d for d, x in enumerate(self.levels) if x.max() <= LEAF_ROWS), TREE_BITS)
+
+    def drawn(self, leaf: int, k: int, seed: int, iteration: int, replace: bool) -> int:
+        """How many of the ``k`` draws of all rows fall into a leaf."""
+        for d in range(self.depth):
+            node = leaf >> (self.depth - d)
+            left, right = (int(x) for x in self.levels[d + 1][2 * node : 2 * node + 2])
+            rng = np.random.default_rng([seed, iteration, d, node])
+            first = _split(rng, left, right, k, replace)
+            k = k - first if leaf >> (self.depth - d - 1) & 1 else first
+        return k
+
+
+def _split(rng: np.random.Generator, left: int, right: int, k: int, replace: bool) -> int:
+    if not k or not left + right:
+        return 0
+    if replace:
+        return int(rng.binomial(k, left / (left + right)))
+    if left + right < 1_000_000_000:  # the generator's own bound; beyond it the limit law errs by less than one draw in its deviation
+        return int(rng.hypergeometric(left, right, k))
+    n = left + right
+    sd = math.sqrt(k * (left / n) * (right / n) * ((n - k) / (n - 1)))
+    return int(min(max(round(rng.normal(k * left / n, sd)), k - right, 0), left, k))
+
+
+def resampled(df: DataFrame, value: str, ids: list[str], iterations: int, statistics: list[Statistic], seed: int = 0,
+              side: Column | None = None) -> DataFrame:
+    """(iter, statistic, first, rest) of seeded resamples.
+
+    Without ``side`` each iteration from 1 is a bootstrap, a resample of full size with replacement: ``first`` is its statistic,
+    ``rest`` null. With it the rows are split anew into groups of the sizes that ``side`` has, ``first`` and ``rest`` being
+    the statistics of the two. Iteration 0 is the data as they are. Rows are told apart by ``ids``; null values take no part.
+    Draws depend on ids and seed alone, not on partitions; a task holds one leaf of the split tree at a time.
+    """
+    group = F.lit(1) if side is None else side.cast("int")
+    rows = df.select(F.col(value).cast("double").alias("_v"), group.alias("_g"), *ids).filter("_v IS NOT NULL AND _g IS NOT NULL")
+    rows = rows.withColumn("_node", F.shiftrightunsigned(F.xxhash64(*ids), 64 - TREE_BITS))
+    counted = rows.groupBy("_node").agg(F.count(F.lit(1)).alias("n"), F.sum("_g").alias("k")).collect()  # 2 ** TREE_BITS rows at most
+    tree = SplitTree({r["_node"]: r["n"] for r in counted})
+    wanted = sum(r["k"] for r in counted)
+    replace = side is None
+
+    def leaf(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        node, pdf = int(key[0]), pdf.sort_values(ids)
+        v, own, out = pdf["_v"].to_numpy(), pdf["_g"].to_numpy(dtype="float64"), []
+        for i in range(iterations + 1):
+            if i:
+                k = tree.drawn(node, wanted, seed, i, replace)
+                rng = np.random.default_rng([seed, i, TREE_BITS + 1, node])
+                if replace:
+                    own = np.bincount(rng.integers(0, len(v), k), minlength=len(v)).astype("float64")
+                else:
+                    own = np.zeros(len(v))
+                    own[rng.permutation(len(v))[:k]] = 1.0
+            for s, stat in enumerate(statistics):
+                for which, times in enumerate([own] if replace else [own, 1.0 - own]):
+                    sums = stat.parts(v, times)
+                    used = np.flatnonzero(sums)
+                    out.append((i, s, which, [int(u) for u in used], [float(x) for x in sums[used]], len(sums)))
+        return pd.DataFrame(out, columns=["iter", "stat", "which", "at", "sums", "size"])
+
+    shift = TREE_BITS - tree.depth
+    sums = (rows.withColumn("_leaf", F.shiftrightunsigned("_node", shift)).groupBy("_leaf")
+            .applyInPandas(leaf, "iter int, stat int, which int, at array<int>, sums array<double>, size int"))
+    cells = sums.select("iter", "stat", "which", "size", F.explode(F.arrays_zip("at", "sums")).alias("c")).select("iter", "stat", "which", "size", "c.at", "c.sums")
+    added = cells.groupBy("iter", "stat", "which", "size", "at").agg(F.sum("sums").alias("s"))
+    packed = added.groupBy("iter", "stat", "which", "size").agg(F.collect_list(F.struct("at", "s")).alias("cells"))  # a statistic's own parts
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got = []
+            for stat, size, cells_ in zip(pdf["stat"], pdf["size"], pdf["cells"]):
+                whole = np.zeros(size)
+                for c in cells_:
+                    whole[c["at"]] = c["s"]
+                got.append(statistics[stat].whole(whole))
+            yield pd.DataFrame({"iter": pdf["iter"], "statistic": [statistics[s].name for s in pdf["stat"]], "which": pdf["which"], "x": np.array(got, dtype="float64")})
+
+    done = packed.mapInPandas(finish, "iter int, statistic string, which int, x double")
+    return done.groupBy("iter", "statistic").agg(F.max(F.when(F.col("which") == 0, F.col("x"))).alias("first"), F.max(F.when(F.col("which") == 1, F.col("x"))).alias("rest"))
+
+
+def permutation_shares(df: DataFrame, value: str, side: Column, ids: list[str], iterations: int, statistics: list[Statistic], seed: int = 0,
+                       absolute: bool = True) -> DataFrame:
+    """(statistic, difference, p): the observed difference of the two groups, and the share of re-splits at least as large."""
+    diff = F.col("first") - F.col("rest")
+    d = resampled(df, value, ids, iterations, statistics, seed, side).select("iter", "statistic", (F.abs(diff) if absolute else diff).alias("d"))
+    seen = d.filter("iter = 0").select("statistic", F.col("d").alias("difference"))
+    return (d.filter("iter > 0").join(seen, "statistic").groupBy("statistic")
+            .agg(F.max("difference").alias("difference"), F.avg((F.col("d") >= F.col("difference")).cast("double")).alias("p")))
 
 
 def permutation_test(df: DataFrame, value: str, side: Column, ids: list[str], iterations: int, seed: int = 0) -> DataFrame:
     """Observed difference in means (absolute) and in deviations, with the share of re-splits at least as large."""
-    stats = permutation_stats(df, value, side, ids, iterations, seed)
-    v = F.col(value)
-    tot = df.filter(v.isNotNull() & side.isNotNull()).agg(F.struct(F.count(v).alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("ss"))).scalar()
-    n2, s2, q2 = tot["n"] - F.col("n"), tot["s"] - F.col("s"), tot["ss"] - F.col("ss")
-    m1, m2 = F.col("s") / F.col("n"), s2 / n2
-    d = stats.select("iter", F.abs(m1 - m2).alias("mean_diff"),
-                     (F.sqrt(F.greatest(F.col("ss") / F.col("n") - m1 * m1, F.lit(0.0)))
-                      - F.sqrt(F.greatest(q2 / n2 - m2 * m2, F.lit(0.0)))).alias("std_diff"))
-    seen = d.filter("iter = 0").select(F.struct("mean_diff", "std_diff")).scalar()
-    return d.withColumns({"_m": seen["mean_diff"], "_s": seen["std_diff"]}).filter("iter > 0").agg(
-        F.max("_m").alias("mean_diff"), F.avg((F.col("mean_diff") >= F.col("_m")).cast("double")).alias("mean_p"),
-        F.max("_s").alias("std_diff"), F.avg((F.col("std_diff") >= F.col("_s")).cast("double")).alias("std_p"))
-
-
-def bootstrap_stats(df: DataFrame, value: str, ids: list[str], iterations: int, seed: int = 0) -> DataFrame:
-    """(iter, n, mean, std, cv): statistics of resamples of full size with replacement."""
-    rows = df.select(F.col(value).cast("double").alias("_v"), *ids).filter("_v IS NOT NULL")
-    cut, sizes = _buckets(rows, ids, iterations)
-    total = sum(sizes)
-    if total == 0:
-        return df.sparkSession.createDataFrame([], "iter int, n bigint, mean double, std double, cv double")
-    picks = np.random.default_rng(seed).multinomial(total, np.array(sizes) / total, size=iterations)
-
-    def resample(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        b = int(key[0])
-        v = pdf.sort_values(ids)["_v"].to_numpy()
-        out = []
-        for i in range(iterations):
-            take = v[np.random.default_rng([seed, b, i]).integers(0, len(v), picks[i, b])]
-            out.append((i, len(take), float(take.sum()), float((take * take).sum())))
-        return pd.DataFrame(out, columns=["iter", "n", "s", "ss"])
-
-    parts = cut.groupBy("_b").applyInPandas(resample, "iter int, n bigint, s double, ss double")
-    mean = F.sum("s") / F.sum("n")
-    std = F.sqrt(F.greatest(F.sum("ss") / F.sum("n") - mean * mean, F.lit(0.0)))
-    return parts.groupBy("iter").agg(F.sum("n").alias("n"), mean.alias("mean"), std.alias("std"), (std / mean).alias("cv"))
+    diff = F.col("first") - F.col("rest")
+    d = (resampled(df, value, ids, iterations, [MEAN, STD], seed, side)
+         .select("iter", "statistic", F.when(F.col("statistic") == "mean", F.abs(diff)).otherwise(diff).alias("d")))
+    wide = d.groupBy("iter").pivot("statistic", ["mean", "std"]).agg(F.max("d"))
+    seen = wide.filter("iter = 0").select(F.struct("mean", "std")).scalar()
+    return wide.withColumns({"_m": seen["mean"], "_s": seen["std"]}).filter("iter > 0").agg(
+        F.max("_m").alias("mean_diff"), F.avg((F.col("mean") >= F.col("_m")).cast("double")).alias("mean_p"),
+        F.max("_s").alias("std_diff"), F.avg((F.col("std") >= F.col("_s")).cast("double")).alias("std_p"))
+
+
+def bootstrap_stats(df: DataFrame, value: str, ids: list[str], iterations: int, seed: int = 0, statistics: list[Statistic] | None = None) -> DataFrame:
+    """(iter, one column per statistic) of resamples of full size with replacement; mean, std and cv unless others are given."""
+    stats = statistics or [MEAN, STD, CV]
+    return (resampled(df, value, ids, iterations, stats, seed).filter("iter > 0")
+            .groupBy("iter").pivot("statistic", [s.name for s in stats]).agg(F.max("first")))
 
 
 def bootstrap_summary(stats: DataFrame, cols: list[str], percentage: float = 90.0) -> DataFrame:

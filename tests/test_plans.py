@@ -123,7 +123,7 @@ def test_smallest_per_group_and_chunks(hot):
 def test_level_grid_beyond_the_array_limit(spark, monkeypatch):
     df = spark.range(30).select((F.col("id") % 5).alias("a"), F.col("id").alias("b"))
     small = joins.level_grid(df, ["a", "b"])
-    monkeypatch.setattr(joins, "LEVEL_LIMIT", 7)
+    monkeypatch.setattr(joins, "CHUNK_LEVELS", 7)
     large = joins.level_grid(df, ["a", "b"])
     assert small.count() == large.count() == large.distinct().count() == 150
 

@@ -1,5 +1,6 @@
 """Small inputs with results worked out by hand or by plain Python."""
 
+import itertools
 import math
 from types import SimpleNamespace
 
@@ -10,15 +11,18 @@ from pyspark.sql import functions as F
 from quillframe.corpus import tokens as tok
 from quillframe.corpus import weights
 from quillframe.functions import arrays, dates, numeric, text
-from quillframe.operators import aggregate, joins, missing, neighbours, timeseries
+from quillframe.operators import aggregate, inspect, joins, missing, neighbours, ordering, project, timeseries, windows
 from quillframe.registry import load_catalog
 from quillframe.sources import accesslog, files, fixedwidth
 from quillframe.stats import distributions as dist
 from quillframe.stats import inference
 
-LOG = ('00000fe9688b6e57 s3-storage [22/Jul/2013:21:03:27 {zone}] 00.111.222.33 arn:aws:sts::000005646931:federated-user/user '
-       '00000AB825500000 REST.HEAD.OBJECT user/file.pdf "HEAD /user/file.pdf?versionId=0 HTTP/1.1" 200 - - 4000272 18 - "-" '
-       '"Boto/2.5.1 (darwin) USER-AGENT/1.0.14.0" 00000XMHZJ')
+def log_line(**changes):
+    """A line put together from the fields of the public access-log format, each with a value of its own."""
+    values = {name: f"{name}-value" for name in accesslog.FIELDS} | {
+        "date_time": "[05/Feb/2019:10:15:30 +0200]", "status": "304", "bytes_sent": "12", "total_time": "7",
+        "request": '"PUT /a%20b?c=d HTTP/2"', "referer": '"https://start.example/x y"', "user_agent": '"probe (v=1; \'q\') z"'}
+    return " ".join((values | changes).values())
 
 
 def column(spark, values, kind="string"):
@@ -30,26 +34,39 @@ def apply(spark, values, f, kind="string"):
 
 
 def test_log_lines(spark):
-    lines = [LOG.format(zone="+0000"), LOG.format(zone="-0500"), "0000 s3-storage [22/Jul/2013:21:03:27 +0000] 00.111.222.33 ",
-             LOG.replace("22/Jul", "AB/Jul").format(zone="+0000")]
-    rows = accesslog.parse(spark.createDataFrame([(x,) for x in lines], "line string")).collect()
-    assert [r["ok"] for r in rows] == [True, True, False, False]
-    assert rows[0]["user_agent"] == "Boto/2.5.1 (darwin) USER-AGENT/1.0.14.0" and rows[0]["referer"] == "-"
-    assert (rows[0]["log_date"], rows[0]["log_time"], rows[0]["log_zone"]) == ("2013-07-22", "2013-07-22 21:03:27", "+0000")
-    assert rows[1]["log_zone"] == "-0500"
-    daily = accesslog.daily_requests(accesslog.parse(spark.createDataFrame([(x,) for x in lines], "line string")), compat=True).collect()
-    assert {r["user_agent"] for r in daily if r["error_line"] is None} == {"-"}
-    assert sum(r["n"] for r in daily) == 4
+    lines = [log_line(), log_line(date_time="[9/Dec/2020:23:59:59 -1130]", referer="-", user_agent="-", bytes_sent="-"),
+             log_line(request='"no quote at the end'), log_line(date_time="[31/Foo/2020:00:00:00 +0000]"), log_line(date_time="no-brackets"),
+             "", "  " + log_line(key="a\x1fb") + " further fields  ", None]
+    rows = accesslog.parse(spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string").orderBy("i").coalesce(1)).collect()
+    assert [r["ok"] for r in rows] == [True, True, False, False, False, False, False, False]
+    first = rows[0].asDict()
+    assert first["user_agent"] == "probe (v=1; 'q') z" and first["referer"] == "https://start.example/x y" and first["request"] == "PUT /a%20b?c=d HTTP/2"
+    assert all(first[f] == f"{f}-value" for f in ("bucket_owner", "bucket", "ip", "requester", "request_id", "operation", "key", "error", "object_size", "turn_around_time"))
+    assert (first["log_date"], first["log_time"], first["log_zone"], first["status"]) == ("2019-02-05", "2019-02-05 10:15:30", "+0200", "304")
+    assert (rows[1]["log_time"], rows[1]["log_zone"], rows[1]["referer"], rows[1]["user_agent"]) == ("2020-12-09 23:59:59", "-1130", "-", "-")
+
+
+def test_log_lines_with_more_fields_and_daily_counts(spark):
+    frame = spark.createDataFrame([(log_line() + " tail of more fields",), (log_line(),), (log_line(referer="-"),), ("rest",), ("rest",)], "line string")
+    parsed = accesslog.parse(frame)
+    assert parsed.where("ok").count() == 3
+    plain = {(r["user_agent"], r["error_line"]): r["n"] for r in accesslog.daily_requests(parsed).collect()}
+    assert plain == {("probe (v=1; 'q') z", None): 3, (None, "rest"): 2}
+    older = {r["user_agent"]: r["n"] for r in accesslog.daily_requests(parsed, compat=True).where("error_line is null").collect()}
+    assert older == {"https://start.example/x y": 2, "-": 1}
 
 
 def test_clean_names(spark):
-    dirty = ["  oslo", "New delhi#", "new DELHI", "rIO grande?!", "Quito "]
-    assert apply(spark, dirty, text.clean_names) == ["Oslo", "New Delhi", "New Delhi", "Rio Grande", "Quito"]
+    dirty = ["a#b!c?", "##", " mIXED  case\t", "already Fine", "x-y o'z", ""]
+    assert apply(spark, dirty, text.clean_names) == ["Abc", "", "Mixed  Case", "Already Fine", "X-y O'z", ""]
 
 
 def test_mixed_dates(spark):
-    got = apply(spark, ["9th of March, 2021", "2021-Nov-3", "12-05-2021", "20211130", "no date"], dates.parse_mixed)
-    assert [str(d) for d in got] == ["2021-03-09", "2021-11-03", "2021-12-05", "2021-11-30", "None"]
+    # A value for each format in turn, then values that miss one by a sign, a number or a word.
+    fits = {"1999-12-31": "1999-12-31", "2000-Feb-29": "2000-02-29", "02-28-2001": "2001-02-28", "20240229": "2024-02-29", "3 June, 1987": "1987-06-03", "22nd of August, 2003": "2003-08-22"}
+    misses = ["2001-02-29", "13-13-2001", "1999/12/31", "22nd August 2003", "tomorrow", ""]
+    got = apply(spark, [*fits, *misses], dates.parse_mixed)
+    assert [str(d) for d in got] == [*fits.values(), *["None"] * len(misses)]
 
 
 def test_sentence_cleaner(spark):
@@ -59,7 +76,7 @@ def test_sentence_cleaner(spark):
 
 @pytest.mark.parametrize("name", ["capitalize", "swapcase", "strip"])
 def test_case_functions(spark, name):
-    values = ["graham Chapman", " john CLEESE ", "x", ""]
+    values = ["aB", "  two WORDS here\t", "q", "", "1st", "ÉcOLE"]
     assert apply(spark, values, getattr(text, name)) == [getattr(v, name)() for v in values]
 
 
@@ -174,7 +191,7 @@ def test_nearest_with_a_hot_cluster(spark, metric):
     rng = np.random.default_rng(3)
     v = np.where(rng.random((300, 1)) < 0.4, 0.0, rng.normal(size=(300, 5)))  # 40 % are copies of one point
     df = spark.createDataFrame([(i, list(map(float, x))) for i, x in enumerate(v)], "id int, v array<double>")
-    got = neighbours.nearest(df, df, "id", "v", 3, metric=metric, pivots=6, rows=32).toPandas()
+    got = neighbours.nearest(df, df, "id", "v", 3, metric=metric, rows=32).toPandas()
     d = np.abs(v[:, None] - v[None]).sum(-1) if metric == "l1" else np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
     np.fill_diagonal(d, np.inf)
     want = np.argsort(d, axis=1, kind="stable")[:, :3]
@@ -182,16 +199,52 @@ def test_nearest_with_a_hot_cluster(spark, metric):
 
 
 def test_resampling(spark, monkeypatch):
-    monkeypatch.setattr(inference, "BUCKET_ROWS", 40)
+    monkeypatch.setattr(inference, "LEAF_ROWS", 40)
     df = spark.range(200).select("id", (F.col("id") % 17).cast("double").alias("v"), (F.col("id") < 80).alias("g"))
-    a = inference.permutation_stats(df, "v", F.col("g"), ["id"], 30, seed=2).orderBy("iter").toPandas()
-    b = inference.permutation_stats(df.repartition(7), "v", F.col("g"), ["id"], 30, seed=2).orderBy("iter").toPandas()
-    assert (a["n"] == 80).all() and np.allclose(a, b) and a["s"].nunique() > 10
-    boot = inference.bootstrap_stats(df, "v", ["id"], 40, seed=2).toPandas()
-    mean = np.mean([i % 17 for i in range(200)])
-    assert (boot["n"] == 200).all() and abs(boot["mean"].mean() - mean) < 0.3
+    median = inference.quantile_statistic(df, "v", 0.5, name="median")
+    stats = [inference.MEAN, inference.STD, median]
+
+    def table(frame, **options):
+        return inference.resampled(frame, "v", ["id"], 30, stats, seed=2, **options).orderBy("statistic", "iter").toPandas()
+
+    a, b = table(df, side=F.col("g")), table(df.repartition(7), side=F.col("g"))
+    assert np.allclose(a[["first", "rest"]], b[["first", "rest"]])
+    v = np.array([i % 17 for i in range(200)], float)
+    seen = a[a["iter"] == 0].set_index("statistic")
+    assert np.isclose(seen.loc["mean", "first"], v[:80].mean()) and np.isclose(seen.loc["std", "rest"], v[80:].std())
+    assert seen.loc["median", "first"] == np.sort(v[:80])[39] and seen.loc["median", "rest"] == np.sort(v[80:])[59]
+    means = a[(a["statistic"] == "mean") & (a["iter"] > 0)]
+    assert means["first"].nunique() > 10 and np.allclose(80 * means["first"] + 120 * means["rest"], v.sum())  # a split, not a draw with replacement
+    boot = table(df)
+    means = boot[(boot["statistic"] == "mean") & (boot["iter"] > 0)]["first"]
+    assert abs(means.mean() - v.mean()) < 0.3 and abs(means.std() - v.std() / math.sqrt(200)) < 0.15
+    assert set(boot[boot["statistic"] == "median"]["first"]) <= set(v)
+    whole = inference.bootstrap_stats(df, "v", ["id"], 40, seed=2).toPandas()
+    assert np.allclose(whole["cv"], whole["std"] / whole["mean"])
+
+
+def test_permutation_shares_follow_the_exact_test(spark):
+    first, rest = [1.0, 4.0, 6.0, 9.0], [2.0, 3.0, 8.0, 12.0, 15.0]
+    df = spark.createDataFrame([(i, x, i < 4) for i, x in enumerate(first + rest)] + [(99, None, True)], "id int, v double, g boolean")
+    every = [abs(np.mean(c) - (sum(first + rest) - sum(c)) / 5) for c in itertools.combinations(first + rest, 4)]
+    seen = abs(np.mean(first) - np.mean(rest))
+    got = inference.permutation_shares(df, "v", F.col("g"), ["id"], 1500, [inference.MEAN], seed=1).first()
+    assert np.isclose(got["difference"], seen) and abs(got["p"] - np.mean([d >= seen - 1e-9 for d in every])) < 0.05
     test = inference.permutation_test(df, "v", F.col("g"), ["id"], 100, seed=1).first()
-    assert 0 <= test["mean_p"] <= 1
+    assert np.isclose(test["mean_diff"], seen) and 0 <= test["mean_p"] <= 1 and 0 <= test["std_p"] <= 1
+
+
+def test_draws_of_a_node_add_up_over_its_leaves(monkeypatch):
+    monkeypatch.setattr(inference, "LEAF_ROWS", 50)
+    counts = {int(n): int(c) for n, c in zip(np.random.default_rng(1).permutation(1 << 16)[:3000], np.random.default_rng(2).integers(1, 9, 3000))}
+    tree, total = inference.SplitTree(counts), sum(counts.values())
+    assert 0 < tree.depth <= 16
+    for replace in (False, True):
+        for i in (1, 2):
+            drawn = [tree.drawn(leaf, total // 3, 5, i, replace) for leaf in range(1 << tree.depth)]
+            assert sum(drawn) == total // 3
+            if not replace:
+                assert all(k <= n for k, n in zip(drawn, tree.levels[tree.depth]))
 
 
 def test_draws_follow_the_distribution(spark):
@@ -205,3 +258,31 @@ def test_linear_svc_learns_from_every_element(spark):
     t = SimpleNamespace(embeddings=spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
     got = load_catalog()["L15_linear_svc"].build(t).collect()
     assert got and all((r["prediction"] == 1.0) == (r["vec_id"] % 2 == 1) for r in got)
+
+
+def test_null_keys_and_values(spark):
+    df = spark.createDataFrame([(1, "a", 2.0), (2, None, 4.0), (3, "a", None), (4, "b", 6.0), (None, "b", 8.0)], "i int, k string, v double")
+    kept = aggregate.transform_groups(df, ["k"], {"m": F.avg("v")}, {"d": F.col("v") - F.col("m")}).orderBy("v").collect()
+    assert [(r["v"], r["d"]) for r in kept] == [(None, None), (2.0, 0.0), (4.0, None), (6.0, -1.0), (8.0, 1.0)]
+    fitted = inference.residuals(df, "i", "v", ["k"])
+    assert fitted.count() == 5 and fitted.where("k is null").first()["fitted"] is None
+    assert [r["v"] for r in inspect.head(df, ["v"], 2).collect()] == [2.0, 4.0] and [r["v"] for r in inspect.tail(df, ["v"], 2).collect()] == [None, 8.0]
+    order = {r["v"]: r["position"] for r in ordering.arg_sort(df, ["v"]).collect()}
+    assert order == {2.0: 0, 4.0: 1, 6.0: 2, 8.0: 3, None: 4}
+    assert {r["v"]: r["rank"] for r in windows.first_come_ranks(df, "v", ["i"]).collect()} == {None: None, 2.0: 1, 4.0: 2, 6.0: 3, 8.0: 4}
+    assert {r["v"]: r["seen"] for r in windows.seen_before(df, ["k"], ["v"]).collect()} == {None: False, 2.0: True, 4.0: False, 6.0: False, 8.0: True}
+    rolled = windows.rolling(df.where("i is not null"), "i", "v", {"s": F.sum("v")}, 1, 0).orderBy("i").collect()
+    assert [r["s"] for r in rolled] == [None, 6.0, None, None]
+    ranked = windows.running(df, [], ["i"], {"total": "v"}).collect()
+    assert {r["i"]: r["total"] for r in ranked} == {1: 2.0, 2: 6.0, 3: 6.0, 4: 12.0, None: 20.0}
+    smallest = ordering.smallest_per_group(df, ["k"], ["v"], 1)
+    assert {r["k"]: r["v"] for r in smallest.collect()} == {"a": 2.0, "b": 6.0, None: 4.0}
+
+
+def test_transposing_a_wide_frame(spark):
+    labels = list(range(1100))
+    df = spark.range(1100).select("id", *[(F.col("id") * 1000 + i).alias(f"c{i}") for i in range(920)])
+    wide = project.transpose(df, "id", labels)
+    assert len(wide.columns) == 1101 and len(labels) * 920 > 1_000_000
+    row = wide.where("column_name = 'c7'").first()
+    assert row["0"] == "7" and row["1099"] == "1099007" and wide.select("column_name").distinct().count() == 920
