@@ -7,8 +7,9 @@ threshold. A node whose whole list reaches it is saturated and may have links be
 connects it with. So all members of components with a saturated node are compared with all others of their kind, block by
 block: only counts and one link for each pair of components leave the tasks, and blocks whose members are surely too far
 apart never meet. An edge that a list has no room for always has a saturated end, so nothing that was seen is lost.
-A brute-force audit of a fixed number of nodes measures the recall; further rounds follow while it is below the aim. A
-second audit takes the final counts, without a cap, and warns when they miss the aim.
+Kinds of at most SMALL nodes are compared in full instead, each in one block. A brute-force audit of a fixed number of
+nodes measures the recall; further rounds follow while it is below the aim. A second audit takes the final counts, without
+a cap; when they miss the aim, all nodes are compared with all others of their kind, block by block, which finds every link.
 
 Rules: null labels, null, empty or zero vectors and those with null or non-finite components link with nothing and are
 components of their own; only vectors of one length are compared; repeated rows and equal vectors link with each other.
@@ -16,8 +17,6 @@ components of their own; only vectors of one length are compared; repeated rows
 
 from __future__ import annotations
 
-import warnings
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -29,6 +28,8 @@ from quillframe.llm.components import components
 THRESHOLD = 0.98
 #: Length of a neighbour list, rows of a slab, orders by hyperplane codes, bits of a code.
 NEIGHBOURS, SLAB, ORDERS, BITS = 12, 64, 6, 24
+#: Nodes of a kind that are compared in full at once.
+SMALL = 2 * SLAB
 #: Rounds of local joins at least and at most, nodes of the audit, and the recall that ends the rounds.
 ROUNDS, MOST_ROUNDS, AUDIT, AIM = 2, 6, 200, 0.97
 #: Members of saturated components compared at once.
@@ -73,7 +74,8 @@ def nearest(edges: DataFrame, most: int) -> DataFrame:
 def first_lists(nodes: DataFrame) -> DataFrame:
     """Edges inside slabs of the rows sorted by the code of one set of hyperplanes, for each of ORDERS sets.
 
-    A range partition by code and node has no hot part: rows of one code spread over as many slabs as they need.
+    A range partition by code and node has no hot part: rows of one code spread over as many slabs as they need. Slabs end
+    where a range does; kinds follow each other in another order for each set, so the ends cut them at other places.
     """
 
     def coded(seed: int):
@@ -102,12 +104,26 @@ def first_lists(nodes: DataFrame) -> DataFrame:
     out = None
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for seed in range(ORDERS):
-        dealt = nodes.select("kind", "node", "x").mapInArrow(coded(seed), "kind string, node bigint, x binary, code bigint").repartitionByRange(parts, "kind", "code", "node").sortWithinPartitions("kind", "code", "node")
+        dealt = nodes.select("kind", "node", "x").mapInArrow(coded(seed), "kind string, node bigint, x binary, code bigint")
+        order = [F.xxhash64("kind", F.lit(seed)), F.col("kind"), F.col("code"), F.col("node")]
+        dealt = dealt.repartitionByRange(parts, *order).sortWithinPartitions(*order)
         edges = dealt.mapInArrow(slabs, EDGE_SQL)
         out = edges if out is None else out.unionByName(edges)
     return out
 
 
+def small_kinds(nodes: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The nearest NEIGHBOURS of each node of the kinds in ``sizes``, which have at most SMALL nodes, by full comparison."""
+    groups = nodes.join(sizes.select("kind"), "kind").groupBy("kind").agg(F.collect_list(F.struct("kind", "node", "x")).alias("rows"))
+
+    def run(batches):
+        for batch in batches:
+            for rows in batch.column("rows").to_pylist():
+                yield edges_of_slab(pa.Table.from_pylist(rows))
+
+    return groups.select("rows").mapInArrow(run, EDGE_SQL)
+
+
 _planes: dict[tuple[int, int], np.ndarray] = {}
 
 
@@ -268,7 +284,13 @@ def compared_blocks(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def lists(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The refined neighbour lists."""
+    """The refined neighbour lists; those of small kinds are final from the start."""
+    sizes = saved(nodes.groupBy("kind").agg(F.count(F.lit(1)).alias("n")))
+    small = sizes.where(F.col("n") <= SMALL)
+    whole = saved(small_kinds(nodes, small))
+    nodes = saved(nodes.join(small.select("kind"), "kind", "left_anti"))
+    if nodes.isEmpty():
+        return whole
     edges = saved(nearest(first_lists(nodes), NEIGHBOURS))
     single = nodes.withColumn("copies", F.lit(1).cast("bigint"))
     for turn in range(MOST_ROUNDS):
@@ -276,7 +298,7 @@ def lists(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         held = both_ways(edges.where(F.col("s") >= threshold)).groupBy("u").agg(F.count(F.lit(1)).alias("links")).withColumnRenamed("u", "node")
         if turn + 1 >= ROUNDS and audit(held, single, threshold, NEIGHBOURS) >= AIM:
             break
-    return edges
+    return edges.unionByName(whole)
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -294,20 +316,21 @@ def link(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     label = components(links)
     full = near.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= NEIGHBOURS)
     large = label.join(full.select(F.col("u").alias("node")), "node").select("component").distinct()
-    members = saved(label.join(large, "component").join(nodes.select("kind", "node", "x", "copies"), "node"))
-    compared = saved(compared_blocks(members, threshold))
-    joins = compared.where("a is not null").select("a", "b")
-    if not joins.isEmpty():
-        label = components(links.unionByName(joins))
-    enlarged = compared.where("node is not null").groupBy("node").agg(F.sum("links").alias("links"))
     listed = both.join(nodes.select(F.col("node").alias("v"), "copies"), "v").groupBy(F.col("u").alias("node")).agg(F.sum("copies").alias("listed"))
-    named = nodes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    first = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    counted = saved(named.join(first, "component").join(enlarged, "node", "left").join(listed, "node", "left")
-                    .select("node", "component_id", F.coalesce("links", "listed", F.lit(0)).alias("links"), "copies"))
-    share = audit(counted, nodes, threshold)
-    if share < AIM:
-        warnings.warn(f"near vectors: the audit found {share:.4f} of the links, below the aim of {AIM}", stacklevel=2)
+    members = label.join(large, "component").join(nodes.select("kind", "node", "x", "copies"), "node")
+    for _ in range(2):
+        compared = saved(compared_blocks(saved(members), threshold))
+        joins = compared.where("a is not null").select("a", "b")
+        if not joins.isEmpty():
+            label = components(links.unionByName(joins))
+        enlarged = compared.where("node is not null").groupBy("node").agg(F.sum("links").alias("links"))
+        named = nodes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        first = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+        counted = saved(named.join(first, "component").join(enlarged, "node", "left").join(listed, "node", "left")
+                        .select("node", "component_id", F.coalesce("links", "listed", F.lit(0)).alias("links"), "copies"))
+        if audit(counted, nodes, threshold) >= AIM:
+            break
+        members = named.select("kind", "component", "node", "x", "copies")  # all of them: nothing is left to find after that
     per_node = counted.select("node", "component_id", (F.col("links") + F.col("copies") - 1).cast("bigint").alias("n_links"))
     found = rows.join(per_node, "node").select("vec_id", "n_links", "component_id")
     all_rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"))
