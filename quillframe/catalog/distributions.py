@@ -1,8 +1,11 @@
 """Distributions and inference."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from quillframe.catalog.aggregates import rnd
+from quillframe.functions import numeric
 from quillframe.plans.quantiles import quantiles
 from quillframe.registry import query
 from quillframe.stats import distributions as dist
@@ -153,7 +156,11 @@ def _(t):
     return rnd(s, normal=9, lognormal=9, exponential=9, poisson=9, binomial=9)
 
 
-@query("Q13_fitted_cdf")
+@query("Q13_fitted_cdf", """
+WITH m AS (SELECT avg(l_quantity) AS mu, stddev_pop(l_quantity) AS sd, count(l_quantity) AS total FROM lineitem), c AS (SELECT l_quantity, count(*) AS n FROM lineitem WHERE l_quantity IS NOT NULL GROUP BY 1),
+x AS (SELECT l_quantity, CAST(sum(n) OVER (ORDER BY l_quantity) AS DOUBLE) / total AS p, (l_quantity - mu) / (sd * sqrt(2)) AS z, mu FROM c, m)
+SELECT l_quantity, round(p, 9) AS observed, round(0.5 + list_sum([CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END * pow(z, 2 * k + 1) / ((2 * k + 1) * exp(lgamma(k + 1.0))) for k in range(60)]) / sqrt(pi()), 9) AS normal,
+ round(1 - exp(-l_quantity / mu), 9) AS exponential FROM x""")
 def _(t):
     m = t.lineitem.agg(F.struct(F.avg("l_quantity").alias("mu"), F.stddev_pop("l_quantity").alias("sd"))).scalar()
     c = dist.cdf(t.lineitem, "l_quantity").select("l_quantity", "cum_p", m["mu"].alias("mu"), m["sd"].alias("sd"))
@@ -287,6 +294,16 @@ def _(t):
     return quantiles(curves, ["day"], "v", {"p05": 0.05, "p50": 0.5, "p95": 0.95}, kind="row")
 
 
-@query("Q27_normal_plot")
+def _ratio_sql(r, coefficients):
+    """Quotient of two polynomials in the SQL name ``r``, highest power first."""
+    above, below = (reduce(lambda s, c: f"({s} * {r} + {c!r}::DOUBLE)", line[1:], f"{line[0]!r}::DOUBLE") for line in coefficients)
+    return f"{above} / {below}"
+
+
+@query("Q27_normal_plot", f"""
+WITH s AS (SELECT o_totalprice, row_number() OVER (ORDER BY o_totalprice, o_orderkey) / (count(*) OVER () + 1.0::DOUBLE) AS p FROM orders WHERE o_totalprice IS NOT NULL),
+q AS (SELECT *, p - 0.5::DOUBLE AS q, 0.180625::DOUBLE - (p - 0.5::DOUBLE) * (p - 0.5::DOUBLE) AS c, sqrt(-ln(least(p, 1 - p))) - 1.6::DOUBLE AS t, sqrt(-ln(least(p, 1 - p))) - 5.0::DOUBLE AS u FROM s)
+SELECT o_totalprice, round(CASE WHEN abs(q) <= 0.425 THEN q * ({_ratio_sql('c', numeric.AS241_CENTRE)}) WHEN u <= 0 THEN sign(q) * ({_ratio_sql('t', numeric.AS241_SIDE)})
+ ELSE sign(q) * ({_ratio_sql('u', numeric.AS241_TAIL)}) END, 9) AS score FROM q""")
 def _(t):
     return rnd(dist.normal_plot(t.orders, "o_totalprice", ["o_orderkey"]), score=9)

@@ -29,11 +29,11 @@ def _(t):
 
 
 @query("X04_shared_intermediate", """
-SELECT 'flag' AS by, l_returnflag AS key, count(*) AS n FROM lineitem WHERE l_discount > 0.02 GROUP BY 2
-UNION ALL SELECT 'status', l_linestatus, count(*) FROM lineitem WHERE l_discount > 0.02 GROUP BY 2""")
+SELECT 'flag' AS by, l_returnflag AS key, count(*) AS n FROM lineitem GROUP BY 2
+UNION ALL SELECT 'status', l_linestatus, count(*) FROM lineitem GROUP BY 2""")
 def _(t):
     out = t.scratch("shared")
-    with userfn.shared(t.lineitem.filter("l_discount > 0.02").select("l_returnflag", "l_linestatus")) as kept:
+    with userfn.shared(t.lineitem.select("l_returnflag", "l_linestatus")) as kept:
         for by, col in (("flag", "l_returnflag"), ("status", "l_linestatus")):
             kept.groupBy(F.col(col).alias("key")).agg(F.count("*").alias("n")).select(
                 F.lit(by).alias("by"), "key", "n").write.mode("append").parquet(out)

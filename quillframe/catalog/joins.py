@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from quillframe.operators import joins, neighbours
+from quillframe.operators import joins, neighbours, overlap
 from quillframe.operators.binning import bracket_join
 from quillframe.plans.seeded import split_label
 from quillframe.registry import query
+from quillframe.session import balanced
 
 DAILY = "(SELECT CAST(ts AS DATE) AS day, round(sum(value), 2) AS total, count(*) AS n FROM events GROUP BY 1)"
 
@@ -26,11 +27,10 @@ def _(t):
 
 
 @query("J02_named_key", """
-SELECT c_nationkey AS nationkey, c_custkey, s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey WHERE c_acctbal > 9000 AND s_acctbal > 5000""")
+SELECT l_suppkey AS suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice, s_name, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""")
 def _(t):
-    c = t.customer.filter("c_acctbal > 9000").select(F.col("c_nationkey").alias("nationkey"), "c_custkey")
-    s = t.supplier.filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("nationkey"), "s_suppkey")
-    return joins.merge(c, s, on=["nationkey"])
+    lines = t.lineitem.select(F.col("l_suppkey").alias("suppkey"), "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    return joins.merge(lines, t.supplier.select(F.col("s_suppkey").alias("suppkey"), "s_name", "s_nationkey"), on=["suppkey"])
 
 
 @query("J03_different_keys", "SELECT n_nationkey, n_name, n_regionkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -211,3 +211,27 @@ def _(t):
 @query("J18_split_overlap_near", overlap_sql(NORMAL))
 def _(t):
     return joins.overlap(split_docs(t), "part", F.sha2(F.trim(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " ")), 256))
+
+
+RUNS = "CASE WHEN len(w) >= 5 THEN list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) ELSE [array_to_string(w, ' ')] END"
+
+
+@query("J18_near_texts", f"""
+WITH d AS (SELECT row_number() OVER () AS id, {SPLIT} AS part, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT id, part, {RUNS} AS g FROM d WHERE len(w) > 0), u AS MATERIALIZED (SELECT id, part, len(g) AS n, unnest(g) AS g FROM s),
+p AS (SELECT a.id, a.part, b.part AS other, a.n + b.n AS total, count(*) AS common FROM u a JOIN u b ON a.g = b.g AND a.part <> b.part GROUP BY a.id, b.id, a.part, b.part, a.n, b.n)
+SELECT part, other, count(DISTINCT id) AS rows FROM p WHERE 5 * common >= 4 * (total - common) GROUP BY ALL""")
+def _(t):
+    return overlap.near_texts(balanced(split_docs(t).select("doc_id", "part", "text"), "doc_id"), "part", "text")
+
+
+SPLIT_VECTORS = SPLIT.replace("doc_id", "vec_id")
+
+
+@query("J18_near_vectors", f"""
+WITH v AS (SELECT vec_id, {SPLIT_VECTORS} AS part, embedding::DOUBLE[] AS e FROM embeddings)
+SELECT a.part, b.part AS other, count(DISTINCT a.vec_id) AS rows FROM v a JOIN v b ON a.part <> b.part AND list_cosine_similarity(a.e, b.e) >= 0.98 GROUP BY ALL""")
+def _(t):
+    parts = [("train", 0.6), ("valid", 0.2), ("test", 0.2)]
+    v = t.embeddings.withColumn("part", split_label(3, parts, "vec_id"))
+    return overlap.near_vectors(v, "part", "embedding", [name for name, _ in parts])

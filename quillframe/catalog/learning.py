@@ -153,6 +153,23 @@ def _(t):
     return rnd(neighbours.classify(near, t.embeddings, "vec_id", "label"), share=6)
 
 
+KS = [1, 3, 5, 9, 15]
+
+
+@query("L16_knn_sweep", f"""
+WITH n AS (SELECT a.vec_id AS id, a.label AS own, b.label, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.e, b.e), b.vec_id) AS r
+ FROM (SELECT *, embedding::DOUBLE[] AS e FROM embeddings) a JOIN (SELECT *, embedding::DOUBLE[] AS e FROM embeddings) b ON a.vec_id <> b.vec_id QUALIFY r <= {max(KS)}),
+v AS (SELECT k, id, own, label, count(*) AS votes FROM n, (SELECT unnest({KS}) AS k) WHERE r <= k GROUP BY ALL),
+c AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY k, id ORDER BY votes DESC, label) = 1)
+SELECT k, count(*) AS n, CAST(sum(CAST(own = label AS BIGINT)) AS BIGINT) AS hits, round(avg(CAST(own = label AS DOUBLE)), 9) AS accuracy FROM c GROUP BY 1""")
+def _(t):
+    near = neighbours.nearest(t.embeddings, t.embeddings, "vec_id", "embedding", max(KS))
+    named = neighbours.classify_each(near, t.embeddings, "vec_id", "label", KS)
+    own = t.embeddings.select(F.col("vec_id").alias("id"), F.col("label").alias("own"))
+    right = (F.col("own") == F.col("label")).cast("bigint")
+    return named.join(own, "id").groupBy("k").agg(F.count("*").alias("n"), F.sum(right).alias("hits"), F.round(F.avg(right), 9).alias("accuracy"))
+
+
 @query("L17_linear_regression", """
 SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem""")
 def _(t):

@@ -63,7 +63,14 @@ def _(t):
                              r(numeric.beta(q, x + 1), 7, "b"))
 
 
-@query("F04_error_functions")
+# Maclaurin series of the error function and its inverse, for arguments up to 0.1.
+ERF_SUM = "2 / sqrt(pi()) * (x - pow(x, 3) / 3 + pow(x, 5) / 10 - pow(x, 7) / 42 + pow(x, 9) / 216 - pow(x, 11) / 1320)"
+ERFINV_SUM = "y + pow(y, 3) / 3 + 7 * pow(y, 5) / 30 + 127 * pow(y, 7) / 630 + 4369 * pow(y, 9) / 22680 + 34807 * pow(y, 11) / 178200"
+
+
+@query("F04_error_functions", f"""
+SELECT {KEYS}, round({ERF_SUM}, 9) AS erf, round(1 - {ERF_SUM}, 9) AS erfc, round({ERFINV_SUM}, 9) AS erfinv
+FROM (SELECT *, l_discount AS x, l_discount * sqrt(pi()) / 2 AS y FROM lineitem)""")
 def _(t):
     d = F.col("l_discount")
     return t.lineitem.select(*LINE, r(numeric.erf(d), 9, "erf"), r(numeric.erfc(d), 9, "erfc"), r(numeric.erfinv(d), 9, "erfinv"))
@@ -276,6 +283,17 @@ def _(t):
                             F.array_contains(w, "the").alias("has"), big(arrays.remove_first(w, "the"), "removed"), big(F.concat(w, w), "doubled"))
 
 
+@query("F27_array_edits_whole", f"""
+SELECT doc_id, list_append(w, 'end') AS appended, w[1:2] || ['mid'] || w[3:] AS inserted, w[1:len(w) - 1] AS popped,
+ CASE WHEN list_contains(w, 'the') THEN w[1:list_position(w, 'the') - 1] || w[list_position(w, 'the') + 1:] ELSE w END AS removed, w || w AS doubled
+FROM (SELECT doc_id, {TOKENS} AS w FROM documents)""")
+def _(t):
+    w = F.col("w")
+    inserted = F.concat(F.slice(w, 1, 2), F.array(F.lit("mid")), arrays.slice_step(w, 2))
+    return tokens(t).select("doc_id", F.array_append(w, "end").alias("appended"), inserted.alias("inserted"), arrays.pop_last(w).alias("popped"),
+                            arrays.remove_first(w, "the").alias("removed"), F.concat(w, w).alias("doubled"))
+
+
 @query("F28_comprehension", f"""
 SELECT doc_id, list_sort(list_distinct([lower(x) for x in w if length(x) > 9])) AS long_words,
  len(flatten([string_split(x, '') for x in w])) AS letters FROM (SELECT doc_id, {TOKENS} AS w FROM documents)""")
@@ -340,3 +358,24 @@ def _(t):
     pairs = F.arrays_zip(F.transform("w", lambda x: F.length(x).cast("bigint")).alias("lengths"), F.col("w").alias("words"))
     p = tokens(t).select("doc_id", F.slice(pairs, 1, 4).alias("p"))
     return p.select("doc_id", arrays.unzip(F.col("p"), "lengths").alias("lengths"), arrays.unzip(F.col("p"), "words").alias("words"))
+
+
+SIDE = 8
+
+
+@query("F33_matrix_whole", f"""
+SELECT vec_id, label, [e[{SIDE} * i + 1:{SIDE} * i + {SIDE}] for i in range({SIDE})] AS matrix, [[e[{SIDE} * j + i + 1] for j in range({SIDE})] for i in range({SIDE})] AS transposed,
+ [e[{SIDE + 1} * i + 1] for i in range({SIDE})] AS diagonal FROM (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings)""")
+def _(t):
+    e = F.transform("embedding", lambda x: x.cast("double"))
+    df = t.embeddings.select(F.struct("vec_id", "label", arrays.matrix(e, SIDE).alias("matrix")).alias("rec"))
+    m = F.col("rec.matrix")
+    return df.select("rec.vec_id", "rec.label", "rec.matrix", arrays.transposed(m, SIDE).alias("transposed"),
+                     F.transform(m, lambda row, i: F.get(row, i)).alias("diagonal"))
+
+
+@query("F34_unzip_whole", f"SELECT doc_id, [length(x) for x in w] AS lengths, w AS words FROM (SELECT doc_id, {TOKENS} AS w FROM documents)")
+def _(t):
+    pairs = F.arrays_zip(F.transform("w", lambda x: F.length(x).cast("bigint")).alias("lengths"), F.col("w").alias("words"))
+    p = tokens(t).select("doc_id", pairs.alias("p"))
+    return p.select("doc_id", arrays.unzip(F.col("p"), "lengths").alias("lengths"), arrays.unzip(F.col("p"), "words").alias("words"))

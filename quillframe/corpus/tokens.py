@@ -73,6 +73,25 @@ def skip_grams(df: DataFrame, doc: str, text: str, window: int) -> DataFrame:
                         F.explode(F.concat("p.before", "p.after")).alias("context"))
 
 
+def sampled_skip_grams(df: DataFrame, doc: str, text: str, window: int, num_skips: int, seed: int) -> DataFrame:
+    """(doc, pos, center, context_pos, context): ``num_skips`` contexts of every word, drawn without repetition from its window.
+
+    The draw takes the places with the smallest hashes of (seed, document, place, place of the context), so it is the same
+    in every run; a window cut off by the end of the text gives what it has. Documents need an id of their own.
+    """
+    t, n = F.col("_t"), F.size("_t")
+
+    def drawn(w: Column, i: Column) -> Column:
+        near = F.filter(F.sequence(F.greatest(i - window, F.lit(0)), F.least(i + window, n - 1)), lambda j: j != i)
+        keyed = F.transform(near, lambda j: F.struct(F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(doc).cast("string"), i.cast("string"), j.cast("string"))).alias("key"), j.alias("at")))
+        return F.struct(i.alias("pos"), w.alias("center"), F.slice(F.array_sort(keyed), 1, num_skips).alias("taken"))
+
+    words_ = df.select(doc, token_array(F.col(text)).alias("_t"))
+    centres = words_.select(doc, "_t", F.explode(F.transform(t, drawn)).alias("p"))
+    named = F.transform("p.taken", lambda x: F.struct(x["at"].alias("context_pos"), F.get(t, x["at"]).alias("context")))
+    return centres.select(doc, "p.pos", "p.center", F.explode(named).alias("c")).select(doc, "pos", "center", "c.*")
+
+
 def pad_to_longest(df: DataFrame, tokens: str, pad: str = PAD) -> DataFrame:
     """Arrays filled up at the end to the length of the longest."""
     longest = df.agg(F.max(F.size(tokens))).scalar()

@@ -51,3 +51,15 @@ def delete(m: Column, key) -> Column:
 def unzip(pairs: Column, field: str) -> Column:
     """One field of every struct in an array."""
     return F.transform(pairs, lambda p: p[field])
+
+
+def matrix(c: Column, width: int) -> Column:
+    """Rows of ``width`` elements, the last one shorter if elements are left over."""
+    rows = F.ceil(F.size(c) / width).cast("int")
+    whole = F.transform(F.sequence(F.lit(0), rows - 1), lambda i: F.slice(c, i * width + 1, F.lit(width)))
+    return F.when(F.size(c) > 0, whole).when(c.isNotNull(), F.slice(F.array(c), 1, 0))
+
+
+def transposed(m: Column, width: int) -> Column:
+    """Columns of a matrix of rows of ``width`` elements as rows; null where a row is too short."""
+    return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.transform(m, lambda row: F.get(row, i)))

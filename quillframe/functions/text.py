@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import textwrap
 import unicodedata
 from functools import reduce
 
@@ -132,14 +131,53 @@ def normalize(c: Column, form: str = "NFC") -> Column:
     return _normalize(c, F.lit(form))
 
 
-@pandas_udf(StringType())
-def _wrap(c: pd.Series, width: pd.Series) -> pd.Series:
-    return pd.Series([None if s is None else "\n".join(textwrap.wrap(s, int(w))) for s, w in zip(c, width)])
+# The white space that separates words of a line.
+BLANKS = r"\t\n\x0B\f\r "
+TAB_STOP = 8
+
+
+def expand_tabs(c: Column) -> Column:
+    """Tabs filled up with blanks to the next multiple of eight characters since the start of the line."""
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("col"))
+
+    def step(s: Column, piece: Column) -> Column:
+        rest = F.length(F.regexp_extract(piece, r"[^\n\r]*\z", 0))
+        col = F.when(rest == F.length(piece), s["col"] + rest).otherwise(rest)
+        gap = TAB_STOP - col % TAB_STOP
+        return F.struct(F.concat(s["out"], piece, F.repeat(F.lit(" "), gap)).alias("out"), (col + gap).alias("col"))
+
+    pieces = F.split(c, "\t")
+    before = F.aggregate(F.slice(pieces, 1, F.size(pieces) - 1), start, step, lambda s: s["out"])
+    return F.when(F.contains(c, F.lit("\t")), F.concat(before, F.element_at(pieces, -1))).otherwise(c)
 
 
 def wrap(c: Column, width: int) -> Column:
-    """Lines of at most ``width`` characters, broken at words."""
-    return _wrap(c, F.lit(width))
+    """Lines of at most ``width`` characters, joined by line feeds.
+
+    Lines break at white space, which counts one blank a character and is dropped where a line ends, and after a hyphen
+    between two letters on either side; a word longer than a line is cut at its edge. A null stays null, a text
+    without words gives an empty text.
+    """
+    chunks = F.split(F.regexp_replace(expand_tabs(c), f"[{BLANKS}]", " "), r"(?<=[^ ])(?= )|(?<= )(?=[^ ])|(?<=[\p{L}_]{2}-)(?=[\p{L}_]{2})")
+
+    def state(lines: Column, line: Column) -> Column:
+        return F.struct(lines.alias("lines"), line.alias("line"))
+
+    def step(s: Column, w: Column) -> Column:
+        lines, line = s["lines"], s["line"]
+        ended = F.concat(lines, F.filter(F.array(F.rtrim(line)), lambda x: x != ""))
+        left = F.lit(width) - F.length(line)
+        rest = F.substr(w, left + 1)
+        cuts = F.transform(F.sequence(F.lit(0), F.floor((F.length(rest) - 1) / width).cast("int")), lambda i: F.substr(rest, i * width + 1, F.lit(width)))
+        long = F.concat(lines, F.array(F.concat(line, F.substr(w, F.lit(1), left))), F.slice(cuts, 1, F.size(cuts) - 1))
+        return (F.when(w.startswith(" ") & (line == "") & (F.size(lines) > 0), s)
+                .when(F.length(w) <= left, state(lines, F.concat(line, w)))
+                .when(w.startswith(" "), state(ended, F.lit("")))
+                .when(F.length(w) <= width, state(ended, w))
+                .otherwise(state(long, F.element_at(cuts, -1))))
+
+    start = state(F.array().cast("array<string>"), F.lit(""))
+    return F.aggregate(chunks, start, step, lambda s: F.array_join(F.concat(s["lines"], F.filter(F.array(F.rtrim(s["line"])), lambda x: x != "")), "\n"))
 
 
 def chain(c: Column, *steps) -> Column:

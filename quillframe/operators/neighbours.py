@@ -174,17 +174,18 @@ def build_index(right: DataFrame, id_col: str, vec: str, metric: str = "l2", row
 
 
 def search_index(index: Index, left: DataFrame, id_col: str, vec: str, k: int, exclude_self: bool = True, cells: int | None = None,
-                 rows: int = 4096) -> DataFrame:
+                 rows: int = 4096, within: float | None = None) -> DataFrame:
     """(id, neighbour, distance, rank, visited) of the k nearest for each row of ``left``, ``visited`` counting the cells asked.
 
-    With ``cells`` the search of a row ends after so many cells and may miss neighbours. Ties go to the smaller id.
+    With ``cells`` the search of a row ends after so many cells and may miss neighbours. With ``within`` only rows at that
+    distance or less are found, and cells farther away are never asked. Ties go to the smaller id.
     """
-    spark = left.sparkSession
+    spark, limit = left.sparkSession, float("inf") if within is None else within * (1 + SLACK)
     path = scratch_path(spark, "queries")
     left.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec).cast("array<double>").alias("v")).filter("id IS NOT NULL AND v IS NOT NULL").write.parquet(path)
     known = index.cells
     fields = "id bigint, v array<double>, visited int, reach double, last_d double, last_cell int"
-    state = spark.read.parquet(path).select("id", "v", F.lit(0).alias("visited"), F.lit(float("inf")).alias("reach"), F.lit(-1.0).alias("last_d"), F.lit(-1).alias("last_cell"))
+    state = spark.read.parquet(path).select("id", "v", F.lit(0).alias("visited"), F.lit(limit).alias("reach"), F.lit(-1.0).alias("last_d"), F.lit(-1).alias("last_cell"))
     best, finished, step = None, [], 1
 
     def take(pdf: pd.DataFrame, step: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -212,14 +213,15 @@ def search_index(index: Index, left: DataFrame, id_col: str, vec: str, k: int, e
                     yield pdf.assign(more=[bool(n) and len(left_) > 0 for left_, _, n in take(pdf, 1)])
 
         met = _met(state.mapInPandas(visit, "id bigint, v array<double>, cell int"), index, k, exclude_self, rows)
+        met = met if within is None else met.where(F.col("distance") <= limit)
         both = met if best is None else best.unionByName(met)
         order = Window.partitionBy("id").orderBy("distance", "neighbour")
         best_path, state_path = scratch_path(spark, "best"), scratch_path(spark, "state")
         both.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank").write.parquet(best_path)
         best = spark.read.schema("id bigint, neighbour bigint, distance double").parquet(best_path)
         reached = best.groupBy("id").agg(F.count("*").alias("_n"), F.max("distance").alias("_d"))
-        # A row with fewer than k neighbours so far reaches everywhere.
-        reach = F.when(F.col("_n") >= k, F.col("_d")).otherwise(F.lit(float("inf")))
+        # A row with fewer than k neighbours so far reaches as far as the limit.
+        reach = F.when(F.col("_n") >= k, F.col("_d")).otherwise(F.lit(limit))
         moved = state.mapInPandas(advance, fields).drop("reach").join(reached, "id", "left").select("id", "v", "visited", reach.alias("reach"), "last_d", "last_cell")
         moved.mapInPandas(still, f"{fields}, more boolean").write.parquet(state_path)
         every = spark.read.schema(f"{fields}, more boolean").parquet(state_path)
@@ -287,3 +289,13 @@ def classify(neighbours: DataFrame, labels: DataFrame, id_col: str, label: str)
         F.max(F.struct("votes", (-F.col("label")).alias("neg"))).alias("m"), F.sum("votes").alias("total"))
     return best.select("id", (-F.col("m.neg")).alias("label"), F.col("m.votes").alias("votes"),
                        (F.col("m.votes") / F.col("total")).alias("share"))
+
+
+def classify_each(neighbours: DataFrame, labels: DataFrame, id_col: str, label: str, ks: list[int]) -> DataFrame:
+    """(id, k, label, votes, share) for every k of ``ks`` from one search for the largest of them, ties as in ``classify``."""
+    named = neighbours.join(labels.select(F.col(id_col).alias("neighbour"), F.col(label).alias("label")), "neighbour")
+    # A neighbour votes under every k from its rank on: counted once per rank, added up over the few ks.
+    taking = F.filter(F.lit(sorted(set(ks))), lambda k: k >= F.col("rank"))
+    votes = named.select("id", "label", F.explode(taking).alias("k")).groupBy("id", "k", "label").agg(F.count(F.lit(1)).alias("votes"))
+    best = votes.groupBy("id", "k").agg(F.min(F.struct((-F.col("votes")).alias("neg"), "label")).alias("m"), F.sum("votes").alias("total"))
+    return best.select("id", "k", F.col("m.label").alias("label"), (-F.col("m.neg")).alias("votes"), (-F.col("m.neg") / F.col("total")).alias("share"))
