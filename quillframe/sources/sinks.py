@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillframe.session import scratch_path
+from quillframe.session import reliable, scratch_path
 
 
 def write_csv_plain(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -29,8 +29,10 @@ def write_split(df: DataFrame, path: str, rows: int) -> None:
 def compact(df: DataFrame, path: str, key: str, rows_per_file: int, compression: str = "zstd") -> None:
     """Merge small files into one folder per key with files of about ``rows_per_file`` rows.
 
-    A large key is spread over as many tasks as it needs files, a small one stays in one.
+    A large key is spread over as many tasks as it needs files, a small one stays in one. The rows are written once
+    before they are numbered: a task that runs again must deal them out as before.
     """
+    df = reliable(df)
     sizes = df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_files"))
     placed = df.withColumn("_row", F.monotonically_increasing_id())  # by position: copies spread as well
     sizes = sizes.withColumnRenamed(key, "_key")
@@ -98,8 +100,10 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int,
                    rows_per_file: int = 10_000_000) -> None:
     """Table co-located on ``key`` and sorted inside its files, so joins on the key need no shuffle.
 
-    A bucket with more rows than fit one file is written by as many tasks as it needs files.
+    A bucket with more rows than fit one file is written by as many tasks as it needs files. The rows are written once
+    before they are numbered, as in ``compact``.
     """
+    df = reliable(df)
     bucket = F.pmod(F.hash(key), F.lit(buckets))  # the rule bucketed tables use
     tagged = df.withColumn("_bucket", bucket).withColumn("_row", F.monotonically_increasing_id())
     sizes = tagged.groupBy("_bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_files"))
