@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.models.features import folds
+from quillframe.session import reliable
 
 
 def score(model, df: DataFrame, ids: list[str], label: str = "label") -> DataFrame:
@@ -27,12 +28,12 @@ def score(model, df: DataFrame, ids: list[str], label: str = "label") -> DataFra
 
 
 def out_of_fold(estimator, df: DataFrame, ids: list[str], k: int = 5, seed: int = 0, label: str = "label") -> DataFrame:
-    """Every row predicted once, by the model that did not see it."""
+    """Every row predicted once, by the model that did not see it; the rows are scored while the folds are still cached."""
     parts = folds(df, k, seed, *ids).persist()
     try:
         frames = [score(estimator.fit(parts.filter(F.col("fold") != i)), parts.filter(F.col("fold") == i), [*ids, "fold"], label)
                   for i in range(k)]
-        return reduce(DataFrame.unionAll, frames)
+        return reliable(reduce(DataFrame.unionAll, frames))
     finally:
         parts.unpersist()
 
@@ -134,7 +135,7 @@ def log_density(df: DataFrame, model, col: str, out: str = "log_density") -> Dat
     return df.withColumn(out, top + F.ln(sum((F.exp(x - top) for x in terms), F.lit(0.0))))
 
 
-def importances(model, names: list[str], top: int = 10) -> list[tuple[str, float]]:
+def importances(model, names: list[str], top: int | None = None) -> list[tuple[str, float]]:
     """Feature names with their own importance, best first, over all features."""
     pairs = [(n, float(v)) for n, v in zip(names, model.featureImportances.toArray())]
     return sorted(pairs, key=lambda p: (-p[1], p[0]))[:top]

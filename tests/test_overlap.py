@@ -163,3 +163,16 @@ def test_matrices_of_arrays(spark):
     rows = column(spark, [list(range(7)), [], None], "array<int>").select(arrays.matrix(F.col("v"), 3).alias("m"))
     assert [r[0] for r in rows.collect()] == [[[0, 1, 2], [3, 4, 5], [6]], [], None]
     assert rows.select(arrays.transposed(F.col("m"), 3)).first()[0] == [[0, 3, 6], [1, 4, None], [2, 5, None]]
+
+
+def test_out_of_fold_rows_are_predicted_once(spark):
+    from pyspark.ml.classification import LogisticRegression
+
+    from quillframe.models import features, fit
+
+    df = features.assemble(spark.createDataFrame([(i, float(i % 10), float(i % 10 > 4)) for i in range(300)], "id int, x double, label double"), ["x"])
+    rows = fit.out_of_fold(LogisticRegression(), df, ["id"], 3, seed=1).collect()
+    assert sorted(r["id"] for r in rows) == list(range(300)) and {r["fold"] for r in rows} == {0, 1, 2}
+    assert sum(r["label"] == r["prediction"] for r in rows) == 300
+    again = fit.out_of_fold(LogisticRegression(), df.repartition(5), ["id"], 3, seed=1).collect()
+    assert sorted((r["id"], r["fold"]) for r in again) == sorted((r["id"], r["fold"]) for r in rows)
