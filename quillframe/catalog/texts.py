@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from quillframe.catalog.aggregates import rnd
 from quillframe.catalog.scalars import SQL_CLEAN
 from quillframe.corpus import tokens as tok
-from quillframe.corpus import weights
+from quillframe.corpus import vectors, weights
 from quillframe.operators import neighbours
 from quillframe.registry import query
 from quillframe.session import balanced
@@ -74,6 +74,23 @@ def _(t):
     return out.select("word", F.size("vector").alias("dim"), F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)).alias("norm"))
 
 
+@query("C05_shifted_pmi", f"""
+WITH t AS MATERIALIZED {TOKENS}, p AS MATERIALIZED (SELECT a.token AS word, b.token AS context, count(*) AS n FROM t a JOIN t b
+ ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos - 5 AND a.pos + 5 AND a.pos <> b.pos GROUP BY ALL),
+ s AS MATERIALIZED (SELECT word, sum(n) AS n FROM p GROUP BY word HAVING sum(n) >= 5),
+ v AS (SELECT p.word, p.context, ln(p.n * (SELECT sum(n) FROM s) / (a.n::DOUBLE * b.n)) - ln(2.0) AS value
+ FROM p JOIN s a ON p.word = a.word JOIN s b ON p.context = b.word)
+SELECT word, context, round(value, 6) AS value FROM v WHERE value > 0""")
+def _(t):
+    return vectors.shifted_pmi(docs(t), "doc_id", "text", 5, 5, 2.0).withColumn("value", F.round("value", 6))
+
+
+@query("C05_pmi_vectors")
+def _(t):
+    out = vectors.pmi_vectors(docs(t), "doc_id", "text", size=16, window=5, min_count=5, shift=2.0, seed=1)
+    return out.select("word", F.size("vector").alias("dim"), F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)).alias("norm"))
+
+
 @query("C06_nearest_cosine", """
 SELECT id, nid AS neighbour, round(s, 6) AS similarity, CAST(r AS INTEGER) AS rank FROM (
  SELECT a.vec_id AS id, b.vec_id AS nid, s, row_number() OVER (PARTITION BY a.vec_id ORDER BY s DESC, b.vec_id) AS r
