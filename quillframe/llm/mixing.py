@@ -58,35 +58,72 @@ def shares_sql(sizes: str, cycle: str, cap: int) -> str:
 
 
 def slot_counts(sources: str, block: int, cap: int) -> str:
-    """SQL: blocks and slots per source. A slot takes source_size / blocks words on average."""
-    return f"""SELECT *, CAST(least(cap_slots, round(target * blocks / source_size)) AS BIGINT) AS slots FROM (
-        SELECT *, (source_size + {block} - 1) DIV {block} AS blocks, {cap} * ((source_size + {block} - 1) DIV {block}) AS cap_slots FROM {sources} WHERE source_size > 0)"""
+    """SQL: per source its blocks, their ``least_words`` (the first ``longer`` blocks have one word more), and the slots that fill its target.
+
+    All slots but the last take a whole block; the last takes the first ``rest`` words of its block, if any.
+    """
+    return f"""SELECT *, whole + CASE WHEN rest > 0 THEN 1 ELSE 0 END AS slots FROM (
+        SELECT *, CASE WHEN whole < {cap} * blocks THEN CAST(greatest(least(round(target - whole * (source_size / CAST(blocks AS DOUBLE))), least_words), 0) AS BIGINT) ELSE 0 END AS rest FROM (
+        SELECT *, source_size DIV blocks AS least_words, source_size % blocks AS longer, CAST(least({cap} * blocks, floor(target * blocks / source_size)) AS BIGINT) AS whole FROM (
+        SELECT *, (source_size + {block} - 1) DIV {block} AS blocks FROM {sources} WHERE source_size > 0)))"""
+
+
+def drawn_shard(all_slots: str, shard_slots: int) -> str:
+    """SQL: the output shard that one trial of a source falls to."""
+    return f"{mixed('slot', 'ordinal * 101 + 5')} % (({all_slots} + {shard_slots} - 1) DIV {shard_slots})"
+
+
+def starts(block: str) -> str:
+    """SQL: the first word of a block in its source."""
+    return f"({block} * least_words + least({block}, longer))"
+
+
+def block_of(word: str) -> str:
+    """SQL: the block that holds a word of a source."""
+    return f"CASE WHEN {word} < longer * (least_words + 1) THEN ({word}) DIV (least_words + 1) ELSE longer + ({word} - longer * (least_words + 1)) DIV least_words END"
+
+
+def drawn_counts(counted: DataFrame, shard_slots: int) -> DataFrame:
+    """ordinal, shard, drawn, first: the slots each output shard draws of each source, and the first of them.
+
+    Every slot of a source is one trial over the shards, by hash, so the counts are multinomial with totals that fill
+    the targets; a shard's own counts of sources are multinomial with the sources' shares, given those totals. The
+    running sums are taken in groups of 4096 shards and over the groups.
+    """
+    spark = counted.sparkSession
+    trials = (counted.select("ordinal", "slots", "all_slots")
+              .withColumn("far", F.explode(F.expr("sequence(0L, (slots - 1) div 16777216)")))
+              .withColumn("near", F.explode(F.expr("sequence(far * 4096, least(far * 4096 + 4095, (slots - 1) div 4096))")))
+              .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "ordinal", "near")
+              .withColumn("slot", F.explode(F.expr("sequence(near * 4096, least(near * 4096 + 4095, slots - 1))"))))
+    counts = (trials.withColumn("shard", F.expr(drawn_shard("all_slots", shard_slots))).groupBy("ordinal", "shard").agg(F.count(F.lit(1)).alias("drawn"))
+              .withColumn("far", F.expr("shard div 4096")))
+    groups = (counts.groupBy("ordinal", "far").agg(F.sum("drawn").alias("n"))
+              .withColumn("before", F.expr("coalesce(sum(n) over (partition by ordinal order by far rows between unbounded preceding and 1 preceding), 0)")).drop("n"))
+    inside = counts.withColumn("inside", F.expr("sum(drawn) over (partition by ordinal, far order by shard rows between unbounded preceding and current row) - drawn"))
+    return inside.join(groups, ["ordinal", "far"]).select("ordinal", "shard", "drawn", F.expr("before + inside").alias("first"))
 
 
 def deal(sources: DataFrame, block: int, cap: int, shard_slots: int) -> DataFrame:
-    """One row per slot of the mix: ordinal, slot, block, shard.
+    """One row per slot of the mix: ordinal, shard, slot, block, rest (words taken from the block's start; null: all).
 
-    Each slot goes to an output shard by an independent draw, so a shard's counts of sources are multinomial with
-    the sources' shares. Slot i of a source takes block perm(i mod blocks) of its epoch i div blocks; epochs have
-    permutations of their own, so no block is taken ``cap`` + 1 times. Slots are made from small rows whose bytes say
-    nothing of the work, so their number of partitions is set.
+    A shard takes the run of slots that its drawn counts give it (see ``drawn_counts``). Slot i of a source takes block
+    perm(i mod blocks) of its epoch i div blocks; epochs have permutations of their own, so no block is taken
+    ``cap`` + 1 times. Slots are made from small rows whose bytes say nothing of the work, so their number of partitions is set.
     """
     spark = sources.sparkSession
     sources.createOrReplaceTempView("quillframe_mix_sources")
-    counted = spark.sql(slot_counts("quillframe_mix_sources", block, cap)).withColumn("all_slots", F.expr("sum(slots) over ()"))
+    counted = spark.sql(slot_counts("quillframe_mix_sources", block, cap)).withColumn("all_slots", F.expr("sum(slots) over ()")).where("slots > 0")
     key = f"({mixed('ordinal * 1000 + e', 'r')} * {PRIME} + {mixed('ordinal * 1000 + e + 7', 'r')}) % blocks"
     add = f"(((ordinal * 1000 + e) * 31 + r) % {PRIME}) * 69621 + 1013904223"
-    wide = (counted.where("slots > 0")  # what a round needs is the same for all slots of an epoch
+    counts = drawn_counts(counted, shard_slots).join(counted.select("ordinal", "blocks", "whole", F.col("rest").alias("last_words")), "ordinal")
+    wide = (counts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "ordinal", "shard")  # what a round needs is the same for all slots of an epoch
             .withColumn("rounds", F.expr(f"transform(sequence(0L, {cap - 1}L), e -> transform(sequence(1L, {ROUNDS}L), r -> struct({key} AS key, {add} AS add)))"))
-            .withColumn("far", F.explode(F.expr("sequence(0L, (slots - 1) div 16777216)")))
-            .withColumn("near", F.explode(F.expr("sequence(far * 4096, least(far * 4096 + 4095, (slots - 1) div 4096))")))
-            .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "ordinal", "near")
-            .withColumn("slot", F.explode(F.expr("sequence(near * 4096, least(near * 4096 + 4095, slots - 1))"))))
+            .withColumn("slot", F.explode(F.expr("sequence(first, first + drawn - 1)"))))
     linear = f"transform(array((greatest(x, p) % {PRIME} * 48271 + r.add) % {PRIME}), l -> CASE WHEN ((l * l) % {PRIME} * 16807 + l) % {PRIME} % 2 = 1 THEN p ELSE x END)[0]"
     step = f"transform(array((r.key + blocks - x) % blocks), p -> {linear})[0]"
     return (wide.withColumn("block", F.expr(f"aggregate(rounds[cast(slot div blocks as int)], slot % blocks, (x, r) -> {step})"))
-            .withColumn("shard", F.expr(f"{mixed('slot', 'ordinal * 101 + 5')} % ((all_slots + {shard_slots} - 1) div {shard_slots})"))
-            .select("ordinal", "slot", "block", "shard"))
+            .select("ordinal", "shard", "slot", "block", F.expr("CASE WHEN slot = whole THEN last_words END").alias("rest")))
 
 
 def placed(docs: DataFrame, chunks: int) -> DataFrame:
@@ -102,6 +139,12 @@ def placed(docs: DataFrame, chunks: int) -> DataFrame:
     return inside.join(offsets.select("ordinal", "chunk", "before"), ["ordinal", "chunk"]).withColumn("start", F.expr("before + inside")).drop("chunk", "before", "inside")
 
 
+def taken_part() -> str:
+    """SQL: words that the slots of a block take from the part of a document in it."""
+    whole = f"(least(start + size, {starts('(block + 1)')}) - greatest(start, {starts('block')})) * coalesce(times, 0)"
+    return f"{whole} + greatest(least(start + size, {starts('block')} + coalesce(rest, 0)) - greatest(start, {starts('block')}), 0)"
+
+
 def mix(documents: DataFrame, **options) -> DataFrame:
     """doc_id, source, size, source_size, target, taken for ``documents`` with columns doc_id, source, text."""
     return taken_words(documents, **options).drop("text_hash")
@@ -113,13 +156,16 @@ def taken_words(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap:
                                    F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("bigint").alias("size")))
     sources = saved(shares(sized, weights, cap))
     known = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).drop(sources["source"])
-    takes = deal(sources, block, cap, shard_slots).groupBy("ordinal", "block").agg(F.count(F.lit(1)).alias("times"))
-    full = placed(known.where("size > 0"), chunks)
-    cuts = (full.withColumn("block", F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")))
-            .withColumn("part", F.expr(f"least(start + size, (block + 1) * {block}) - greatest(start, block * {block})")))
-    taken = (cuts.join(takes, ["ordinal", "block"], "left")
+    takes = (deal(sources, block, cap, shard_slots).groupBy("ordinal", "block")
+             .agg(F.expr("count_if(rest IS NULL)").alias("times"), F.expr("coalesce(sum(rest), 0)").alias("rest")))
+    sources.createOrReplaceTempView("quillframe_mix_sources")
+    packed = documents.sparkSession.sql(slot_counts("quillframe_mix_sources", block, cap)).select("ordinal", "least_words", "longer")
+    full = placed(known.where("size > 0"), chunks).join(packed, "ordinal")
+    cuts = (full.withColumn("block", F.explode(F.expr(f"sequence({block_of('start')}, {block_of('(start + size - 1)')})")))
+            .join(takes, ["ordinal", "block"], "left"))
+    taken = (cuts.withColumn("words", F.expr(taken_part()))
              .groupBy("ordinal", "start", "doc_id", "source", "text_hash", "size", "source_size", "target")
-             .agg(F.sum(F.expr("part * coalesce(times, 0)")).alias("taken")))
+             .agg(F.sum("words").alias("taken")))
     columns = ["doc_id", "source", "text_hash", "size", "source_size", "target", "taken"]
     return taken.select(columns).unionByName(known.where("size = 0").withColumn("taken", F.lit(0).cast("bigint")).select(columns))
 
@@ -149,22 +195,27 @@ def copies(documents: DataFrame, **options) -> DataFrame:
     return times.withColumn("_near", F.explode(F.expr("sequence(1L, least(4096L, _times - _far * 4096))"))).select(plain.columns).toDF(*names)
 
 
-def oracle(weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, block: int = 64, chunks: int = 256) -> str:
+def oracle(weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, block: int = 64, shard_slots: int = 4096, chunks: int = 256) -> str:
     """The same mix in DuckDB SQL."""
     cycle = "CASE CAST(ordinal % {} AS INT) {} END".format(len(weights), " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(weights)))
-    slots = slot_counts("targets", block, cap).replace(" DIV ", " // ")
     step = swap_step("x", "r", "blocks", "(ordinal * 1000 + slot // blocks)")
     chunk = f"{mixed('abs(coalesce(doc_id, 0) % ' + str(PRIME) + ')', '3')} % {chunks}"
     return f"""
     WITH sized AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
     targets AS ({shares_sql('sized', cycle, cap)}),
-    slots AS ({slots}),
-    dealt AS (SELECT ordinal, blocks, unnest(range(slots)) AS slot FROM slots),
-    taken AS (SELECT ordinal, list_reduce(range(1, {ROUNDS + 1}), lambda x, r: {step}, slot % blocks) AS block, count(*) AS times FROM dealt GROUP BY 1, 2),
+    slots AS ({slot_counts("targets", block, cap)}),
+    trials AS (SELECT ordinal, unnest(range(slots)) AS slot, (SELECT CAST(sum(slots) AS BIGINT) FROM slots) AS all_slots FROM slots),
+    drawn AS (SELECT ordinal, {drawn_shard("all_slots", shard_slots)} AS shard, count(*) AS drawn FROM trials GROUP BY 1, 2),
+    runs AS (SELECT *, CAST(sum(drawn) OVER (PARTITION BY ordinal ORDER BY shard ROWS UNBOUNDED PRECEDING) AS BIGINT) - drawn AS first FROM drawn),
+    dealt AS (SELECT ordinal, shard, unnest(range(first, first + drawn)) AS slot FROM runs),
+    placed_slots AS (SELECT ordinal, CASE WHEN slot = whole THEN s.rest END AS rest,
+        list_reduce(range(1, {ROUNDS + 1}), lambda x, r: {step}, slot % blocks) AS block FROM dealt JOIN slots s USING (ordinal)),
+    takes AS (SELECT ordinal, block, count(*) FILTER (WHERE rest IS NULL) AS times, CAST(coalesce(sum(rest), 0) AS BIGINT) AS rest FROM placed_slots GROUP BY 1, 2),
     known AS (SELECT d.*, t.ordinal, t.source_size, t.target, {chunk} AS chunk FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
-    placed AS (SELECT *, CAST(sum(size) OVER (PARTITION BY ordinal ORDER BY chunk, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start FROM known WHERE size > 0),
-    cuts AS (SELECT *, unnest(range(start // {block}, (start + size - 1) // {block} + 1)) AS block FROM placed)
-    SELECT doc_id, source, size, source_size, target, CAST(sum((least(start + size, (block + 1) * {block}) - greatest(start, block * {block})) * coalesce(times, 0)) AS BIGINT) AS taken
-    FROM cuts LEFT JOIN taken USING (ordinal, block) GROUP BY ordinal, start, doc_id, source, size, source_size, target
+    starts AS (SELECT *, CAST(sum(size) OVER (PARTITION BY ordinal ORDER BY chunk, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start FROM known WHERE size > 0),
+    placed AS (SELECT k.*, least_words, longer FROM starts k JOIN slots s ON k.ordinal = s.ordinal),
+    cuts AS (SELECT *, unnest(range({block_of('start')}, {block_of('(start + size - 1)')} + 1)) AS block FROM placed)
+    SELECT doc_id, source, size, source_size, target, CAST(sum({taken_part()}) AS BIGINT) AS taken
+    FROM cuts LEFT JOIN takes USING (ordinal, block) GROUP BY ordinal, start, doc_id, source, size, source_size, target
     UNION ALL SELECT doc_id, source, size, source_size, target, CAST(0 AS BIGINT) FROM known WHERE size = 0
-    """
+    """.replace(" DIV ", " // ")
