@@ -105,6 +105,22 @@ def estimate(a: bytes, b: bytes, n_a: int, n_b: int) -> float:
     return float(j[likely.argmax()])
 
 
+def likely(more, less, n, m, at: float):
+    """Whether the joint estimate of pairs reaches ``at``, from the counts of registers that are larger and smaller (arrays).
+
+    The likelihood has one peak, so its slope at ``at`` tells on which side the peak lies; ``at`` is below min(n, m) / max(n, m).
+    """
+    u, v = n / (n + m), m / (n + m)
+    part = (BASE - 1) / BASE
+
+    def p(z):
+        return -np.log1p(-z * part) / np.log(BASE), part / (1 - z * part) / np.log(BASE)
+
+    (up, up_slope), (down, down_slope) = p(u - v * at), p(v - u * at)
+    up_slope, down_slope = -v * up_slope, -u * down_slope
+    return more * up_slope / up + less * down_slope / down - (REGISTERS - more - less) * (up_slope + down_slope) / (1 - up - down) >= 0
+
+
 PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("same", pa.bool_())])
 
 
@@ -154,8 +170,9 @@ def between_components(placed: DataFrame, sets: DataFrame, percent: int) -> Data
                 fit = 100 * np.minimum(n[:, None], m[None, :]) >= percent * np.maximum(n[:, None], m[None, :])
                 done = set()
                 for i in np.flatnonzero((apart & fit).any(axis=1)).tolist():
-                    equal = (y == x[i]).mean(axis=1)
-                    for j in np.flatnonzero(apart[i] & fit[i] & (equal >= percent / 100 - SLACK)).tolist():
+                    near = np.flatnonzero(apart[i] & fit[i])
+                    met = likely((x[i] > y[near]).sum(axis=1), (x[i] < y[near]).sum(axis=1), n[i], m[near], percent / 100 - SLACK)
+                    for j in near[met].tolist():
                         key = tuple(sorted((left[i]["component"], right[j]["component"])))
                         if key not in done:
                             both = len(np.intersect1d(g[i], h[j], assume_unique=True))
