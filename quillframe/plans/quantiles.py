@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -93,10 +93,9 @@ def quantiles(
     if isinstance(df.schema[value].dataType, NumericType):
         counts = collapsed_counts(data, names, brackets(data, names, list(shares.values()), kind), len(shares))
         ranked = scan(counts, names, ["_x"], {"cum": ("sum", "n"), "total": ("total", "n")})
-        seen = Observation()
-        picked = _picked(ranked, names, shares, kind).observe(seen, F.count_if(F.col("missed")).alias("missed"))
-        found = reliable(picked)  # one row per key
-        if not seen.get["missed"]:
+        found = reliable(_picked(ranked, names, shares, kind))  # one row per key
+        # Not an Observation: a session that made one can't be serialised, nor can the models that hold it.
+        if found.where("missed").isEmpty():
             return found.select(*[F.col(n).alias(k) for k, n in zip(keys, names)], *shares)
     every = cumulative_counts(data, names, "_x").withColumn("exact", F.lit(True))
     return _picked(every, names, shares, kind).select(*[F.col(n).alias(k) for k, n in zip(keys, names)], *shares)
