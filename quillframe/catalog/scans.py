@@ -234,7 +234,10 @@ def _(t):
     line = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
     uneven = F.floor(F.pow(F.pmod(F.xxhash64("event_id"), F.lit(997)) / 997.0, F.lit(3.0)) * 24).cast("int")
     t.events.select(line.alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("day"), uneven.alias("task")).write.partitionBy("day", "task").text(small)
-    target = 16_384
+    # Of its size with the input: files that are larger than the target can't become fewer.
+    sizes = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(small).select("length", files.partition_value(F.col("path"), "day").alias("day"))
+    day_bytes = sizes.agg(F.coalesce(F.floor(F.sum("length") / F.count_distinct("day")), F.lit(0))).first()[0]
+    target = max(16_384, day_bytes // 6)
     before = sinks.compact_lines(t.spark, small, merged, "day=([0-9-]+)", target).groupBy(F.col("group").alias("day")).agg(F.count("*").alias("_before"))
     found = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(merged).select("path", "length")
     after = found.groupBy(files.partition_value(F.col("path"), "group").alias("day")).agg(F.max("length").alias("_most"), F.count("*").alias("_after"))
@@ -248,8 +251,9 @@ SELECT p_brand, count(*) AS n, round(sum(l_quantity), 2) AS qty FROM lineitem JO
 def _(t):
     paths = {n: t.scratch(n) for n in ("fact", "dim")}
     tables = {n: "t_" + p.rsplit("-", 1)[1] for n, p in paths.items()}
-    sinks.write_bucketed(t.lineitem, tables["fact"], paths["fact"], "l_partkey", 8, ["l_partkey", "l_shipdate"])
-    sinks.write_bucketed(t.part, tables["dim"], paths["dim"], "p_partkey", 8)
+    buckets = sinks.buckets_for(t.lineitem, 8)
+    sinks.write_bucketed(t.lineitem, tables["fact"], paths["fact"], "l_partkey", buckets, ["l_partkey", "l_shipdate"])
+    sinks.write_bucketed(t.part, tables["dim"], paths["dim"], "p_partkey", buckets)
     fact, dim = t.spark.table(tables["fact"]), t.spark.table(tables["dim"])
     return (fact.join(dim, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand")
             .agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("qty")))

@@ -96,6 +96,11 @@ def compact_lines(spark: SparkSession, source: str, out: str, group: str, target
     return plan
 
 
+def buckets_for(df: DataFrame, least: int, rows: int = 1_000_000) -> int:
+    """Buckets of about ``rows`` rows, ``least`` of them at least: what a task sorts does not grow with the table."""
+    return max(least, -(-df.count() // rows))
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int, sort: list[str] | None = None,
                    rows_per_file: int = 10_000_000) -> None:
     """Table co-located on ``key`` and sorted inside its files, so joins on the key need no shuffle.
