@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.functions.text import clean_sentence, words
 from quillframe.plans.ordered import scan
+from quillframe.session import partitions_of
 
 UNKNOWN = "UNK"
 PAD = "<PAD/>"
+BROADCAST_WORDS = 50_000
+TOKENS_AT_ONCE = 1 << 20  # words whose pairs a task counts together
 # Punctuation a word filter removes, besides tab and newline.
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -34,8 +43,9 @@ def vocabulary(tokens: DataFrame, size: int | None = None) -> DataFrame:
     if size is None:
         return ranked
     rest = ranked.filter(F.col("id") > size).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    return ranked.filter(F.col("id") <= size).unionByName(
+    named = ranked.filter(F.col("id") <= size).unionByName(
         rest.select(F.lit(UNKNOWN).alias("token"), F.lit(0).cast("bigint").alias("id"), "n"))
+    return named.hint("broadcast") if size <= BROADCAST_WORDS else named  # at most size + 1 rows
 
 
 def encode(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -73,6 +83,70 @@ def skip_grams(df: DataFrame, doc: str, text: str, window: int) -> DataFrame:
                         F.explode(F.concat("p.before", "p.after")).alias("context"))
 
 
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """The sorted words of some token arrays, the numbers of their tokens, and the array of each token; TOKENS_AT_ONCE or one array at a time."""
+    for batch in batches:
+        lists = batch.column(0).drop_null()
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(lists):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + TOKENS_AT_ONCE, "right")))
+            part = lists.slice(start, stop - start)
+            coded = part.flatten().dictionary_encode()
+            order = pc.array_sort_indices(coded.dictionary).to_numpy()
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            sizes = pc.list_value_length(part).to_numpy(zero_copy_only=False)
+            yield coded.dictionary.take(pa.array(order)), place[coded.indices.to_numpy()], np.repeat(np.arange(len(sizes)), sizes)
+            start = stop
+
+
+def pair_counts(df: DataFrame, text: str, window: int) -> DataFrame:
+    """(first, second, n): how often two words, ``first`` <= ``second``, stand at most ``window`` places apart in a text.
+
+    Each pair of places counts once. Tasks count the pairs of some texts before they give them out, so frequent pairs cost one
+    row for many.
+    """
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words_, ids, doc in _coded(batches):
+            met = [np.minimum(ids[:-d], ids[d:])[same] * len(words_) + np.maximum(ids[:-d], ids[d:])[same]
+                   for d in range(1, min(window, len(ids) - 1) + 1) for same in [doc[:-d] == doc[d:]]]
+            pair, n = np.unique(np.concatenate(met), return_counts=True) if met else (np.empty(0, np.int64),) * 2
+            for i in range(0, len(pair), 1 << 16):
+                first, second = (words_.take(pa.array(x)) for x in np.divmod(pair[i : i + (1 << 16)], len(words_)))
+                yield pa.RecordBatch.from_arrays([first, second, pa.array(n[i : i + (1 << 16)], pa.int64())], names=["first", "second", "n"])
+
+    rows = df.select(token_array(F.col(text)).alias("_t")).mapInArrow(counted, "first string, second string, n bigint")
+    return rows.groupBy("first", "second").agg(F.sum("n").alias("n"))
+
+
+def both_ways(pairs: DataFrame, value: str, center: str = "center", context: str = "context") -> DataFrame:
+    """(center, context, value) of (first, second, value): a pair of two words stands for both of its directions."""
+    there, back = F.struct(F.col("first").alias("a"), F.col("second").alias("b")), F.struct(F.col("second").alias("a"), F.col("first").alias("b"))
+    ways = F.when(F.col("first") == F.col("second"), F.array(there)).otherwise(F.array(there, back))
+    return pairs.select(F.explode(ways).alias("p"), value).select(F.col("p.a").alias(center), F.col("p.b").alias(context), value)
+
+
+def directed(pairs: DataFrame) -> DataFrame:
+    """``pair_counts`` with a word beside itself counted in both directions, as every other pair is."""
+    return pairs.withColumn("n", F.when(F.col("first") == F.col("second"), 2 * F.col("n")).otherwise(F.col("n")))
+
+
+def places(df: DataFrame, text: str, window: int) -> DataFrame:
+    """(word, n_word): how many places stand at most ``window`` from those of a word, the sum of its pairs without counting them."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words_, ids, doc in _coded(batches):
+            size = np.bincount(doc)
+            at = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+            near = np.minimum(at, window) + np.minimum(size[doc] - 1 - at, window)
+            total = np.bincount(ids, near, len(words_)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([words_, pa.array(total)], names=["word", "n_word"])
+
+    rows = df.select(token_array(F.col(text)).alias("_t")).mapInArrow(counted, "word string, n_word bigint")
+    return rows.groupBy("word").agg(F.sum("n_word").alias("n_word")).where("n_word > 0")
+
+
 def sampled_skip_grams(df: DataFrame, doc: str, text: str, window: int, num_skips: int, seed: int) -> DataFrame:
     """(doc, pos, center, context_pos, context): ``num_skips`` contexts of every word, drawn without repetition from its window.
 
@@ -99,6 +173,14 @@ def pad_to_longest(df: DataFrame, tokens: str, pad: str = PAD) -> DataFrame:
     return df.withColumn(tokens, F.concat(tokens, F.array_repeat(F.lit(pad), missing)))
 
 
+def padded_text(df: DataFrame, tokens: str, out: str, pad: str = PAD) -> DataFrame:
+    """The arrays of ``pad_to_longest`` joined by blanks, without an array of that length for every row."""
+    longest = df.agg(F.max(F.size(tokens))).scalar()
+    missing = F.greatest(longest - F.size(tokens), F.lit(0))
+    tail = F.when(F.size(tokens) > 0, F.repeat(F.lit(f" {pad}"), missing)).otherwise(F.substring(F.repeat(F.lit(f" {pad}"), missing), 2, 2**31 - 1))
+    return df.withColumn(out, F.concat(F.array_join(tokens, " "), tail))
+
+
 def pad_front(ids: Column, length: int) -> Column:
     """Exactly ``length`` numbers: the tail of a longer array, zeros in front of a shorter one."""
     n = F.size(ids)
@@ -119,6 +201,76 @@ def char_windows(df: DataFrame, doc: str, text: str, length: int = 20, step: int
     return split.select(doc, F.explode(windows).alias("w")).select(doc, "w.start", "w.window", "w.next")
 
 
+def _pieces(text: str, length: int, most: int) -> Iterator[tuple[int, str]]:
+    """(bucket key, piece): the runs of neighbouring windows of ``length`` characters whose smallest 12-gram by hash is the same.
+
+    Equal windows have the same smallest 12-gram, so they get the same key whatever stands around them. A run is cut after
+    ``most`` windows.
+    """
+    grams = min(12, length)
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    h = np.zeros(len(code) - grams + 1, np.uint64)
+    for i in range(grams):
+        h = h * np.uint64(0x100000001B3) + code[i : len(code) - grams + 1 + i]
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    least = np.minimum.reduce([h[i : len(h) - (length - grams) + i] for i in range(length - grams + 1)])  # one per window
+    starts = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+    ends = np.append(starts[1:], len(least))
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        key = int(least[a]) >> 33
+        for i in range(a, b, most):
+            yield key, text[i : min(i + most, b) + length - 1]
+
+
+def window_counts(df: DataFrame, text: str, length: int = 20, chars: int = 1 << 21) -> DataFrame:
+    """(next, n, distinct_windows): per character, how often and after how many different windows of ``length`` characters it comes.
+
+    The rows of ``char_windows`` at step 1 are counted exactly without being shuffled: texts are cut into runs of windows that
+    share their smallest 12-gram, a task puts equal runs together, and the runs meet by that 12-gram in as many buckets as keep
+    about ``chars`` windows each.
+    """
+    whole = length + 1  # a window and the character that follows it
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: Counter = Counter()
+            for x in batch.column(0).to_pylist():
+                if x is not None and len(x) >= whole:
+                    found.update(_pieces(x, whole, 64))
+                if len(found) >= 1 << 17:
+                    yield counts(found)
+                    found = Counter()
+            if found:
+                yield counts(found)
+
+    def counts(found: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int32()), pa.array([p for _, p in found], pa.string()),
+                                           pa.array(found.values(), pa.int64())], names=["key", "piece", "n"])
+
+    buckets = max(partitions_of(df.sparkSession), -(-df.agg(F.coalesce(F.sum(F.length(text)), F.lit(0))).first()[0] // chars))
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, int] = {}
+        for batch in batches:
+            for piece, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for i in range(len(piece) - length):
+                    w = piece[i : i + whole]
+                    seen[w] = seen.get(w, 0) + n
+        total, distinct = Counter(), Counter()
+        for w, n in seen.items():
+            total[w[-1]] += n
+            distinct[w[-1]] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.string()), pa.array(total.values(), pa.int64()), pa.array(distinct.values(), pa.int64())],
+                                         names=["next", "n", "distinct_windows"])
+
+    # A task is one bucket.
+    runs = df.select(text).mapInArrow(cut, "key int, piece string, n bigint")
+    met = runs.repartition(buckets, "key").select("piece", "n").mapInArrow(tally, "next string, n bigint, distinct_windows bigint")
+    return met.groupBy("next").agg(F.sum("n").alias("n"), F.sum("distinct_windows").alias("distinct_windows"))
+
+
 def hashed_index(text: Column, n: int) -> Column:
     """Index 1..n-1 of every word by a stable hash, punctuation removed, lower case."""
     blank = F.translate(F.lower(text), PUNCTUATION + "\t\n", " " * (len(PUNCTUATION) + 2))

@@ -13,12 +13,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.corpus.tokens import skip_grams
+from quillframe.corpus.tokens import both_ways, directed, pair_counts, places
 from quillframe.plans.seeded import uniform
-from quillframe.session import reliable
+from quillframe.session import partitions_of, reliable, scratch_path
 
 SPARE = 8
 
@@ -29,14 +30,22 @@ def shifted_pmi(df: DataFrame, doc: str, text: str, window: int = 10, min_count:
     ``n`` counts how often two words stand at most ``window`` places apart; words of fewer than ``min_count`` such
     places are left out with all their pairs.
     """
-    pairs = skip_grams(df, doc, text, window).groupBy(F.col("center").alias("word"), "context").agg(F.count(F.lit(1)).alias("n"))
-    pairs = reliable(pairs)  # read three times below; the texts are read once
-    # Every pair is counted in both directions, so a word's sum as a centre is its sum as a context.
-    sums = pairs.groupBy("word").agg(F.sum("n").alias("n_word")).filter(F.col("n_word") >= min_count)
-    kept = pairs.join(sums, "word").join(sums.select(F.col("word").alias("context"), F.col("n_word").alias("n_context")), "context")
+    # Every pair is counted in both directions, so a word's sum as a centre is its sum as a context, and pair and value are the
+    # same both ways: all is done on one direction.
+    sums = kept(places(df, text, window).filter(F.col("n_word") >= min_count), "words")
+    pairs = directed(pair_counts(df, text, window))
+    known = pairs.join(sums.select(F.col("word").alias("first"), "n_word"), "first").join(
+        sums.select(F.col("word").alias("second"), F.col("n_word").alias("n_context")), "second")
     total = sums.agg(F.sum("n_word")).scalar()
     value = F.ln(F.col("n") * total / (F.col("n_word").cast("double") * F.col("n_context"))) - F.ln(F.lit(float(shift)))
-    return kept.select("word", "context", value.alias("value")).filter("value > 0")
+    return both_ways(known.select("first", "second", value.alias("value")).filter("value > 0"), "value", "word", "context")
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """A table in the shared folder: its size is known, so a small one is broadcast and a large one joined."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def products(matrix: DataFrame, block: DataFrame, width: int) -> DataFrame:
@@ -85,16 +94,19 @@ def pmi_vectors(df: DataFrame, doc: str, text: str, size: int = 300, window: int
     ``seed`` starts from the same block; sums of doubles may differ in their last digits from run to run.
     """
     width = size + SPARE
-    matrix = reliable(shifted_pmi(df, doc, text, window, min_count, shift))
-    words = matrix.select("word").distinct()
+    written = reliable(shifted_pmi(df, doc, text, window, min_count, shift))
+    words = written.select("word").distinct()
     if words.isEmpty():
         return words.withColumn("vector", F.array().cast("array<double>"))
     start = F.transform(F.sequence(F.lit(1), F.lit(width)), lambda i: uniform(seed, F.col("word"), i) - 0.5)
     block = words.withColumn("vector", start)
+    # Dealt out by context once, not in every product; what a lost executor held is dealt out again from the checkpoint.
+    matrix = written.repartition(partitions_of(df.sparkSession), "context").sortWithinPartitions("context").persist(StorageLevel.DISK_ONLY)
     for _ in range(rounds):
         # Two orthonormalisations a round keep the small Gram matrix exact when the products lie far apart in size.
         block = orthonormal(orthonormal(products(matrix, block, width), width), width)
     image = reliable(block.join(products(matrix, block, width).withColumnRenamed("vector", "image"), "word"))
+    matrix.unpersist()
     small = gram(image, "vector", "image", width)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     first = np.argsort(-np.abs(values))[:size]
