@@ -138,16 +138,12 @@ TAB_STOP = 8
 
 def expand_tabs(c: Column) -> Column:
     """Tabs filled up with blanks to the next multiple of eight characters since the start of the line."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("col"))
-
-    def step(s: Column, piece: Column) -> Column:
-        rest = F.length(F.regexp_extract(piece, r"[^\n\r]*\z", 0))
-        col = F.when(rest == F.length(piece), s["col"] + rest).otherwise(rest)
-        gap = TAB_STOP - col % TAB_STOP
-        return F.struct(F.concat(s["out"], piece, F.repeat(F.lit(" "), gap)).alias("out"), (col + gap).alias("col"))
+    # A tab always ends on a multiple of eight, so what stands before the one before does not matter.
+    def filled(piece: Column) -> Column:
+        return F.concat(piece, F.repeat(F.lit(" "), TAB_STOP - F.length(F.regexp_replace(piece, r"(?s)\A.*[\n\r]", "")) % TAB_STOP))
 
     pieces = F.split(c, "\t")
-    before = F.aggregate(F.slice(pieces, 1, F.size(pieces) - 1), start, step, lambda s: s["out"])
+    before = F.array_join(F.transform(F.slice(pieces, 1, F.size(pieces) - 1), filled), "")
     return F.when(F.contains(c, F.lit("\t")), F.concat(before, F.element_at(pieces, -1))).otherwise(c)
 
 
@@ -158,26 +154,15 @@ def wrap(c: Column, width: int) -> Column:
     between two letters on either side; a word longer than a line is cut at its edge. A null stays null, a text
     without words gives an empty text.
     """
-    chunks = F.split(F.regexp_replace(expand_tabs(c), f"[{BLANKS}]", " "), r"(?<=[^ ])(?= )|(?<= )(?=[^ ])|(?<=[\p{L}_]{2}-)(?=[\p{L}_]{2})")
-
-    def state(lines: Column, line: Column) -> Column:
-        return F.struct(lines.alias("lines"), line.alias("line"))
-
-    def step(s: Column, w: Column) -> Column:
-        lines, line = s["lines"], s["line"]
-        ended = F.concat(lines, F.filter(F.array(F.rtrim(line)), lambda x: x != ""))
-        left = F.lit(width) - F.length(line)
-        rest = F.substr(w, left + 1)
-        cuts = F.transform(F.sequence(F.lit(0), F.floor((F.length(rest) - 1) / width).cast("int")), lambda i: F.substr(rest, i * width + 1, F.lit(width)))
-        long = F.concat(lines, F.array(F.concat(line, F.substr(w, F.lit(1), left))), F.slice(cuts, 1, F.size(cuts) - 1))
-        return (F.when(w.startswith(" ") & (line == "") & (F.size(lines) > 0), s)
-                .when(F.length(w) <= left, state(lines, F.concat(line, w)))
-                .when(w.startswith(" "), state(ended, F.lit("")))
-                .when(F.length(w) <= width, state(ended, w))
-                .otherwise(state(long, F.element_at(cuts, -1))))
-
-    start = state(F.array().cast("array<string>"), F.lit(""))
-    return F.aggregate(chunks, start, step, lambda s: F.array_join(F.concat(s["lines"], F.filter(F.array(F.rtrim(s["line"])), lambda x: x != "")), "\n"))
+    text = F.rtrim(F.regexp_replace(expand_tabs(c), f"[{BLANKS}]", " "))
+    hyphen = r"(?<=[\p{L}_]{2}-)(?=[\p{L}_]{2})"
+    # A line is one match: up to the edge where a word longer than a line begins in it or just behind it, else to the last
+    # place where it may break. Blanks before it go, but for those at the start of the text if the first word fits behind them.
+    long = rf"(?=.{{0,{width}}}?(?:\G|(?<= )|{hyphen})[^ ](?:(?!{hyphen})[^ ]){{{width}}}).{{{width}}}"
+    whole = rf".{{0,{width - 1}}}[^ ](?= |\z|{hyphen})"
+    lines = F.when(F.rlike(text, F.lit(rf"[^ ]{{{width + 1}}}")), F.regexp_replace(text, rf"(?s)(?:\A| *+)({long}|{whole})", "$1\n")).otherwise(
+        F.regexp_replace(text, rf"(?s)(?:\A| *+)({whole})", "$1\n"))
+    return F.left(lines, F.greatest(F.length(lines) - 1, F.lit(0)))
 
 
 def chain(c: Column, *steps) -> Column:
@@ -212,8 +197,19 @@ SENTENCE_REWRITES = (
 )
 
 
+# The same rewrites in fewer passes: none makes or breaks a match of another, and blanks, which the first rewrite turns into
+# themselves, are left alone.
+SENTENCE_PASSES = (
+    (r"[^A-Za-z0-9(),!?'` ]+", " "),
+    (r"'(?:s|ve|re|d|ll)|n't", " $0"),
+    (r"[,!]", " $0 "),
+    (r"[()?]", r" \\$0 "),
+    (r" {2,}", " "),
+)
+
+
 def clean_sentence(c: Column) -> Column:
     """Lower-case text with punctuation and clitics set apart; brackets and '?' keep a backslash mark."""
-    for pattern, new in SENTENCE_REWRITES:
-        c = F.regexp_replace(c, F.lit(pattern), F.lit(new.replace("\\", "\\\\")))
+    for pattern, new in SENTENCE_PASSES:
+        c = F.regexp_replace(c, F.lit(pattern), F.lit(new))
     return F.lower(F.trim(c))

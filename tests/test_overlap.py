@@ -4,6 +4,7 @@ import math
 import random
 import re
 import textwrap
+import time
 from collections import Counter
 from statistics import NormalDist
 
@@ -176,3 +177,12 @@ def test_out_of_fold_rows_are_predicted_once(spark):
     assert sum(r["label"] == r["prediction"] for r in rows) == 300
     again = fit.out_of_fold(LogisticRegression(), df.repartition(5), ["id"], 3, seed=1).collect()
     assert sorted((r["id"], r["fold"]) for r in again) == sorted((r["id"], r["fold"]) for r in rows)
+
+
+def test_wrap_grows_with_the_text(spark):
+    # Twice 40,000 words in one text; a fold that copies its lines for every word needs minutes for it.
+    value = " ".join(["word well-known tabbed\tend" + "x" * (i % 90) for i in range(20_000)])
+    start = time.monotonic()
+    got = column(spark, [value, value + "\n" + value], "string").select(text.wrap(F.col("v"), 60)).collect()
+    took = time.monotonic() - start
+    assert {r[0] for r in got} == {"\n".join(textwrap.wrap(v, 60)) for v in (value, value + "\n" + value)} and took < 20
