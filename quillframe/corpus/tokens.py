@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -11,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.functions.text import clean_sentence, words
+from quillframe.functions.text import clean_sentence
 from quillframe.plans.ordered import scan
 from quillframe.session import partitions_of
 
@@ -24,8 +26,8 @@ PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def token_array(text: Column) -> Column:
-    """Words of the cleaned text."""
-    return words(clean_sentence(text))
+    """Words of the cleaned text, which stand one blank apart."""
+    return F.filter(F.split(clean_sentence(text), " "), lambda w: w != "")
 
 
 def tokenize(df: DataFrame, doc: str, text: str) -> DataFrame:
@@ -83,10 +85,11 @@ def skip_grams(df: DataFrame, doc: str, text: str, window: int) -> DataFrame:
                         F.explode(F.concat("p.before", "p.after")).alias("context"))
 
 
-def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """The sorted words of some token arrays, the numbers of their tokens, and the array of each token; TOKENS_AT_ONCE or one array at a time."""
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, pa.RecordBatch]]:
+    """The sorted words of some token arrays, the numbers of their tokens, the row of each token, the rows; TOKENS_AT_ONCE or one row at a time."""
     for batch in batches:
-        lists = batch.column(0).drop_null()
+        batch = batch.filter(pc.is_valid(batch.column(0)))
+        lists = batch.column(0)
         ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
         start = 0
         while start < len(lists):
@@ -98,10 +101,25 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.nda
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
             sizes = pc.list_value_length(part).to_numpy(zero_copy_only=False)
-            yield coded.dictionary.take(pa.array(order)), place[coded.indices.to_numpy()], np.repeat(np.arange(len(sizes)), sizes)
+            yield (coded.dictionary.take(pa.array(order)), place[coded.indices.to_numpy()], np.repeat(np.arange(len(sizes)), sizes),
+                   batch.slice(start, stop - start))
             start = stop
 
 
+def _places(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each token in its row, and how many tokens the row has."""
+    size = np.bincount(doc)
+    return np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size), size[doc]
+
+
+def _counted(words_: pa.Array, met: list[np.ndarray], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows (word, word, n) of pairs of word numbers, each held as one number."""
+    pair, n = np.unique(np.concatenate(met), return_counts=True) if met else (np.empty(0, np.int64),) * 2
+    for i in range(0, len(pair), 1 << 16):
+        first, second = (words_.take(pa.array(x)) for x in np.divmod(pair[i : i + (1 << 16)], len(words_)))
+        yield pa.RecordBatch.from_arrays([first, second, pa.array(n[i : i + (1 << 16)], pa.int64())], names=names)
+
+
 def pair_counts(df: DataFrame, text: str, window: int) -> DataFrame:
     """(first, second, n): how often two words, ``first`` <= ``second``, stand at most ``window`` places apart in a text.
 
@@ -109,13 +127,10 @@ def pair_counts(df: DataFrame, text: str, window: int) -> DataFrame:
     row for many.
     """
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words_, ids, doc in _coded(batches):
+        for words_, ids, doc, _ in _coded(batches):
             met = [np.minimum(ids[:-d], ids[d:])[same] * len(words_) + np.maximum(ids[:-d], ids[d:])[same]
                    for d in range(1, min(window, len(ids) - 1) + 1) for same in [doc[:-d] == doc[d:]]]
-            pair, n = np.unique(np.concatenate(met), return_counts=True) if met else (np.empty(0, np.int64),) * 2
-            for i in range(0, len(pair), 1 << 16):
-                first, second = (words_.take(pa.array(x)) for x in np.divmod(pair[i : i + (1 << 16)], len(words_)))
-                yield pa.RecordBatch.from_arrays([first, second, pa.array(n[i : i + (1 << 16)], pa.int64())], names=["first", "second", "n"])
+            yield from _counted(words_, met, ["first", "second", "n"])
 
     rows = df.select(token_array(F.col(text)).alias("_t")).mapInArrow(counted, "first string, second string, n bigint")
     return rows.groupBy("first", "second").agg(F.sum("n").alias("n"))
@@ -136,10 +151,9 @@ def directed(pairs: DataFrame) -> DataFrame:
 def places(df: DataFrame, text: str, window: int) -> DataFrame:
     """(word, n_word): how many places stand at most ``window`` from those of a word, the sum of its pairs without counting them."""
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words_, ids, doc in _coded(batches):
-            size = np.bincount(doc)
-            at = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
-            near = np.minimum(at, window) + np.minimum(size[doc] - 1 - at, window)
+        for words_, ids, doc, _ in _coded(batches):
+            at, size = _places(doc)
+            near = np.minimum(at, window) + np.minimum(size - 1 - at, window)
             total = np.bincount(ids, near, len(words_)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([words_, pa.array(total)], names=["word", "n_word"])
 
@@ -147,23 +161,136 @@ def places(df: DataFrame, text: str, window: int) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n_word").alias("n_word")).where("n_word > 0")
 
 
+# Fixed values of MD5: the constants of its 64 steps, their rotations and the order in which they take the words of a block.
+MD5_ADD = [np.uint32(int(abs(math.sin(i + 1)) * 2**32)) for i in range(64)]
+MD5_TURN = [turn for turns in ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)) for turn in turns * 4]
+MD5_WORD = [(a * i + b) % 16 for a, b in ((1, 0), (5, 1), (3, 5), (7, 0)) for i in range(16)]
+MD5_START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+MD5_MIX = (lambda b, c, d, out: np.bitwise_xor(np.bitwise_and(np.bitwise_xor(c, d, out=out), b, out=out), d, out=out),
+           lambda b, c, d, out: np.bitwise_xor(np.bitwise_and(np.bitwise_xor(b, c, out=out), d, out=out), c, out=out),
+           lambda b, c, d, out: np.bitwise_xor(np.bitwise_xor(b, c, out=out), d, out=out),
+           lambda b, c, d, out: np.bitwise_xor(np.bitwise_or(np.bitwise_not(d, out=out), b, out=out), c, out=out))
+MD5_AT_ONCE = 1 << 14  # messages hashed together, so that a step stays in the cache
+
+
+def md5_keys(block: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The MD5 of messages, rows of bytes with zeros behind them, as two numbers that sort like the digest."""
+    n, wide = block.shape
+    high, low = np.empty(n, np.uint64), np.empty(n, np.uint64)
+    if n and length.max() > 55:  # more than one block of MD5
+        for i, m in enumerate(block):
+            digest = hashlib.md5(m[: length[i]].tobytes()).digest()
+            high[i], low[i] = int.from_bytes(digest[:8], "big"), int.from_bytes(digest[8:], "big")
+        return high, low
+    used = wide // 4 + 1
+    for at in range(0, n, MD5_AT_ONCE):
+        size = length[at : at + MD5_AT_ONCE]
+        padded = np.zeros((len(size), used * 4), np.uint8)
+        padded[:, :wide] = block[at : at + MD5_AT_ONCE]
+        padded[np.arange(len(size)), size] = 0x80
+        word = dict(enumerate(np.ascontiguousarray(padded.view("<u4").T).astype(np.uint32, copy=False)))
+        word[14] = 8 * size.astype(np.uint32)  # words that are not named are zero in all messages
+        a, b, c, d = (np.full(len(size), x, np.uint32) for x in MD5_START)
+        mixed, turned = np.empty_like(a), np.empty_like(a)
+        for i in range(64):
+            mixed = MD5_MIX[i // 16](b, c, d, mixed)
+            mixed += a
+            mixed += MD5_ADD[i]
+            if MD5_WORD[i] in word:
+                mixed += word[MD5_WORD[i]]
+            np.left_shift(mixed, MD5_TURN[i], out=turned)
+            mixed >>= 32 - MD5_TURN[i]
+            turned |= mixed
+            turned += b
+            a, b, c, d, turned = d, turned, b, c, a
+        a, b, c, d = ((x + np.uint32(s)).byteswap().astype(np.uint64) for x, s in zip((a, b, c, d), MD5_START))
+        high[at : at + len(size)], low[at : at + len(size)] = a << np.uint64(32) | b, c << np.uint64(32) | d
+    return high, low
+
+
+def _place_keys(named: list[str | None], doc: np.ndarray, i: np.ndarray, j: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """``md5_keys`` of 'seed-document-i-j' for rows of a document number and two places; a null document is left out of the text."""
+    heads = [(f"{seed}-" if d is None else f"{seed}-{d}-").encode() for d in named]
+    longest = max(map(len, heads))
+    head = np.frombuffer(b"".join(h.ljust(longest) for h in heads), np.uint8).reshape(len(heads), longest)
+    most = int(max(i.max(), j.max()))
+    wide = len(str(most))
+    digits = (np.arange(most + 1)[:, None] // 10 ** np.arange(wide - 1, -1, -1) % 10 + ord("0")).astype(np.uint8)
+    size = np.digitize(np.arange(most + 1), 10 ** np.arange(1, wide)) + 1 if wide > 1 else np.ones(most + 1, np.int64)
+    # Messages of one layout are put together by slices.
+    layout = (np.array([len(h) for h in heads])[doc] * 64 + size[i]) * 64 + size[j]
+    order = np.argsort(layout, kind="stable")
+    block, length = np.zeros((len(i), longest + 2 * wide + 1), np.uint8), np.empty(len(i), np.int64)
+    for rows in np.split(order, np.flatnonzero(np.diff(layout[order])) + 1):
+        front, li, lj = len(heads[doc[rows[0]]]), int(size[i[rows[0]]]), int(size[j[rows[0]]])
+        text = np.empty((len(rows), front + li + 1 + lj), np.uint8)
+        text[:, :front] = head[doc[rows], :front]
+        text[:, front : front + li] = digits[i[rows], wide - li :]
+        text[:, front + li] = ord("-")
+        text[:, front + li + 1 :] = digits[j[rows], wide - lj :]
+        block[rows, : text.shape[1]], length[rows] = text, text.shape[1]
+    return md5_keys(block, length)
+
+
+def _drawn(batches: Iterator[pa.RecordBatch], window: int, num_skips: int, seed: int,
+           at_once: int = 1 << 14) -> Iterator[tuple]:
+    """Of some rows (token array, id as text, ...): words, numbers and places of their tokens, chunks of (row, centre, context), the rows.
+
+    Centres and contexts are numbers of tokens, counted from 0 through all these rows.
+    """
+    steps = np.array([d for d in range(-window, window + 1) if d])
+    for words_, ids, doc, rows in _coded(batches):
+        at, size = _places(doc)
+        named = rows.column(1).to_pylist()
+
+        def chunks() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            for a in range(0, len(ids), at_once):
+                centre = np.arange(a, min(a + at_once, len(ids)))
+                place = at[centre, None] + steps
+                real = (place >= 0) & (place < size[centre, None])
+                if not real.any():
+                    continue
+                keys = np.full((2, *real.shape), 2**64 - 1, np.uint64)
+                row = np.nonzero(real)[0]
+                keys[0][real], keys[1][real] = _place_keys(named, doc[centre][row], at[centre][row], place[real], seed)
+                first = np.lexsort((keys[1], keys[0]))[:, :num_skips]
+                taken = np.take_along_axis(real, first, 1)
+                context = (centre[:, None] + steps[first])[taken]
+                yield doc[centre][np.nonzero(taken)[0]], centre[np.nonzero(taken)[0]], context
+
+        yield words_, ids, at, chunks(), rows
+
+
 def sampled_skip_grams(df: DataFrame, doc: str, text: str, window: int, num_skips: int, seed: int) -> DataFrame:
     """(doc, pos, center, context_pos, context): ``num_skips`` contexts of every word, drawn without repetition from its window.
 
     The draw takes the places with the smallest hashes of (seed, document, place, place of the context), so it is the same
     in every run; a window cut off by the end of the text gives what it has. Documents need an id of their own.
     """
-    t, n = F.col("_t"), F.size("_t")
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words_, ids, at, chunks, rows in _drawn(batches, window, num_skips, seed):
+            for row, centre, context in chunks:
+                for i in range(0, len(row), 1 << 16):
+                    r, a, b = (x[i : i + (1 << 16)] for x in (row, centre, context))
+                    yield pa.RecordBatch.from_arrays([rows.column(2).take(pa.array(r)), pa.array(at[a], pa.int32()), words_.take(pa.array(ids[a])),
+                                                      pa.array(at[b], pa.int32()), words_.take(pa.array(ids[b]))], names=out.names)
+
+    out = df.select(doc, F.lit(0).alias("pos"), F.lit("").alias("center"), F.lit(0).alias("context_pos"), F.lit("").alias("context")).schema
+    return _named(df, doc, text).mapInArrow(drawn, out)
+
+
+def sampled_pair_counts(df: DataFrame, doc: str, text: str, window: int, num_skips: int, seed: int) -> DataFrame:
+    """(center, context, n): the pairs of ``sampled_skip_grams``, counted in the tasks before they are given out."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words_, ids, _, chunks, _ in _drawn(batches, window, num_skips, seed):
+            yield from _counted(words_, [ids[a] * len(words_) + ids[b] for _, a, b in chunks], ["center", "context", "n"])
+
+    rows = _named(df, doc, text).mapInArrow(counted, "center string, context string, n bigint")
+    return rows.groupBy("center", "context").agg(F.sum("n").alias("n"))
 
-    def drawn(w: Column, i: Column) -> Column:
-        near = F.filter(F.sequence(F.greatest(i - window, F.lit(0)), F.least(i + window, n - 1)), lambda j: j != i)
-        keyed = F.transform(near, lambda j: F.struct(F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(doc).cast("string"), i.cast("string"), j.cast("string"))).alias("key"), j.alias("at")))
-        return F.struct(i.alias("pos"), w.alias("center"), F.slice(F.array_sort(keyed), 1, num_skips).alias("taken"))
 
-    words_ = df.select(doc, token_array(F.col(text)).alias("_t"))
-    centres = words_.select(doc, "_t", F.explode(F.transform(t, drawn)).alias("p"))
-    named = F.transform("p.taken", lambda x: F.struct(x["at"].alias("context_pos"), F.get(t, x["at"]).alias("context")))
-    return centres.select(doc, "p.pos", "p.center", F.explode(named).alias("c")).select(doc, "pos", "center", "c.*")
+def _named(df: DataFrame, doc: str, text: str) -> DataFrame:
+    return df.select(token_array(F.col(text)).alias("_t"), F.col(doc).cast("string").alias("_d"), doc)
 
 
 def pad_to_longest(df: DataFrame, tokens: str, pad: str = PAD) -> DataFrame:

@@ -1,5 +1,6 @@
 """Near duplicates across splits, the special functions, wrapped lines, sampled contexts and the sweep over k, beside plain versions."""
 
+import hashlib
 import math
 import random
 import re
@@ -186,3 +187,17 @@ def test_wrap_grows_with_the_text(spark):
     got = column(spark, [value, value + "\n" + value], "string").select(text.wrap(F.col("v"), 60)).collect()
     took = time.monotonic() - start
     assert {r[0] for r in got} == {"\n".join(textwrap.wrap(v, 60)) for v in (value, value + "\n" + value)} and took < 20
+
+
+def test_a_long_text_among_sampled_contexts(spark):
+    # Carrying the text along with each of its words takes the square of its length.
+    words = [f"w{i % 997}" for i in range(60_000)]
+    start = time.monotonic()
+    got = tok.sampled_pair_counts(spark.createDataFrame([(7, " ".join(words)), (None, "a b"), (8, None)], "doc bigint, text string"), "doc", "text", 4, 2, 11).collect()
+    took = time.monotonic() - start
+    want = Counter()
+    for doc, w in ("-7", words), ("", ["a", "b"]):
+        for i in range(len(w)):
+            near = [j for j in range(max(i - 4, 0), min(i + 5, len(w))) if j != i]
+            want.update((w[i], w[j]) for j in sorted(near, key=lambda j: hashlib.md5(f"11{doc}-{i}-{j}".encode()).hexdigest())[:2])
+    assert {(r["center"], r["context"]): r["n"] for r in got} == want and took < 30
