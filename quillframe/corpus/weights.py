@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quillframe.corpus.tokens import token_array
 from quillframe.plans.ordered import scan
 from quillframe.plans.seeded import order_key, uniform
+from quillframe.session import scratch_path
 
 WORD = r"[\p{L}\p{N}_]{2,}"
 
@@ -21,7 +22,10 @@ def terms(text: Column) -> Column:
 
 def tf_idf(df: DataFrame, doc: str, text: str, min_df: int = 1) -> DataFrame:
     """(doc, term, weight): tf * (ln((1 + N) / (1 + df)) + 1) over terms in at least ``min_df`` documents, each document scaled to length one."""
-    tf = df.select(doc, F.explode(terms(F.col(text))).alias("term")).groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+    # Both uses read what was counted once.
+    path = scratch_path(df.sparkSession, "terms")
+    df.select(doc, F.explode(terms(F.col(text))).alias("term")).groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf")).write.parquet(path)
+    tf = df.sparkSession.read.parquet(path)
     total = df.agg(F.count(F.lit(1))).scalar()
     idf = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df).select(
         "term", (F.ln((1 + total) / (1 + F.col("df"))) + 1).alias("idf"))

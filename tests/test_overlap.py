@@ -14,8 +14,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillframe.corpus import tokens as tok
+from quillframe.corpus import weights
 from quillframe.functions import arrays, numeric, text
 from quillframe.operators import neighbours, overlap
+from quillframe.session import scratch_path
 
 PARTS = ["train", "valid", "test"]
 
@@ -201,3 +203,12 @@ def test_a_long_text_among_sampled_contexts(spark):
             near = [j for j in range(max(i - 4, 0), min(i + 5, len(w))) if j != i]
             want.update((w[i], w[j]) for j in sorted(near, key=lambda j: hashlib.md5(f"11{doc}-{i}-{j}".encode()).hexdigest())[:2])
     assert {(r["center"], r["context"]): r["n"] for r in got} == want and took < 30
+
+
+def test_tf_idf_counts_terms_once(spark, monkeypatch):
+    # Null documents have no length to be scaled by; a document that comes twice is one. The terms are written once, then read.
+    written = []
+    monkeypatch.setattr(weights, "scratch_path", lambda session, label: written.append(label) or scratch_path(session, label), raising=False)
+    d = spark.createDataFrame([(1, "Aa bb aa"), (1, "bb x"), (2, "aa cc"), (None, "aa"), (3, None)], "doc bigint, text string")
+    got = {(r["doc"], r["term"]): round(r["weight"], 9) for r in weights.tf_idf(d, "doc", "text", 2).collect()}
+    assert got == {(1, "aa"): 1.0, (2, "aa"): 1.0} and written == ["terms"]
