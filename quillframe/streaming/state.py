@@ -31,7 +31,7 @@ class Kept(StatefulProcessor):
             yield pd.DataFrame(rows, columns=self.columns)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        kept = tuple(self.value.get()) if self.value.exists() else None
+        kept = self.value.get()  # None without a value; each question to the store is a round trip for every key
         kept, out = self.update(key, rows, kept)
         if kept is None:
             self.value.clear()

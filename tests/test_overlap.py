@@ -10,6 +10,7 @@ from collections import Counter
 from statistics import NormalDist
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from quillframe.corpus import weights
 from quillframe.functions import arrays, numeric, text
 from quillframe.operators import neighbours, overlap
 from quillframe.session import scratch_path
+from quillframe.streaming import state
 
 PARTS = ["train", "valid", "test"]
 
@@ -212,3 +214,20 @@ def test_tf_idf_counts_terms_once(spark, monkeypatch):
     d = spark.createDataFrame([(1, "Aa bb aa"), (1, "bb x"), (2, "aa cc"), (None, "aa"), (3, None)], "doc bigint, text string")
     got = {(r["doc"], r["term"]): round(r["weight"], 9) for r in weights.tf_idf(d, "doc", "text", 2).collect()}
     assert got == {(1, "aa"): 1.0, (2, "aa"): 1.0} and written == ["terms"]
+
+
+def test_state_is_asked_for_once_a_key():
+    asked = []
+
+    class Value:
+        def __init__(self):
+            self.held = None
+
+        def __getattr__(self, name):
+            asked.append(name)
+            return {"exists": lambda: self.held is not None, "get": lambda: self.held, "update": lambda v: setattr(self, "held", v)}[name]
+
+    kept = state.Kept(state.running_total("v"), "n bigint, total double", ["k", "n", "total"], None, None)
+    kept.value = Value()
+    out = [next(iter(kept.handleInputRows((5,), iter([pd.DataFrame({"v": [1.5, 2.0]})]), None))) for _ in range(2)]
+    assert [tuple(x.iloc[0]) for x in out] == [(5, 2, 3.5), (5, 4, 7.0)] and asked == ["get", "update"] * 2
