@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.operators import neighbours
-from quillframe.session import balanced, scratch_path
+from quillframe.session import scratch_path
 
 #: At a similarity of 0.8 a pair shares no band of 3 extremes out of 24 with a chance of 4e-8.
 BANDS, BAND_ROWS = 24, 3
@@ -49,42 +49,58 @@ def _kept(df: DataFrame, label: str) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The (key, part, other) of pairs (key, part, other, near) whose full sets are similar enough."""
-    checked = (pairs.select("key", "near").distinct()
-               .join(sets.select("key", F.col("hashes").alias("_a")), "key").join(sets.select(F.col("key").alias("near"), F.col("hashes").alias("_b")), "near"))
+    """The (key, part, other) of pairs (key, part, other, near) whose full sets are similar enough; each two sets meet once."""
+    pairs = pairs.withColumn("low", F.least("key", "near")).withColumn("high", F.greatest("key", "near"))
+    checked = (pairs.select("low", "high").distinct()
+               .join(sets.select(F.col("key").alias("low"), F.col("hashes").alias("_a")), "low")
+               .join(sets.select(F.col("key").alias("high"), F.col("hashes").alias("_b")), "high"))
     common = F.size(F.array_intersect("_a", "_b"))
-    close = checked.where(common >= threshold * (F.size("_a") + F.size("_b") - common) - 1e-9).select("key", "near")
-    return pairs.join(close, ["key", "near"]).select("key", "part", "other").distinct()
+    close = checked.where(common >= threshold * (F.size("_a") + F.size("_b") - common) - 1e-9).select("low", "high")
+    return pairs.join(close, ["low", "high"]).select("key", "part", "other").distinct()
+
+
+def _sketched(text: Column, words: int) -> Column:
+    """Key, size and bands of a text's shingle set, null without words."""
+    return _bound(shingles(text, words), lambda h: F.when(h.isNotNull(), F.struct(
+        F.xxhash64(h).alias("key"), F.size(h).alias("size"), band_hashes(h).alias("bands"))))
 
 
 def near_texts(df: DataFrame, part: str, text: str, threshold: float = 0.8, words: int = 5) -> DataFrame:
     """(part, other, rows): rows of ``part`` with a text in ``other`` whose shingle sets have this Jaccard similarity or more.
 
     Rows without a part, and texts that are null or hold no word, are near to nothing; repeated rows all count. Candidates
-    share a band of extremes (at lower thresholds than 0.8 more pairs escape all bands); the full sets decide.
+    share a band of extremes (at lower thresholds than 0.8 more pairs escape all bands); the full sets decide. What is
+    dealt out is a key, a size and the bands of each set; the sets are larger than their texts, so those that share a band
+    with another set of another split are made again from one text each, and no others.
     """
-    rows = _kept(df.where(F.col(part).isNotNull()).select(F.col(part).alias("part"), shingles(F.col(text), words).alias("hashes")), "rows")
-    keyed = rows.where("hashes IS NOT NULL").withColumn("key", F.md5(F.array_join(F.col("hashes").cast("array<string>"), ",")))
-    counted = _kept(keyed.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"), F.first("hashes").alias("hashes")), "parts")
-    sets = _kept(counted.groupBy("key").agg(F.first("hashes").alias("hashes")), "sets")
-    members = counted.select("key", "part", "n")
-    parts = members.groupBy("key").agg(F.collect_set("part").alias("parts"))  # one entry per split
-    same = members.join(parts, "key").select("key", "part", F.explode("parts").alias("other")).where("part <> other")
-    banded = _kept(balanced(sets, "key").select("key", F.size("hashes").alias("size"), F.posexplode(band_hashes(F.col("hashes"))).alias("band", "bucket"))
-                   .join(members.select("key", "part"), "key"), "bands")
-    place = ["band", "bucket"]
-    hubs = banded.groupBy(*place, F.col("part").alias("other")).agg(F.min(F.struct(F.col("key").alias("near"), F.col("size").alias("near_size"))).alias("hub"))
+    texts = df.where(F.col(part).isNotNull()).select(F.col(part).alias("part"), F.col(text).alias("text"), F.unhex(F.md5(text)).alias("source"))
+    rows = _kept(texts.select("part", "source", _sketched(F.col("text"), words).alias("set")), "rows").where("set IS NOT NULL").select("part", "source", "set.*")
+    members = _kept(rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.min("source").alias("source"),
+                                                    F.first("bands").alias("bands")), "parts")
+    counted = members.select("key", "part", "n")
+    parts = counted.groupBy("key").agg(F.collect_set("part").alias("parts"))  # one entry per split
+    same = counted.join(parts, "key").select("key", "part", F.explode("parts").alias("other")).where("part <> other")
+    placed = members.select("key", "part", "size", F.explode("bands").alias("bucket"))
+    # Only buckets that hold different sets and different splits have pairs.
+    mixed = placed.groupBy("bucket").agg(*(f(c).alias(f"{n}_{c}") for c in ("part", "key") for n, f in (("min", F.min), ("max", F.max))))
+    mixed = mixed.where("min_part <> max_part AND min_key <> max_key").select("bucket")
+    banded = _kept(placed.join(mixed, "bucket"), "bands")
+    wanted = members.join(banded.select("key").distinct(), "key").groupBy("key").agg(F.min("source").alias("source"))
+    # Copies of a text become one in each task before they are dealt out.
+    once = texts.groupBy("source").agg(F.first("text").alias("text"))
+    sets = _kept(once.join(wanted, "source").select("key", shingles(F.col("text"), words).alias("hashes")), "sets")
+    hubs = banded.groupBy("bucket", F.col("part").alias("other")).agg(F.min(F.struct(F.col("key").alias("near"), F.col("size").alias("near_size"))).alias("hub"))
     comparable = (F.least("size", "near_size") >= threshold * F.greatest("size", "near_size") - 1e-9) & (F.col("key") != F.col("near"))
-    met = (banded.join(hubs.select(*place, "other", "hub.*"), place).where(F.col("part") != F.col("other")))
+    met = (banded.join(hubs.select("bucket", "other", "hub.*"), "bucket").where(F.col("part") != F.col("other")))
     found = ["key", "part", "other"]
     tried = _kept(met.where(comparable).select(*found, "near").distinct().join(same, found, "left_anti"), "tried")
     sure = _kept(same.unionByName(_confirmed(tried, sets, threshold)), "sure")
     # What no hub confirmed meets the rest of its buckets.
     open_ = met.select(*found).distinct().join(sure, found, "left_anti")
-    others = banded.select(*place, F.col("part").alias("other"), F.col("key").alias("near"), F.col("size").alias("near_size"))
-    left = (banded.join(open_, ["key", "part"]).join(others, [*place, "other"]).where(comparable).select(*found, "near").distinct()
+    others = banded.select("bucket", F.col("part").alias("other"), F.col("key").alias("near"), F.col("size").alias("near_size"))
+    left = (banded.join(open_, ["key", "part"]).join(others, ["bucket", "other"]).where(comparable).select(*found, "near").distinct()
             .join(tried, [*found, "near"], "left_anti"))
-    return (sure.unionByName(_confirmed(left, sets, threshold)).distinct().join(members, ["key", "part"])
+    return (sure.unionByName(_confirmed(left, sets, threshold)).distinct().join(counted, ["key", "part"])
             .groupBy(F.col("part").alias(part), "other").agg(F.sum("n").alias("rows")))
 
 

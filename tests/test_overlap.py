@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pathlib
 import random
 import re
 import textwrap
@@ -18,7 +19,7 @@ from quillframe.corpus import tokens as tok
 from quillframe.corpus import weights
 from quillframe.functions import arrays, numeric, text
 from quillframe.operators import neighbours, overlap
-from quillframe.session import scratch_path
+from quillframe.session import scratch_path, shared_dir
 from quillframe.streaming import state
 
 PARTS = ["train", "valid", "test"]
@@ -83,6 +84,19 @@ def test_a_large_family_of_copies_is_compared_once_per_member(spark):
     assert got == {(p, o): sizes[p] for p in PARTS for o in PARTS if p != o}
 
 
+def test_near_texts_keeps_no_sets_of_texts_without_a_candidate(spark):
+    """What is written is a sketch per text and the few sets that share a band; all sets would be larger than the texts."""
+    rng = random.Random(8)
+    rows = [(PARTS[k % 3], " ".join(f"{rng.randrange(36 ** 4):x}" for _ in range(1500))) for k in range(240)]
+    rows += [("test", rows[0][1] + " end"), ("valid", rows[0][1])]
+    folder = pathlib.Path(shared_dir(spark)) / "scratch"
+    before = set(folder.rglob("*.parquet"))
+    got = as_dict(overlap.near_texts(spark.createDataFrame(rows, "part string, text string").repartition(4), "part", "text"))
+    assert got == {(p, o): 1 for p in PARTS for o in PARTS if p != o}
+    written = sum(f.stat().st_size for f in set(folder.rglob("*.parquet")) - before if f.is_file())
+    assert 0 < written < sum(len(t) for _, t in rows) / 4
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(20, 6))
