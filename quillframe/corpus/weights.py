@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.corpus.tokens import token_array
+from quillframe.corpus import skipgram
 from quillframe.plans.ordered import scan
 from quillframe.plans.seeded import order_key, uniform
 from quillframe.session import scratch_path
@@ -34,13 +32,10 @@ def tf_idf(df: DataFrame, doc: str, text: str, min_df: int = 1) -> DataFrame:
     return raw.join(norm, doc).select(doc, "term", (F.col("w") / F.col("norm")).alias("weight"))
 
 
-def word_vectors(df: DataFrame, text: str, size: int = 300, window: int = 10, min_count: int = 1, seed: int = 0,
-                 partitions: int | None = None) -> DataFrame:
-    """(word, vector) trained on the cleaned texts, in as many parallel parts as there are task slots by default."""
-    tokens = df.select(token_array(F.col(text)).alias("_t"))
-    parts = partitions or df.sparkSession.sparkContext.defaultParallelism
-    model = Word2Vec(numPartitions=parts, vectorSize=size, windowSize=window, minCount=min_count, seed=seed, maxIter=1, inputCol="_t", outputCol="_v").fit(tokens)
-    return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+def word_vectors(df: DataFrame, text: str, size: int = 300, window: int = 10, min_count: int = 1, seed: int = 0) -> DataFrame:
+    """(word, vector) learned from the cleaned texts, the same however many task slots there are."""
+    texts = skipgram.slices(df, text, seed)
+    return skipgram.learned(texts, skipgram.word_counts(texts), size, window, min_count, seed)
 
 
 def with_unknown_vectors(wanted: DataFrame, vectors: DataFrame, size: int, seed: int = 0) -> DataFrame:
