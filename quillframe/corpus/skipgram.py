@@ -31,9 +31,10 @@ NOISE_TABLE = 1 << 20
 
 def slices(df: DataFrame, text: str, seed: int = 0, slice_words: int = SLICE_WORDS) -> DataFrame:
     """(at, words, slice): the cleaned texts with words one blank apart, written once; texts without words are left out."""
-    rows = kept(df.select(F.xxhash64(*df.columns, F.lit(seed)).alias("at"), F.array_join(token_array(F.col(text)), " ").alias("words")), "words").where("words <> ''")
-    total = rows.agg(F.coalesce(F.sum(F.size(F.split("words", " "))), F.lit(0))).scalar()
-    return rows.withColumn("slice", F.pmod(F.col("at"), F.greatest(F.ceil(total / slice_words), F.lit(1))).cast("int"))
+    cleaned = F.transform(F.array(token_array(F.col(text))), lambda w: F.struct(F.size(w).alias("size"), F.array_join(w, " ").alias("words")))[0]
+    rows = kept(df.select(F.xxhash64(*df.columns, F.lit(seed)).alias("at"), cleaned.alias("text")), "words").where("text.size > 0")
+    total = rows.agg(F.coalesce(F.sum("text.size"), F.lit(0))).scalar()
+    return rows.select("at", "text.words").withColumn("slice", F.pmod(F.col("at"), F.greatest(F.ceil(total / slice_words), F.lit(1))).cast("int"))
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -88,36 +89,46 @@ def skip_grams(ids: np.ndarray, row: np.ndarray, vectors: np.ndarray, count: np.
         return
     context = np.zeros_like(vectors)
     share = np.cumsum(count.astype(float) ** 0.75)
-    table = np.searchsorted(share, rng.random(NOISE_TABLE) * share[-1], "right").astype(np.int32)
-    ids, reach = ids.astype(np.int32), rng.integers(1, window + 1, len(ids))
-    for a in range(0, len(ids), CENTRES):
-        b = min(a + CENTRES, len(ids))
-        low, high = max(0, a - window), min(len(ids), b + window)
-        rate = np.float32(RATE * max(1e-4, 1 - a / len(ids)))
-        runs = np.arange(0, b - a, SHARE)
-        drawn = table[rng.integers(0, NOISE_TABLE, (NEGATIVE, len(runs)))]
+    table = np.searchsorted(share, np.sort(rng.random(NOISE_TABLE)) * share[-1], "right").astype(np.int32)
+    size = np.bincount(row)
+    at = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+    reach = rng.integers(1, window + 1, len(ids))
+    before, after = np.minimum(at, reach), np.minimum(size[row] - 1 - at, reach)
+    edge = np.zeros(window, np.int32)  # met by nothing
+    ids, far = np.concatenate([edge, ids.astype(np.int32), edge]), np.arange(1, window + 1)[:, None]
+    for a in range(0, len(row), CENTRES):
+        b = min(a + CENTRES, len(row))
+        own, around = ids[a + window : b + window], ids[a : b + 2 * window]
+        rate = np.float32(RATE * max(1e-4, 1 - a / len(row)))
         # Vectors stand in columns, so that a step meets a run of words at once.
-        x, near = (np.ascontiguousarray(v[at].T) for v, at in ((vectors, ids[a:b]), (context, ids[low:high])))
-        push, back = np.zeros_like(x), np.zeros_like(near)
-        met, faced = np.zeros(b - a, np.float32), np.zeros(high - low, np.float32)
-        for d in [d for d in range(-window, window + 1) if d]:
-            i, j = max(a, -d), min(b, len(ids) - d)
-            if i < j:
-                here, there = slice(i - a, j - a), slice(i + d - low, j + d - low)
-                real = ((row[i:j] == row[i + d : j + d]) & (reach[i:j] >= abs(d))).astype(np.float32)
-                step = rate * real * _sigmoid(-(x[:, here] * near[:, there]).sum(0))
-                push[:, here] += step * near[:, there]
-                back[:, there] += step * x[:, here]
-                met[here] += real
-                faced[there] += real
-        away = []
-        for at in drawn:
-            y = np.repeat(np.ascontiguousarray(context[at].T), SHARE, axis=1)[:, : b - a]
-            step = -rate * met * _sigmoid((x * y).sum(0))
-            push += step * y
-            away.append(np.add.reduceat(step * x, runs, axis=1))
-        _add(vectors, ids[a:b], push, met * (1 + NEGATIVE))
-        _add(context, np.append(ids[low:high], drawn), np.hstack([back, *away]), np.append(faced, np.tile(np.add.reduceat(met, runs), NEGATIVE)))
+        x, near = np.ascontiguousarray(vectors[own].T), np.ascontiguousarray(context[around].T)
+        push, back, faced = np.zeros_like(x), np.zeros_like(near), np.zeros(len(around), np.float32)
+        real = np.vstack([before[a:b] >= far[::-1], after[a:b] >= far]).astype(np.float32)
+        met = real.sum(0)
+        there = [slice(p, p + b - a) for p in range(2 * window + 1) if p != window]
+        step = rate * real * _sigmoid(-np.stack([np.einsum("ij,ij->j", x, near[:, p]) for p in there]))
+        for p, pulled, n in zip(there, step, real):
+            push += pulled * near[:, p]
+            back[:, p] += pulled * x
+            faced[p] += n
+        drawn = table[rng.integers(0, NOISE_TABLE, (NEGATIVE, -(-(b - a) // SHARE)))]
+        away, weight = [], _joined(met[None, :])[0]
+        for words in drawn:
+            y = np.repeat(np.ascontiguousarray(context[words].T), SHARE, axis=1)[:, : b - a]
+            pushed = -rate * met * _sigmoid(np.einsum("ij,ij->j", x, y))
+            push += pushed * y
+            away.append(_joined(pushed * x))
+        _add(vectors, own, push, met * (1 + NEGATIVE))
+        _add(context, np.append(around, drawn), np.hstack([back, *away]), np.append(faced, np.tile(weight, NEGATIVE)))
+
+
+def _joined(columns: np.ndarray) -> np.ndarray:
+    """Sums of SHARE neighbouring columns."""
+    out = columns[:, ::SHARE].copy()
+    for i in range(1, SHARE):
+        more = columns[:, i::SHARE]
+        out[:, : more.shape[1]] += more
+    return out
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
