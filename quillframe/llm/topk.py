@@ -139,11 +139,14 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     queries = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "v"])
     blocks = saved(packed_blocks(rows, pivots).withColumn("number", F.monotonically_increasing_id()))
     asks = saved(packed_blocks(queries, pivots))
-    # Every query block goes to every part of the candidate blocks; parts are of a few blocks each.
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks.count() // 8)
+    # Every query block goes to every part of the candidate blocks, so the queries are copied once a part: parts are no more than
+    # blocks, a few for each task slot or of a few blocks each. The sizes that Spark assumes leave the copies out, so a join by
+    # broadcast would gather them all at the driver.
+    count = blocks.count()
+    parts = max(1, min(count, 4 * spark.sparkContext.defaultParallelism), count // 8)
     left = blocks.withColumn("part", F.pmod(F.xxhash64("number"), F.lit(parts)))
     right = asks.select("length", F.col("plain").alias("q_plain"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"), F.col("far").alias("q_far"),
-                        F.explode(F.expr(f"sequence(0L, {parts - 1}L)")).alias("part"))
+                        F.explode(F.expr(f"sequence(0L, {parts - 1}L)")).alias("part")).hint("merge")
 
     def run(batches):
         for batch in batches:

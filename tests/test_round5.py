@@ -34,3 +34,15 @@ def test_every_row_is_classified_by_its_neighbours(spark):
     classify, sweep = (load_catalog()[n] for n in ("L16_knn_classify", "L16_knn_sweep"))
     assert sorted(r["id"] for r in classify.build(embeddings(spark, ids)).collect()) == ids and "%" not in classify.sql
     assert {r["n"] for r in sweep.build(embeddings(spark, ids)).collect()} == {len(ids)} and "%" not in sweep.sql
+
+
+def test_copies_of_the_queries_are_not_broadcast(spark):
+    from quillframe.llm import topk
+
+    r = np.random.default_rng(5)
+    rows = [(i, r.normal(size=4).tolist(), 0) for i in range(120)]
+    found = topk.search(spark.createDataFrame(rows, VECTORS).repartition(3))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    x = {i: np.floor(256 * np.asarray(v, np.float32).astype(float)) for i, v, _ in rows}
+    want = {(i, k + 1, j, int(x[i] @ x[j])) for i in (0, 50, 100) for k, j in enumerate(sorted((j for j in x if j != i), key=lambda j: (-(x[i] @ x[j]), j))[:5])}
+    assert {tuple(r) for r in found.select("query_id", "rank", "vec_id", "score").collect()} == want
