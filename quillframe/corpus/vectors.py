@@ -13,11 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.corpus.tokens import both_ways, directed, pair_counts, places
+from quillframe.corpus.grid import Grid
 from quillframe.plans.seeded import uniform
 from quillframe.session import partitions_of, reliable, scratch_path
 
@@ -30,15 +31,27 @@ def shifted_pmi(df: DataFrame, doc: str, text: str, window: int = 10, min_count:
     ``n`` counts how often two words stand at most ``window`` places apart; words of fewer than ``min_count`` such
     places are left out with all their pairs.
     """
-    # Every pair is counted in both directions, so a word's sum as a centre is its sum as a context, and pair and value are the
-    # same both ways: all is done on one direction.
-    sums = kept(places(df, text, window).filter(F.col("n_word") >= min_count), "words")
-    pairs = directed(pair_counts(df, text, window))
-    known = pairs.join(sums.select(F.col("word").alias("first"), "n_word"), "first").join(
-        sums.select(F.col("word").alias("second"), F.col("n_word").alias("n_context")), "second")
-    total = sums.agg(F.sum("n_word")).scalar()
-    value = F.ln(F.col("n") * total / (F.col("n_word").cast("double") * F.col("n_context"))) - F.ln(F.lit(float(shift)))
-    return both_ways(known.select("first", "second", value.alias("value")).filter("value > 0"), "value", "word", "context")
+    grid = Grid(df, text, window, min_count)
+    total, least = float(grid.total), float(shift) * (1 - 1e-9)
+
+    def ratios(cell: int, one: tuple, other: tuple, first: np.ndarray, second: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        (words, sums), (contexts, their) = one, other
+        within = grid_cells[cell][0] == grid_cells[cell][1]
+        for i in range(0, len(n), 1 << 16):
+            a, b, c = (x[i : i + (1 << 16)] for x in (first, second, n))
+            alone = (a == b) if within else np.zeros(len(a), bool)
+            # A word beside itself counts in both directions, as every other pair does.
+            ratio = np.where(alone, 2 * c, c) * total / (sums[a].astype(float) * their[b])
+            far = ratio > least
+            a, b, ratio, alone = a[far], b[far], ratio[far], alone[far]
+            yield pa.RecordBatch.from_arrays([words.take(pa.array(a)), contexts.take(pa.array(b)), pa.array(ratio)], names=["word", "context", "ratio"])
+            a, b, ratio = a[~alone], b[~alone], ratio[~alone]
+            yield pa.RecordBatch.from_arrays([contexts.take(pa.array(b)), words.take(pa.array(a)), pa.array(ratio)], names=["word", "context", "ratio"])
+
+    grid_cells = grid.cells
+    found = grid.mapped(ratios, "word string, context string, ratio double")
+    value = F.ln("ratio") - F.ln(F.lit(float(shift)))
+    return found.select("word", "context", value.alias("value")).filter("value > 0")
 
 
 def kept(df: DataFrame, label: str) -> DataFrame:

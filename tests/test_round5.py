@@ -46,3 +46,52 @@ def test_copies_of_the_queries_are_not_broadcast(spark):
     x = {i: np.floor(256 * np.asarray(v, np.float32).astype(float)) for i, v, _ in rows}
     want = {(i, k + 1, j, int(x[i] @ x[j])) for i in (0, 50, 100) for k, j in enumerate(sorted((j for j in x if j != i), key=lambda j: (-(x[i] @ x[j]), j))[:5])}
     assert {tuple(r) for r in found.select("query_id", "rank", "vec_id", "score").collect()} == want
+
+
+def test_packed_pairs_and_words_come_back():
+    import pyarrow as pa
+
+    from quillframe.corpus import grid
+
+    r = np.random.default_rng(1)
+    for most, wide, n in ((0, 9, 0), (1, 9, 1), (1000, 60, 1), (300, 2**31, 2**40)):
+        key = np.unique(r.integers(0, 50, most) << 32 | r.integers(0, wide, most))
+        want = key >> 32, key & 0xFFFFFFFF, r.integers(1, n + 1, len(key))
+        assert all(np.array_equal(a, b) for a, b in zip(want, grid.unpack_pairs(grid.pack_pairs(*want))))
+    for words in ([], [""], ["é", "", "𝄞 b", "c"]):
+        assert grid.unpack_words(grid.pack_words(pa.array(words, pa.string()))).to_pylist() == words
+
+
+def test_pairs_travel_as_blocks_of_cells(spark, monkeypatch):
+    import random
+    from collections import Counter
+
+    from quillframe.corpus import grid
+
+    monkeypatch.setattr(grid, "CELL", 64)
+    r = random.Random(3)
+    texts = [" ".join(r.choice("abcdefghijklmnopqrstuvwxyz") * r.randrange(1, 4) for _ in range(r.randrange(30))) for _ in range(120)] + [None, "", "alone", "a a a", "once upon"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    g = grid.Grid(df, "text", 3, 4)
+    sums, want = Counter(), Counter()
+    for w in ((t or "").split() for t in texts):
+        for i in range(len(w)):
+            sums[w[i]] += sum(1 for j in range(len(w)) if 0 < abs(i - j) <= 3)
+            want.update(tuple(sorted((w[i], w[j]))) for j in range(i + 1, min(len(w), i + 4)))
+    sums = {w: n for w, n in sums.items() if n >= 4}
+    found = {}
+    for row in g.vocabulary.collect():
+        found |= dict(zip(grid.unpack_words(row["a"]).to_pylist(), grid.unpack(row["b"]).tolist()))
+    assert found == sums and g.total == sum(sums.values()) and g.groups > 3
+
+    def rows(cell, one, other, first, second, n):
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_arrays([one[0].take(pa.array(first)), other[0].take(pa.array(second)), pa.array(n)], names=["a", "b", "n"])
+
+    got = [(*sorted((x["a"], x["b"])), x["n"]) for x in g.mapped(rows, "a string, b string, n bigint").collect()]
+    want = {k: n for k, n in want.items() if k[0] in sums and k[1] in sums}
+    assert len(got) == len(want) and {(a, b): n for a, b, n in got} == want
+    # No row a pair goes through an exchange: a block a cell and chunk of texts does.
+    assert g.blocks().count() <= g.heads.count() * len(g.cells) < len(want)
+
