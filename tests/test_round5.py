@@ -95,3 +95,17 @@ def test_pairs_travel_as_blocks_of_cells(spark, monkeypatch):
     # No row a pair goes through an exchange: a block a cell and chunk of texts does.
     assert g.blocks().count() <= g.heads.count() * len(g.cells) < len(want)
 
+
+def test_products_of_vectors_are_not_dealt_out(spark, monkeypatch):
+    from quillframe.corpus import grid, vectors
+
+    r = np.random.default_rng(6)
+    texts = [" ".join(f"w{int(x)}" for x in r.zipf(1.5, 25) % 60) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    whole = {x["word"]: x["vector"] for x in vectors.pmi_vectors(df, "doc_id", "text", size=3, window=2, min_count=2, seed=1).collect()}
+    monkeypatch.setattr(grid, "CELL", 64)
+    out = vectors.pmi_vectors(df, "doc_id", "text", size=3, window=2, min_count=2, seed=1)
+    cut = {x["word"]: x["vector"] for x in out.collect()}
+    assert cut.keys() == whole.keys() and len(cut) > 20
+    a, b = (np.array([x[w] for w in sorted(whole)]) for x in (whole, cut))
+    assert np.allclose(a @ a.T, b @ b.T, atol=1e-6) and "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
