@@ -109,3 +109,25 @@ def test_products_of_vectors_are_not_dealt_out(spark, monkeypatch):
     assert cut.keys() == whole.keys() and len(cut) > 20
     a, b = (np.array([x[w] for w in sorted(whole)]) for x in (whole, cut))
     assert np.allclose(a @ a.T, b @ b.T, atol=1e-6) and "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("dims", [1, 7, 600])
+def test_l1_neighbours_by_whole_numbers_are_those_by_differences(dims):
+    from quillframe.operators.neighbours import _closest, _distances
+
+    r = np.random.default_rng(2)
+    right = np.vstack([r.normal(size=(300, dims)), np.round(r.normal(size=(60, dims)), 1)])
+    right = np.vstack([right, right[:40], right[:40] + 1e-12])
+    for extra in (np.empty((0, dims)), np.full((1, dims), 1e9), np.full((1, dims), np.nan), np.full((2, dims), 1e308) * [[1], [-1]]):
+        far = np.vstack([right, extra])
+        left = far[:60]
+        for k, limit in ((1, np.inf), (3, np.inf), (500, np.inf), (3, 0.5)):
+            with np.errstate(invalid="ignore", over="ignore"):
+                d = _distances(left, far, "l1")
+                d[np.arange(60), np.arange(60)] = np.inf
+                order = np.argsort(d, axis=1, kind="stable")[:, :k]
+                want = [(i, j, d[i, j]) for i in range(60) for j in order[i].tolist() if np.isfinite(d[i, j]) and d[i, j] <= limit]
+                row, column, got = _closest(left, far, np.eye(60, len(far), dtype=bool), k, "l1", limit)
+            got = [x for x in zip(row.tolist(), column.tolist(), got.tolist()) if x[2] <= limit]
+            assert got == want
+    assert len(_closest(right[:5], right[:1], np.eye(5, 1, dtype=bool), 2, "l1", np.inf)[0]) == 4
