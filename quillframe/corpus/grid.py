@@ -111,11 +111,12 @@ class Grid:
         cells = max(met / CELL, min(3 * spark.sparkContext.defaultParallelism, met / (CELL // 64)))
         self.window, self.groups = window, max(1, math.ceil(math.sqrt(2 * cells)))
         self.cells = [(i, j) for i in range(self.groups) for j in range(i, self.groups)]
-        path = scratch_path(spark, "chunks")
+        self.scratch = [scratch_path(spark, "chunks"), scratch_path(spark, "words")]
+        path = self.scratch[0]
         df.select(token_array(F.col(text)).alias("_t")).mapInArrow(self._chunks(), "kind int, chunk bigint, part int, a binary, b binary").write.partitionBy("kind").parquet(path)
         chunks = spark.read.schema("chunk bigint, part int, a binary, b binary, kind int").parquet(path)
         self.heads = chunks.where("kind = 0").select("chunk", "a", "b")
-        path = scratch_path(spark, "words")
+        path = self.scratch[1]
         words = chunks.where("kind = 1").select("chunk", "part", "a", "b").repartitionById(self.groups, "part")
         words.mapInArrow(self._settle(min_count), "kind int, chunk bigint, part int, a binary, b binary, total bigint").write.partitionBy("kind").parquet(path)
         words = spark.read.schema("chunk bigint, part int, a binary, b binary, total bigint, kind int").parquet(path)

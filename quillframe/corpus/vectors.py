@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillframe.corpus.grid import Grid, pack_pairs, unpack, unpack_pairs, unpack_words
-from quillframe.session import scratch_path
+from quillframe.session import cleared, scratch_path
 
 SPARE = 8
 
@@ -183,15 +183,18 @@ def pmi_vectors(df: DataFrame, doc: str, text: str, size: int = 300, window: int
         return spark.createDataFrame([], "word string, vector array<double>")
     groups = sorted({g for cell in cells for g in cell})
     block, by = started(grid, width, seed), []
+    cleared(spark, *grid.scratch)  # matrix and block hold what is needed of it
     schema = f"{BLOCK.removeprefix('part int, ')}, part int"
     for _ in range(rounds):
-        block = products(spark, groups, cells, matrix, block, by, total, shift, width)
+        before, block = block, products(spark, groups, cells, matrix, block, by, total, shift, width)
+        cleared(spark, before)
         made = spark.read.schema(schema).parquet(block)
         by = [orthonormal(gram_sum(made, width))]
         # Two orthonormalisations a round keep the small Gram matrix exact when the products lie far apart in size.
         by.append(orthonormal(gram_sum(again(made, by), width)))
     last = spark.read.schema(schema).parquet(products(spark, groups, cells, matrix, block, by, total, shift, width, beside=True))
     small = gram_sum(last, width)
+    cleared(spark, block, matrix)
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     first = np.argsort(-np.abs(values))[:size]
     return rows_of(last, vectors[:, first] * np.sqrt(np.abs(values[first])))

@@ -131,3 +131,19 @@ def test_l1_neighbours_by_whole_numbers_are_those_by_differences(dims):
             got = [x for x in zip(row.tolist(), column.tolist(), got.tolist()) if x[2] <= limit]
             assert got == want
     assert len(_closest(right[:5], right[:1], np.eye(5, 1, dtype=bool), 2, "l1", np.inf)[0]) == 4
+
+
+def test_vectors_keep_one_block_on_disk(spark, monkeypatch, tmp_path):
+    import os
+
+    from quillframe.corpus import grid, vectors
+
+    def folder(_, label, made=[]):
+        made.append(label)
+        return str(tmp_path / f"{label}-{len(made)}")
+
+    monkeypatch.setattr(grid, "scratch_path", folder)
+    monkeypatch.setattr(vectors, "scratch_path", folder)
+    df = spark.createDataFrame([(i, f"a b c{i % 3} d") for i in range(9)], "doc_id long, text string")
+    out = vectors.pmi_vectors(df, "doc_id", "text", size=2, window=2)
+    assert len(os.listdir(tmp_path)) == 1 and os.listdir(tmp_path)[0].startswith("block") and out.count() > 0
